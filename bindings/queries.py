@@ -42,6 +42,10 @@ def presentable(df: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------- shared frames
+#
+# A frame that one query reads several times is written once (``materialise``). The
+# joins on it are then planned with its real size: Spark broadcasts a dimension only
+# when that is below its threshold, and shuffles both sides otherwise.
 
 
 def _staged(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
@@ -49,76 +53,88 @@ def _staged(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
 
 
 def _parents(staged: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
-    customers, _ = cleaning.clean_parent(staged["customers"], "customers")
-    banks, _ = cleaning.clean_parent(staged["banks"], "banks")
-    return customers, banks
+    """Cleaned customers and banks."""
 
+    def parent(table: str) -> DataFrame:
+        return cleaning.clean_parent(cleaning.check_parent(staged[table], table), table)
 
-def _customer_features(spark: SparkSession, sf: str) -> DataFrame:
+    return materialise(parent("customers"), "customers"), materialise(parent("banks"), "banks")
+
+
+def _checked(staged: dict[str, DataFrame], table: str) -> DataFrame:
+    return cleaning.check_child(staged[table], table, *_parents(staged))
+
+
+def _shared(spark: SparkSession, sf: str) -> cleaning.CleanTables:
+    """The well-formed tables, with the two that are costly to derive written once."""
     t = tpch.clean_tables(spark, sf)
+    return t._replace(
+        transactions=materialise(t.transactions, "transactions"),
+        sanctions=materialise(t.sanctions, "sanctions"),
+    )
+
+
+def _customer_features(t: cleaning.CleanTables) -> DataFrame:
     return features.customer_features(t.customers, t.transactions, t.sanctions, CFG)
 
 
-def _bank_features(spark: SparkSession, sf: str) -> DataFrame:
-    t = tpch.clean_tables(spark, sf)
+def _bank_features(t: cleaning.CleanTables) -> DataFrame:
     return features.bank_features(t.banks, t.transactions, t.sanctions)
 
 
 def _signals(t: cleaning.CleanTables) -> tuple[DataFrame, DataFrame]:
     return (
-        features.customer_signals(t.customers, t.transactions, t.sanctions),
-        features.bank_signals(t.banks, t.sanctions),
+        materialise(
+            features.customer_signals(t.customers, t.transactions, t.sanctions), "customer_signals"
+        ),
+        materialise(features.bank_signals(t.banks, t.sanctions), "bank_signals"),
     )
 
 
-def _flags(spark: SparkSession, sf: str) -> DataFrame:
-    t = tpch.clean_tables(spark, sf)
+def _flags(t: cleaning.CleanTables) -> DataFrame:
     return features.transaction_flags(t.transactions, *_signals(t), CFG)
 
 
-def _scored(spark: SparkSession, sf: str) -> DataFrame:
-    return rules.score_transactions(_flags(spark, sf), CFG)
+def _scored(t: cleaning.CleanTables) -> DataFrame:
+    return rules.score_transactions(_flags(t), CFG)
 
 
-def _flagged(spark: SparkSession, sf: str) -> DataFrame:
-    t = tpch.clean_tables(spark, sf)
-    return rules.flagged_transactions(_scored(spark, sf), t.customers, t.banks, CFG)
+def _flagged(t: cleaning.CleanTables) -> DataFrame:
+    return rules.flagged_transactions(_scored(t), t.customers, t.banks, CFG)
 
 
-def _scored_as_flagged(spark: SparkSession, sf: str) -> DataFrame:
+def _flagged_only(t: cleaning.CleanTables) -> DataFrame:
     """The flagged rows where names are not needed."""
-    return _scored(spark, sf).where(F.col("fraud_score") >= CFG.flag_min)
+    return _scored(t).where(F.col("fraud_score") >= CFG.flag_min)
 
 
-def _profiles(spark: SparkSession, sf: str) -> DataFrame:
-    return profiles.customer_risk_profiles(_customer_features(spark, sf), CFG)
+def _profiles(t: cleaning.CleanTables) -> DataFrame:
+    return profiles.customer_risk_profiles(_customer_features(t), CFG)
 
 
-def _compliance(spark: SparkSession, sf: str) -> DataFrame:
-    return compliance.bank_compliance_profiles(
-        tpch.banks(spark, sf), tpch.sanctions(spark, sf), CFG
-    )
+def _compliance(t: cleaning.CleanTables) -> DataFrame:
+    return compliance.bank_compliance_profiles(t.banks, t.sanctions, CFG)
 
 
-def _comparison(spark: SparkSession, sf: str) -> DataFrame:
-    return bank_ops.bank_risk_comparison(_bank_features(spark, sf), CFG)
+def _comparison(t: cleaning.CleanTables) -> DataFrame:
+    return bank_ops.bank_risk_comparison(_bank_features(t), CFG)
 
 
-def _ranked(spark: SparkSession, sf: str) -> DataFrame:
-    return bank_ops.rank_banks(_comparison(spark, sf))
+def _ranked(t: cleaning.CleanTables) -> DataFrame:
+    return bank_ops.rank_banks(materialise(_comparison(t), "bank_risk"))
 
 
-# ----------------------------------------------------------------- quality, cleaning
+def over_clean(make: Callable[[cleaning.CleanTables], DataFrame]) -> Query:
+    """A query that reads each well-formed table once."""
+    return lambda spark, sf: make(tpch.clean_tables(spark, sf))
 
 
-def _per_table(frames: dict[str, DataFrame], key_of: dict[str, str], make) -> DataFrame:
-    parts = [
-        make(df, table).select(
-            F.lit(table).alias("table_name"), F.col(key_of[table]).alias("key"), "copies"
-        )
-        for table, df in frames.items()
-    ]
-    return reduce(DataFrame.unionByName, parts)
+def over_shared(make: Callable[[cleaning.CleanTables], DataFrame]) -> Query:
+    """A query that reads the transactions several times."""
+    return lambda spark, sf: make(_shared(spark, sf))
+
+
+# ----------------------------------------------------------------- quality, cleaning
 
 
 def q_null_report(spark, sf):
@@ -126,10 +142,12 @@ def q_null_report(spark, sf):
 
 
 def q_duplicate_keys(spark, sf):
-    keys = schemas.PRIMARY_KEYS
-    return _per_table(
-        _staged(spark, sf), keys, lambda df, table: quality.duplicate_keys(df, keys[table])
-    )
+    parts = []
+    for table, df in _staged(spark, sf).items():
+        key = schemas.PRIMARY_KEYS[table]
+        found = quality.duplicate_keys(df, key)
+        parts.append(found.select(F.lit(table).alias("table_name"), F.col(key).alias("key"), "copies"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def q_duplicate_rows(spark, sf):
@@ -141,8 +159,8 @@ def q_constraint_violations(spark, sf):
     cust, bank, txn = staged["customers"], staged["banks"], staged["transactions"]
 
     def found(df: DataFrame, table: str) -> DataFrame:
-        return df.groupBy("reason").agg(F.count(F.lit(1)).alias("row_count")).select(
-            F.lit(table).alias("table_name"), "reason", "row_count"
+        return df.groupBy(checks.REJECT).agg(F.count(F.lit(1)).alias("row_count")).select(
+            F.lit(table).alias("table_name"), F.col(checks.REJECT).alias("reason"), "row_count"
         )
 
     parts = [
@@ -154,18 +172,18 @@ def q_constraint_violations(spark, sf):
     return reduce(DataFrame.unionByName, parts)
 
 
-def q_orphans_bank(spark, sf):
+def _orphans(spark, sf, parent: int, key: str) -> DataFrame:
     staged = _staged(spark, sf)
-    _, banks = _parents(staged)
-    rows = staged["transactions"].select("transaction_id", "bank_id")
-    return checks.orphans(rows, banks, "bank_id")
+    rows = materialise(staged["transactions"].select("transaction_id", key), "transaction_keys")
+    return checks.orphans(rows, _parents(staged)[parent], key)
 
 
 def q_orphans_customer(spark, sf):
-    staged = _staged(spark, sf)
-    customers, _ = _parents(staged)
-    rows = staged["transactions"].select("transaction_id", "customer_id")
-    return checks.orphans(rows, customers, "customer_id")
+    return _orphans(spark, sf, 0, "customer_id")
+
+
+def q_orphans_bank(spark, sf):
+    return _orphans(spark, sf, 1, "bank_id")
 
 
 def q_staged_transactions(spark, sf):
@@ -174,25 +192,37 @@ def q_staged_transactions(spark, sf):
 
 
 def q_clean_customers(spark, sf):
-    return _parents(_staged(spark, sf))[0]
+    checked = cleaning.check_parent(_staged(spark, sf)["customers"], "customers")
+    return cleaning.clean_parent(checked, "customers")
 
 
 def q_clean_banks(spark, sf):
-    return _parents(_staged(spark, sf))[1]
+    checked = cleaning.check_parent(_staged(spark, sf)["banks"], "banks")
+    return cleaning.clean_parent(checked, "banks")
 
 
 def q_clean_transactions(spark, sf):
+    return cleaning.clean_transactions(_checked(_staged(spark, sf), "transactions"))
+
+
+def q_enforce_fk(spark, sf):
     staged = _staged(spark, sf)
-    return cleaning.clean_transactions(staged["transactions"], *_parents(staged))[0]
+    rows = staged["transactions"].select("transaction_id", "customer_id", "bank_id", "amount")
+    return cleaning.enforce_fk(rows, *_parents(staged))
 
 
 def q_clean_sanctions(spark, sf):
-    staged = _staged(spark, sf)
-    return cleaning.clean_sanctions(staged["sanctions"], *_parents(staged))[0]
+    checked = _checked(_staged(spark, sf), "sanctions")
+    return cleaning.one_per_key(cleaning.fill_sanctions(checked), "sanctions")
 
 
 def q_quarantine(spark, sf):
-    return cleaning.clean(_staged(spark, sf))[1]
+    return cleaning.clean(_staged(spark, sf), keep=_keep_but_transactions)[1]
+
+
+def _keep_but_transactions(df: DataFrame, name: str) -> DataFrame:
+    """The quarantine reads the checked transactions once and the clean ones never."""
+    return df if name in ("checked_transactions", "transactions") else materialise(df, name)
 
 
 def _outliers(spark, sf, method):
@@ -208,206 +238,92 @@ def q_iqr_outliers_linear(spark, sf):
     return _outliers(spark, sf, "linear")
 
 
-def q_dq_sql_kpis(spark, sf):
-    return quality.dq_sql_kpis(tpch.transactions(spark, sf))
-
-
-def _clean_materialised(staged: dict[str, DataFrame]) -> cleaning.CleanTables:
-    """Clean tables written once, since every indicator reads them."""
-    tables, _ = cleaning.clean(staged)
-    return cleaning.CleanTables(*[materialise(df, name) for name, df in tables._asdict().items()])
-
-
 def q_dq_kpis(spark, sf):
-    staged = _staged(spark, sf)
-    return quality.dq_kpis(staged, _clean_materialised(staged))
-
+    kept = {}
 
-def q_feature_coverage(spark, sf):
-    return quality.feature_coverage(_customer_features(spark, sf))
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        kept[name] = materialise(df, name)
+        return kept[name]
 
+    tables, _ = cleaning.clean(_staged(spark, sf), keep=keep)
+    return quality.dq_kpis(cleaning.good_rows(kept["checked_transactions"]), tables)
 
-# ------------------------------------------------------------------ features, rules
 
+# ------------------------------------------------------------- features to reporting
 
-def q_region_features(spark, sf):
-    return features.region_features(tpch.customers(spark, sf), tpch.transactions(spark, sf))
-
-
-def q_region_risk_view(spark, sf):
-    return features.region_risk_view(
-        tpch.customers(spark, sf), tpch.transactions(spark, sf), CFG
-    )
 
+def _region_risk(t: cleaning.CleanTables) -> DataFrame:
+    return features.region_risk_view(t.customers, t.transactions, CFG)
 
-def q_fraud_kpis(spark, sf):
-    return rules.fraud_kpis(_scored(spark, sf), CFG)
 
-
-def q_disposition_template(spark, sf):
-    return rules.disposition_template(_scored_as_flagged(spark, sf))
+def _fraud_kpis(t: cleaning.CleanTables) -> DataFrame:
+    return rules.fraud_kpis(_scored(t), CFG)
 
 
 def q_disposition_kpis(spark, sf):
-    txns = tpch.transactions(spark, sf)
-    return rules.disposition_kpis(
-        _scored_as_flagged(spark, sf), tpch.dispositions(spark, sf, txns)
-    )
-
-
-def q_profiling_kpis(spark, sf):
-    return profiles.profiling_kpis(_profiles(spark, sf))
-
+    t = _shared(spark, sf)
+    decisions = tpch.dispositions(spark, sf, t.transactions)
+    return rules.disposition_kpis(_flagged_only(t), decisions)
 
-def q_compliance_kpis(spark, sf):
-    return compliance.compliance_kpis(_compliance(spark, sf))
 
+def _bank_kpis(t: cleaning.CleanTables) -> DataFrame:
+    return bank_ops.bank_kpis(_comparison(t), CFG)
 
-def q_compliance_region_rollup(spark, sf):
-    return compliance.compliance_region_rollup(_compliance(spark, sf))
 
-
-def q_bank_kpis(spark, sf):
-    return bank_ops.bank_kpis(_comparison(spark, sf), CFG)
-
-
-def q_top_banks(spark, sf):
-    return bank_ops.top_banks(_ranked(spark, sf))
-
-
-# ------------------------------------------------------------------- KPIs and alerts
-
-
-def _dq_clean_binding(spark, sf) -> DataFrame:
-    """Quality indicators of the well-formed tables, staged from themselves."""
-    t = tpch.clean_tables(spark, sf)
-    txns = materialise(t.transactions, "transactions")
-    staged = {
-        "customers": t.customers,
-        "banks": t.banks,
-        "transactions": txns.withColumnRenamed("txn_date", "date"),
-        "sanctions": t.sanctions,
-    }
-    return quality.dq_kpis(staged, t._replace(transactions=txns))
-
-
-def _kpis(spark, sf) -> DataFrame:
+def _kpi_summary(t: cleaning.CleanTables) -> DataFrame:
     return kpis.kpi_summary(
-        _dq_clean_binding(spark, sf),
-        q_fraud_kpis(spark, sf),
-        q_profiling_kpis(spark, sf),
-        q_compliance_kpis(spark, sf),
-        q_bank_kpis(spark, sf),
+        quality.dq_kpis(t.transactions, t),
+        _fraud_kpis(t),
+        profiles.profiling_kpis(_profiles(t)),
+        compliance.compliance_kpis(_compliance(t)),
+        _bank_kpis(t),
         RUN_TS,
     )
 
 
-def q_alerts(spark, sf):
-    critical = q_fraud_kpis(spark, sf).select(
+def _alerts(t: cleaning.CleanTables) -> DataFrame:
+    critical = _fraud_kpis(t).select(
         F.col("critical_count").alias("critical_flags"), F.lit(RUN_TS).alias("generated_at_utc")
     )
-    return kpis.alerts(critical, _compliance(spark, sf), CFG)
-
-
-# -------------------------------------------------------------------- reports, views
+    return kpis.alerts(critical, _compliance(t), CFG)
 
 
-def q_severity_distribution(spark, sf):
-    return reports.severity_distribution(_scored_as_flagged(spark, sf))
-
-
-def q_score_distribution(spark, sf):
-    return reports.score_distribution(_scored_as_flagged(spark, sf))
-
-
-def q_amount_histogram(spark, sf):
-    amounts = materialise(_scored_as_flagged(spark, sf).select("amount"), "flagged_amounts")
+def _amount_histogram(t: cleaning.CleanTables) -> DataFrame:
+    amounts = materialise(_flagged_only(t).select("amount"), "flagged_amounts")
     return reports.amount_histogram(amounts)
 
 
-def q_flagged_by_region(spark, sf):
-    return reports.flagged_by_region(_flagged(spark, sf))
-
-
-def q_top_flagged(spark, sf):
-    return reports.top_flagged(_flagged(spark, sf))
-
-
-def q_segment_crosstab(spark, sf):
-    return views.segment_crosstab(_profiles(spark, sf))
-
-
-def q_frequency_amount_points(spark, sf):
-    return views.frequency_amount_points(_profiles(spark, sf))
-
-
-def q_sanction_reason_totals(spark, sf):
-    return compliance.sanction_reason_totals(_compliance(spark, sf))
-
-
-def q_compliance_risk_points(spark, sf):
-    return bank_ops.compliance_risk_points(_ranked(spark, sf))
-
-
-def q_high_risk_region_count(spark, sf):
-    return features.high_risk_region_count(q_region_risk_view(spark, sf))
-
-
-def q_search_flagged(spark, sf):
-    return views.view_flagged(
-        views.search_flagged(
-            _flagged(spark, sf), text="customer#00000001", severity="High", sort="amount"
-        )
+def _search_flagged(t: cleaning.CleanTables) -> DataFrame:
+    found = views.search_flagged(
+        _flagged(t), text="customer#00000001", severity="High", sort="amount"
     )
+    return views.view_flagged(found)
 
 
-def q_search_customers(spark, sf):
+def _search_customers(t: cleaning.CleanTables) -> DataFrame:
     return views.search_customers(
-        _profiles(spark, sf), text="#000", segment="Medium", region="ASIA", sort="composite_risk_score"
+        _profiles(t), text="#000", segment="Medium", region="ASIA", sort="composite_risk_score"
     )
 
 
-def q_search_below_threshold_banks(spark, sf):
+def _search_below(t: cleaning.CleanTables) -> DataFrame:
     return views.search_below_threshold_banks(
-        _compliance(spark, sf), text="SUPPLIER", sort="compliance_score"
+        _compliance(t), text="SUPPLIER", sort="compliance_score"
     )
 
 
-def q_search_banks(spark, sf):
-    return views.search_banks(_ranked(spark, sf), region="EUROPE", sort="risk_rank")
-
-
-def q_view_flagged(spark, sf):
-    return views.view_flagged(_flagged(spark, sf))
-
-
-def q_view_customers(spark, sf):
-    return views.view_customers(_profiles(spark, sf))
-
-
-def q_view_banks(spark, sf):
-    return views.view_banks(_ranked(spark, sf))
-
-
-def q_view_bank_compliance(spark, sf):
-    return views.view_bank_compliance(_compliance(spark, sf))
-
-
 # ------------------------------------------------------------------------- streaming
 
 
-def _feed(spark: SparkSession, txns: DataFrame) -> DataFrame:
-    """The transactions as a file stream."""
-    path = new_folder(spark, "feed")
-    txns.write.parquet(path)
-    return spark.readStream.schema(txns.schema).parquet(path)
-
-
 def _scored_stream(spark, sf) -> DataFrame:
+    """The transactions as a file stream, scored against the features of the same rows."""
     t = tpch.clean_tables(spark, sf)
-    customer_side, bank_side = _signals(t)
-    snapshot = materialise(customer_side, "customer_signals")
-    return scoring.score_stream(_feed(spark, t.transactions), snapshot, bank_side, CFG)
+    path = new_folder(spark, "feed")
+    t.transactions.write.parquet(path)
+    feed = spark.readStream.schema(t.transactions.schema).parquet(path)
+    arrived = spark.read.schema(t.transactions.schema).parquet(path)
+    snapshot = t._replace(transactions=arrived, sanctions=materialise(t.sanctions, "sanctions"))
+    return scoring.score_stream(feed, *_signals(snapshot), CFG)
 
 
 def q_score_stream(spark, sf):
@@ -421,7 +337,7 @@ def q_alert_stream(spark, sf):
     out = new_folder(spark, "alerts")
     scoring.alert_stream(
         _scored_stream(spark, sf),
-        materialise(_compliance(spark, sf), "compliance"),
+        materialise(_compliance(tpch.clean_tables(spark, sf)), "compliance"),
         out,
         new_folder(spark, "alerts-state"),
         CFG,
@@ -444,6 +360,7 @@ def q_region_monitor_stream(spark, sf):
 # -------------------------------------------------------------------------- registry
 
 QUERIES: dict[str, Query] = {
+    # quality and cleaning, on the tables with defects
     "null_report": q_null_report,
     "duplicate_keys": q_duplicate_keys,
     "duplicate_rows": q_duplicate_rows,
@@ -451,6 +368,7 @@ QUERIES: dict[str, Query] = {
     "orphans_bank": q_orphans_bank,
     "orphans_customer": q_orphans_customer,
     "staged_transactions": q_staged_transactions,
+    "enforce_fk": q_enforce_fk,
     "clean_customers": q_clean_customers,
     "clean_banks": q_clean_banks,
     "clean_transactions": q_clean_transactions,
@@ -458,47 +376,59 @@ QUERIES: dict[str, Query] = {
     "quarantine": q_quarantine,
     "iqr_outliers_ntile": q_iqr_outliers_ntile,
     "iqr_outliers_linear": q_iqr_outliers_linear,
-    "dq_sql_kpis": q_dq_sql_kpis,
     "dq_kpis": q_dq_kpis,
-    "feature_coverage": q_feature_coverage,
-    "customer_features": _customer_features,
-    "bank_features": _bank_features,
-    "region_features": q_region_features,
-    "transaction_flags": _flags,
-    "scored_transactions": _scored,
-    "flagged_transactions": _flagged,
-    "fraud_kpis": q_fraud_kpis,
-    "disposition_template": q_disposition_template,
+    # the well-formed tables
+    "dq_sql_kpis": over_clean(lambda t: quality.dq_sql_kpis(t.transactions)),
+    "feature_coverage": over_clean(lambda t: quality.feature_coverage(_customer_features(t))),
+    "customer_features": over_clean(_customer_features),
+    "bank_features": over_clean(_bank_features),
+    "region_features": over_clean(lambda t: features.region_features(t.customers, t.transactions)),
+    "transaction_flags": over_shared(_flags),
+    "scored_transactions": over_shared(_scored),
+    "flagged_transactions": over_shared(_flagged),
+    "fraud_kpis": over_shared(_fraud_kpis),
+    "disposition_template": over_shared(lambda t: rules.disposition_template(_flagged_only(t))),
     "disposition_kpis": q_disposition_kpis,
-    "customer_risk_profiles": _profiles,
-    "profiling_kpis": q_profiling_kpis,
-    "bank_compliance_profiles": _compliance,
-    "compliance_kpis": q_compliance_kpis,
-    "compliance_region_rollup": q_compliance_region_rollup,
-    "bank_risk_comparison_ranked": _ranked,
-    "bank_kpis": q_bank_kpis,
-    "top_banks": q_top_banks,
-    "kpi_summary": _kpis,
-    "alerts": q_alerts,
-    "severity_distribution": q_severity_distribution,
-    "score_distribution": q_score_distribution,
-    "amount_histogram": q_amount_histogram,
-    "flagged_by_region": q_flagged_by_region,
-    "top_flagged": q_top_flagged,
-    "segment_crosstab": q_segment_crosstab,
-    "frequency_amount_points": q_frequency_amount_points,
-    "sanction_reason_totals": q_sanction_reason_totals,
-    "compliance_risk_points": q_compliance_risk_points,
-    "region_risk_view": q_region_risk_view,
-    "high_risk_region_count": q_high_risk_region_count,
-    "search_flagged": q_search_flagged,
-    "search_customers": q_search_customers,
-    "search_below_threshold_banks": q_search_below_threshold_banks,
-    "search_banks": q_search_banks,
-    "view_flagged": q_view_flagged,
-    "view_customers": q_view_customers,
-    "view_banks": q_view_banks,
-    "view_bank_compliance": q_view_bank_compliance,
+    "customer_risk_profiles": over_clean(_profiles),
+    "profiling_kpis": over_clean(lambda t: profiles.profiling_kpis(_profiles(t))),
+    "bank_compliance_profiles": over_clean(_compliance),
+    "compliance_kpis": over_clean(lambda t: compliance.compliance_kpis(_compliance(t))),
+    "compliance_region_rollup": over_clean(
+        lambda t: compliance.compliance_region_rollup(_compliance(t))
+    ),
+    "bank_risk_comparison_ranked": over_clean(_ranked),
+    "bank_kpis": over_clean(_bank_kpis),
+    "top_banks": over_clean(lambda t: bank_ops.top_banks(_ranked(t))),
+    "kpi_summary": over_shared(_kpi_summary),
+    "alerts": over_shared(_alerts),
+    # report tables
+    "severity_distribution": over_shared(lambda t: reports.severity_distribution(_flagged_only(t))),
+    "score_distribution": over_shared(lambda t: reports.score_distribution(_flagged_only(t))),
+    "amount_histogram": over_shared(_amount_histogram),
+    "flagged_by_region": over_shared(lambda t: reports.flagged_by_region(_flagged(t))),
+    "top_flagged": over_shared(lambda t: reports.top_flagged(_flagged(t))),
+    # screen tables
+    "segment_crosstab": over_clean(lambda t: views.segment_crosstab(_profiles(t))),
+    "frequency_amount_points": over_clean(lambda t: views.frequency_amount_points(_profiles(t))),
+    "sanction_reason_totals": over_clean(
+        lambda t: compliance.sanction_reason_totals(_compliance(t))
+    ),
+    "compliance_risk_points": over_clean(lambda t: bank_ops.compliance_risk_points(_ranked(t))),
+    "region_risk_view": over_clean(_region_risk),
+    "high_risk_region_count": over_clean(
+        lambda t: features.high_risk_region_count(_region_risk(t))
+    ),
+    "search_flagged": over_shared(_search_flagged),
+    "search_customers": over_clean(_search_customers),
+    "search_below_threshold_banks": over_clean(_search_below),
+    "search_banks": over_clean(
+        lambda t: views.search_banks(_ranked(t), region="EUROPE", sort="risk_rank")
+    ),
+    "view_flagged": over_shared(lambda t: views.view_flagged(_flagged(t))),
+    "view_customers": over_clean(lambda t: views.view_customers(_profiles(t))),
+    "view_banks": over_clean(lambda t: views.view_banks(_ranked(t))),
+    "view_bank_compliance": over_clean(lambda t: views.view_bank_compliance(_compliance(t))),
+    # streams
     "score_stream": q_score_stream,
     "alert_stream": q_alert_stream,
     "region_monitor_stream": q_region_monitor_stream,

@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+REJECT = "reject_reason"
+
+
 def violation(holds: Column, reason: str) -> Column:
     """The reason when the rule does not hold; NULL when it holds or is unknown."""
     return F.when(~holds, F.lit(reason))
@@ -21,7 +24,7 @@ def check_unique(df: DataFrame, key: str) -> DataFrame:
 
 
 def check_not_null(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Rows lacking a required value; ``reason`` names the first one missing."""
+    """Rows lacking a required value; ``reject_reason`` names the first one missing."""
     return _violations(df, F.coalesce(*missing_reasons(cols)))
 
 
@@ -56,4 +59,4 @@ def orphans(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
 
 
 def _violations(df: DataFrame, reason: Column) -> DataFrame:
-    return df.withColumn("reason", reason).where(F.col("reason").isNotNull())
+    return df.withColumn(REJECT, reason).where(F.col(REJECT).isNotNull())

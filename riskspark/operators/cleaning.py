@@ -6,6 +6,8 @@ quarantine with the first reason that applies.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
@@ -14,7 +16,7 @@ from pyspark.sql import types as T
 
 from riskspark import schemas
 from riskspark.functions.scalars import default_if_blank, parse_date, parse_flag
-from riskspark.operators.checks import in_range, missing_reasons, orphans, violation
+from riskspark.operators.checks import REJECT, in_range, missing_reasons, violation
 
 
 class CleanTables(NamedTuple):
@@ -56,6 +58,12 @@ def coerce_sources(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
 
 # ------------------------------------------------------------------------- row rules
 
+Keep = Callable[[DataFrame, str], DataFrame]  # stores a frame under a name, returns it
+
+
+def _lazy(df: DataFrame, name: str) -> DataFrame:
+    return df
+
 
 def _row_reason(table: str) -> Column:
     """First broken rule of a staging row, NULL for a good row."""
@@ -72,19 +80,57 @@ def _row_reason(table: str) -> Column:
     return F.coalesce(*rules)
 
 
-def _split(rows: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:
-    """(good rows, quarantined rows) by the row rules."""
-    reason = _row_reason(table)
-    good = rows.where(reason.isNull())
-    bad = rows.withColumn("reason", reason).where(F.col("reason").isNotNull())
-    return good, _quarantined(bad, table, F.col("reason"))
+def check_parent(staged: DataFrame, table: str) -> DataFrame:
+    """The distinct staging rows, each with the reason it is rejected for (``reject_reason``), or NULL."""
+    return staged.dropDuplicates().withColumn(REJECT, _row_reason(table))
+
+
+def check_child(
+    staged: DataFrame, table: str, customers: DataFrame, banks: DataFrame
+) -> DataFrame:
+    """All staging rows, each with the reason it is rejected for (``reject_reason``), or NULL.
+
+    One pass finds broken row rules and keys not on file, so that good rows and
+    quarantine can both be read from the result.
+    """
+    looked_up = _look_up(_look_up(staged, customers, "customer_id"), banks, "bank_id")
+    reason = F.coalesce(
+        _row_reason(table),
+        F.when(F.col("_customer_id_known").isNull(), "unknown_customer_id"),
+        F.when(F.col("_bank_id_known").isNull(), "unknown_bank_id"),
+    )
+    return looked_up.withColumn(REJECT, reason).select(*staged.columns, REJECT)
+
+
+def _look_up(rows: DataFrame, parent: DataFrame, key: str) -> DataFrame:
+    """Mark the rows whose key is on file.
+
+    Rows without a key would all be shuffled to one task, so each gets a made-up key
+    of its own. Whether that meets a parent is irrelevant: such a row is rejected for
+    the missing key before, and a parent key is unique, so no row is multiplied.
+    """
+    known = parent.select(F.col(key).alias("_on_file"), F.lit(1).alias(f"_{key}_known"))
+    made_up = F.monotonically_increasing_id()
+    return (
+        rows.withColumn("_lookup", F.coalesce(key, made_up))
+        .join(known, F.col("_lookup") == F.col("_on_file"), "left")
+        .drop("_lookup", "_on_file")
+    )
 
 
-def _quarantined(rows: DataFrame, table: str, reason: Column | str) -> DataFrame:
+def good_rows(checked: DataFrame) -> DataFrame:
+    return checked.where(F.col(REJECT).isNull()).drop(REJECT)
+
+
+def rejected_rows(checked: DataFrame, table: str) -> DataFrame:
+    return _quarantined(checked.where(F.col(REJECT).isNotNull()), table, F.col(REJECT))
+
+
+def _quarantined(rows: DataFrame, table: str, reason: Column) -> DataFrame:
     return rows.select(
         F.lit(table).alias("table_name"),
         F.col(schemas.PRIMARY_KEYS[table]).alias("key"),
-        (reason if isinstance(reason, Column) else F.lit(reason)).alias("reason"),
+        reason.alias("reason"),
     )
 
 
@@ -101,11 +147,15 @@ def dedupe(df: DataFrame, key: str, order_by: list[str]) -> DataFrame:
     return df.withColumn("_rn", F.row_number().over(first)).where("_rn = 1").drop("_rn")
 
 
-def _one_per_key(rows: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:
-    """(first row per key, quarantined further rows of the same key)."""
+def one_per_key(rows: DataFrame, table: str) -> DataFrame:
     key = schemas.PRIMARY_KEYS[table]
-    kept = dedupe(rows, key, [c for c in rows.columns if c != key])
-    return kept, _quarantined(rows.exceptAll(kept), table, "duplicate_key")
+    return dedupe(rows, key, [c for c in rows.columns if c != key])
+
+
+def repeated_rows(rows: DataFrame, kept: DataFrame, table: str) -> DataFrame:
+    """The rows that lost against another row of their key. As a difference of whole
+    rows it is an aggregation, so a key with very many rows is no hot spot."""
+    return _quarantined(rows.exceptAll(kept), table, F.lit("duplicate_key"))
 
 
 def enforce_fk(rows: DataFrame, customers: DataFrame, banks: DataFrame) -> DataFrame:
@@ -119,36 +169,17 @@ def enforce_fk(rows: DataFrame, customers: DataFrame, banks: DataFrame) -> DataF
     )
 
 
-def _fk_rejects(rows: DataFrame, customers: DataFrame, banks: DataFrame, table: str) -> DataFrame:
-    no_customer = orphans(rows, customers, "customer_id")
-    known = rows.join(customers.select("customer_id"), "customer_id", "left_semi")
-    return _quarantined(no_customer, table, "unknown_customer_id").unionByName(
-        _quarantined(orphans(known, banks, "bank_id"), table, "unknown_bank_id")
-    )
-
-
 # ----------------------------------------------------------------------------- clean
 
 
-def clean_parent(staged: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:
-    """Distinct rows that pass the row rules, one per key, and the quarantine."""
-    good, bad = _split(staged.dropDuplicates(), table)
-    kept, conflicts = _one_per_key(good, table)
-    return kept, bad.unionByName(conflicts)
-
+def clean_parent(checked: DataFrame, table: str) -> DataFrame:
+    """Good rows, one per key."""
+    return one_per_key(good_rows(checked), table)
 
-def valid_transactions(staged: DataFrame, customers: DataFrame, banks: DataFrame) -> DataFrame:
-    """Staged transactions that pass every rule, before duplicate ids are removed."""
-    good, _ = _split(staged, "transactions")
-    return enforce_fk(good, customers, banks)
 
-
-def clean_transactions(
-    staged: DataFrame, customers: DataFrame, banks: DataFrame
-) -> tuple[DataFrame, DataFrame]:
-    """Typed transactions, one per id, with defaults filled; and the quarantine."""
-    good, bad = _split(staged, "transactions")
-    filled = enforce_fk(good, customers, banks).select(
+def clean_transactions(checked: DataFrame) -> DataFrame:
+    """Good transactions with defaults filled, one per id."""
+    filled = good_rows(checked).select(
         "transaction_id",
         "customer_id",
         "bank_id",
@@ -159,35 +190,44 @@ def clean_transactions(
         F.coalesce("is_high_risk", F.lit(schemas.DEFAULT_HIGH_RISK)).alias("is_high_risk"),
         F.coalesce("is_valid_bank_id", F.lit(schemas.DEFAULT_VALID_BANK)).alias("is_valid_bank_id"),
     )
-    kept = dedupe(filled, "transaction_id", [c for c in filled.columns if c != "transaction_id"])
-    return kept, bad.unionByName(_fk_rejects(good, customers, banks, "transactions"))
+    return one_per_key(filled, "transactions")
 
 
-def clean_sanctions(
-    staged: DataFrame, customers: DataFrame, banks: DataFrame
-) -> tuple[DataFrame, DataFrame]:
-    good, bad = _split(staged, "sanctions")
-    filled = enforce_fk(good, customers, banks).withColumn(
-        "is_valid_bank_id", F.coalesce("is_valid_bank_id", F.lit(schemas.DEFAULT_VALID_BANK))
-    )
-    kept, repeats = _one_per_key(filled, "sanctions")
-    rejects = _fk_rejects(good, customers, banks, "sanctions")
-    return kept, bad.unionByName(rejects).unionByName(repeats)
+def fill_sanctions(checked: DataFrame) -> DataFrame:
+    """Good sanctions with the default filled, before ids are made unique."""
+    valid_bank = F.coalesce("is_valid_bank_id", F.lit(schemas.DEFAULT_VALID_BANK))
+    return good_rows(checked).withColumn("is_valid_bank_id", valid_bank)
 
 
-def clean(staged: dict[str, DataFrame], strict: bool = False) -> tuple[CleanTables, DataFrame]:
+def clean(
+    staged: dict[str, DataFrame], strict: bool = False, keep: Keep = _lazy
+) -> tuple[CleanTables, DataFrame]:
     """Clean tables and the quarantine (table_name, key, reason).
 
-    Parents come first: children are checked against the cleaned parents. With
-    ``strict`` a non-empty quarantine raises instead.
+    Parents come first: children are checked against the cleaned parents. Several
+    results share the checked rows and the parents; pass ``keep`` to store those once
+    instead of computing them for each (it gets a frame and a name, and returns the
+    stored frame). With ``strict`` a non-empty quarantine raises. Repeated transaction
+    ids are dropped, not quarantined: the quality indicators count them.
     """
-    customers, bad_customers = clean_parent(staged["customers"], "customers")
-    banks, bad_banks = clean_parent(staged["banks"], "banks")
-    transactions, bad_txns = clean_transactions(staged["transactions"], customers, banks)
-    sanctions, bad_sanctions = clean_sanctions(staged["sanctions"], customers, banks)
-    quarantine = (
-        bad_customers.unionByName(bad_banks).unionByName(bad_txns).unionByName(bad_sanctions)
-    )
+    checked, parents, rejected = {}, {}, []
+    for table in ("customers", "banks"):
+        checked[table] = keep(check_parent(staged[table], table), f"checked_{table}")
+        parents[table] = keep(clean_parent(checked[table], table), table)
+        rejected.append(rejected_rows(checked[table], table))
+        rejected.append(repeated_rows(good_rows(checked[table]), parents[table], table))
+    for table in ("transactions", "sanctions"):
+        checked[table] = keep(
+            check_child(staged[table], table, parents["customers"], parents["banks"]),
+            f"checked_{table}",
+        )
+        rejected.append(rejected_rows(checked[table], table))
+    filled = fill_sanctions(checked["sanctions"])
+    sanctions = keep(one_per_key(filled, "sanctions"), "sanctions")
+    rejected.append(repeated_rows(filled, sanctions, "sanctions"))
+    quarantine = reduce(DataFrame.unionByName, rejected)
     if strict and not quarantine.isEmpty():
         raise ValueError(f"rows broke a constraint, e.g. {quarantine.first()}")
-    return CleanTables(customers, banks, transactions, sanctions), quarantine
+    transactions = keep(clean_transactions(checked["transactions"]), "transactions")
+    tables = CleanTables(parents["customers"], parents["banks"], transactions, sanctions)
+    return tables, quarantine

@@ -16,8 +16,8 @@ from riskspark.functions.scalars import (
     round_half_up,
     safe_pct,
 )
-from riskspark.operators.checks import check_unique, orphans
-from riskspark.operators.cleaning import CleanTables, valid_transactions
+from riskspark.operators.checks import check_unique
+from riskspark.operators.cleaning import CleanTables
 from riskspark.operators.order_stats import iqr_outliers
 
 ISO_DATE_LIKE = "____-__-__"
@@ -89,22 +89,24 @@ def _cells(df: DataFrame, table: str, date_col: str | None = None) -> DataFrame:
     return df.agg(*aggs)
 
 
+def orphan_count(child: DataFrame, parent: DataFrame, key: str, name: str) -> DataFrame:
+    """Number of child rows without a parent, counted per key before the lookup."""
+    per_key = child.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    lost = per_key.join(parent.select(key), key, "left_anti")
+    return lost.agg(F.coalesce(F.sum("n"), F.lit(0)).alias(name))
+
+
 def dq_kpis(
-    staged: dict[str, DataFrame], clean: CleanTables, outlier_column: str = "amount"
+    valid_transactions: DataFrame, clean: CleanTables, outlier_column: str = "amount"
 ) -> DataFrame:
     """The ten data-quality indicators in one row.
 
     Cell completeness covers all four tables. Consistency is the unweighted mean of
-    the ISO-date share of transactions and of sanctions. Duplicates are counted, as
-    the valid rows beyond the one kept per transaction id.
+    the ISO-date share of transactions and of sanctions. ``valid_transactions`` are
+    the rows that passed every rule; those beyond the one kept per id count as
+    duplicates removed.
     """
     txns = clean.transactions
-    repeats = (
-        valid_transactions(staged["transactions"], clean.customers, clean.banks)
-        .groupBy("transaction_id")
-        .agg((F.count(F.lit(1)) - 1).alias("extra"))
-        .agg(F.coalesce(F.sum("extra"), F.lit(0)).alias("duplicate_transactions_removed"))
-    )
 
     def counted(df: DataFrame, name: str) -> DataFrame:
         return df.agg(F.count(F.lit(1)).alias(name))
@@ -114,13 +116,10 @@ def dq_kpis(
         _cells(clean.banks, "banks"),
         _cells(txns, "transactions", "txn_date"),
         _cells(clean.sanctions, "sanctions", "sanction_date"),
-        counted(orphans(txns.select("bank_id"), clean.banks, "bank_id"), "orphan_transaction_bank_fk"),
-        counted(
-            orphans(txns.select("customer_id"), clean.customers, "customer_id"),
-            "orphan_transaction_customer_fk",
-        ),
+        orphan_count(txns, clean.banks, "bank_id", "orphan_transaction_bank_fk"),
+        orphan_count(txns, clean.customers, "customer_id", "orphan_transaction_customer_fk"),
         counted(iqr_outliers(txns, outlier_column, "linear"), "amount_outliers_iqr"),
-        repeats,
+        counted(valid_transactions, "valid_transactions"),
     )
 
     def total(prefix: str) -> Column:
@@ -135,7 +134,9 @@ def dq_kpis(
         "orphan_transaction_bank_fk",
         "orphan_transaction_customer_fk",
         "amount_outliers_iqr",
-        "duplicate_transactions_removed",
+        (F.col("valid_transactions") - F.col("total_transactions")).alias(
+            "duplicate_transactions_removed"
+        ),
         "total_customers",
         "total_banks",
         "total_transactions",
