@@ -17,6 +17,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SKETCH_ACCURACY = 10_000
 FINISH_BELOW = 100_000  # candidates sorted within one task, at most
@@ -28,6 +29,7 @@ class _Search:
 
     k: int
     size: int
+    base: Any  # a value below or at all candidates
     low: Any = None
     high: Any = None
     answer: Any = None
@@ -61,7 +63,8 @@ def order_statistics(
 ) -> dict[int, Any]:
     """The values at the given 1-based ranks; ``total`` is the number of values."""
     values = column_values(df, column)
-    searches = {rank: _Search(rank, total) for rank in set(ranks)}
+    smallest = values.agg(F.min("v")).first()[0]
+    searches = {rank: _Search(rank, total, smallest) for rank in set(ranks)}
     while open_ := [s for s in searches.values() if not s.done]:
         large = [s for s in open_ if s.size > finish_below]
         if large:
@@ -91,7 +94,10 @@ def _finish(values: DataFrame, searches: list[_Search]) -> None:
 
 def _narrow(values: DataFrame, searches: list[_Search]) -> None:
     rows = _limited(values, searches)
-    brackets = rows.agg(*[_bracket(s).alias(str(i)) for i, s in enumerate(searches)]).first()
+    kind = values.schema["v"].dataType
+    brackets = rows.agg(
+        *[_bracket(s, kind).alias(str(i)) for i, s in enumerate(searches)]
+    ).first()
     counts = rows.agg(
         *[_position(s, b["low"], b["high"]).alias(str(i)) for i, (s, b) in enumerate(zip(searches, brackets))]
     ).first()
@@ -99,14 +105,26 @@ def _narrow(values: DataFrame, searches: list[_Search]) -> None:
         _step(s, b["low"], b["high"], c)
 
 
-def _bracket(s: _Search) -> Column:
-    """Two values close around the k-th candidate, never outside the candidates."""
+def _bracket(s: _Search, kind: T.DataType) -> Column:
+    """Two values close around the k-th candidate, never outside the candidates.
+
+    The sketch works on doubles. Decimals and integers enter it as the distance from
+    a lower bound, so that neighbours stay apart however many digits they have.
+    """
+    value, base = s.candidate(), F.lit(s.base)
+    exact_double = isinstance(kind, (T.DoubleType, T.FloatType))
+
+    def quantile(p: float) -> Column:
+        p = min(max(p, 0.0), 1.0)
+        if exact_double:
+            return F.percentile_approx(value, p, SKETCH_ACCURACY)
+        distance = F.percentile_approx((value - base).cast("double"), p, SKETCH_ACCURACY)
+        return (base + distance.cast(kind)).cast(kind)
+
     target, slack = (s.k - 0.5) / s.size, 2.0 / SKETCH_ACCURACY
-    value = s.candidate()
-    low = F.percentile_approx(value, max(target - slack, 0.0), SKETCH_ACCURACY)
-    high = F.percentile_approx(value, min(target + slack, 1.0), SKETCH_ACCURACY)
     return F.struct(
-        F.greatest(low, F.min(value)).alias("low"), F.least(high, F.max(value)).alias("high")
+        F.greatest(quantile(target - slack), F.min(value)).alias("low"),
+        F.least(quantile(target + slack), F.max(value)).alias("high"),
     )
 
 
@@ -131,13 +149,13 @@ def _step(s: _Search, low: Any, high: Any, n) -> None:
         return
     k -= n["at_low"]
     if k <= n["between"]:
-        s.low, s.high, s.k, s.size = low, high, k, n["between"]
+        s.low, s.high, s.base, s.k, s.size = low, high, low, k, n["between"]
         return
     k -= n["between"]
     if k <= n["at_high"]:
         s.answer = high
         return
-    s.low, s.k = high, k - n["at_high"]
+    s.low, s.base, s.k = high, high, k - n["at_high"]
     s.size -= n["below"] + n["at_low"] + n["between"] + n["at_high"]
 
 
