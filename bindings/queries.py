@@ -315,33 +315,31 @@ def _search_below(t: cleaning.CleanTables) -> DataFrame:
 # ------------------------------------------------------------------------- streaming
 
 
-def _scored_stream(spark, sf) -> DataFrame:
-    """The transactions as a file stream, scored against the features of the same rows."""
+def _arriving(spark, sf) -> tuple[DataFrame, DataFrame, DataFrame, cleaning.CleanTables]:
+    """The transactions as a file stream, and the features of the same rows."""
     t = tpch.clean_tables(spark, sf)
     path = new_folder(spark, "feed")
     t.transactions.write.parquet(path)
     feed = spark.readStream.schema(t.transactions.schema).parquet(path)
     arrived = spark.read.schema(t.transactions.schema).parquet(path)
-    snapshot = t._replace(transactions=arrived, sanctions=materialise(t.sanctions, "sanctions"))
-    return scoring.score_stream(feed, *_signals(snapshot), CFG)
+    t = t._replace(transactions=arrived, sanctions=materialise(t.sanctions, "sanctions"))
+    return (feed, *_signals(t), t)
 
 
 def q_score_stream(spark, sf):
+    feed, customer_side, bank_side, _ = _arriving(spark, sf)
     out = new_folder(spark, "scored")
-    scored = _scored_stream(spark, sf)
-    scoring.append_stream(scored, out, new_folder(spark, "scored-state")).awaitTermination()
-    return spark.read.schema(scored.schema).parquet(out)
+    state = new_folder(spark, "scored-state")
+    scoring.score_stream(feed, customer_side, bank_side, out, state, CFG).awaitTermination()
+    return spark.read.parquet(out).drop("batch_id")
 
 
 def q_alert_stream(spark, sf):
+    feed, customer_side, bank_side, t = _arriving(spark, sf)
+    profile = materialise(_compliance(t), "compliance")
     out = new_folder(spark, "alerts")
     scoring.alert_stream(
-        _scored_stream(spark, sf),
-        materialise(_compliance(tpch.clean_tables(spark, sf)), "compliance"),
-        out,
-        new_folder(spark, "alerts-state"),
-        CFG,
-        RUN_TS,
+        feed, customer_side, bank_side, profile, out, new_folder(spark, "alerts-state"), CFG, run_ts=RUN_TS
     ).awaitTermination()
     return spark.read.parquet(out).withColumn("batch_id", F.col("batch_id").cast("bigint"))
 

@@ -58,12 +58,21 @@ def column_values(df: DataFrame, column: str) -> DataFrame:
     return values
 
 
+def extent(df: DataFrame, column: str) -> tuple[int, Any]:
+    """Number of values and the smallest one."""
+    return tuple(column_values(df, column).agg(F.count("v"), F.min("v")).first())
+
+
 def order_statistics(
-    df: DataFrame, column: str, ranks: list[int], total: int, finish_below: int = FINISH_BELOW
+    df: DataFrame,
+    column: str,
+    ranks: list[int],
+    total: int,
+    smallest: Any,
+    finish_below: int = FINISH_BELOW,
 ) -> dict[int, Any]:
-    """The values at the given 1-based ranks; ``total`` is the number of values."""
+    """The values at the given 1-based ranks, from the column's ``extent``."""
     values = column_values(df, column)
-    smallest = values.agg(F.min("v")).first()[0]
     searches = {rank: _Search(rank, total, smallest) for rank in set(ranks)}
     while open_ := [s for s in searches.values() if not s.done]:
         large = [s for s in open_ if s.size > finish_below]
@@ -167,12 +176,12 @@ def quartiles(
     ``ntile``: the largest value of the first and the smallest of the last of four
     equal tiles. ``linear``: interpolated between the two nearest ranks.
     """
-    n = column_values(df, column).count()
+    n, smallest = extent(df, column)
     if method == "ntile":
         if n < 4:
             return None
         first, last = (n + 3) // 4, n - n // 4 + 1
-        at = order_statistics(df, column, [first, last], n, finish_below)
+        at = order_statistics(df, column, [first, last], n, smallest, finish_below)
         return at[first], at[last]
     if method != "linear":
         raise ValueError(f"unknown quartile method: {method}")
@@ -180,7 +189,7 @@ def quartiles(
         return None
     positions = [divmod((n - 1) * q, 4) for q in (1, 3)]
     wanted = [min(i + d, n) for i, _ in positions for d in (1, 2)]
-    at = order_statistics(df, column, wanted, n, finish_below)
+    at = order_statistics(df, column, wanted, n, smallest, finish_below)
     return tuple(_between(at[i + 1], at[min(i + 2, n)], part) for i, part in positions)
 
 

@@ -17,20 +17,25 @@ def region_monitor_stream(
     """Transaction and high-risk counts per customer region and time bucket.
 
     ``txns`` needs customer_id, event_time, amount and is_high_risk. A bucket is
-    final, and emitted, once the newest event is ``lateness`` past its end. The state
-    is one row per region and open bucket, merged before the shuffle.
+    final, and emitted, once the newest event is ``lateness`` past its end. Counting
+    per customer comes before the lookup of the region: a customer with very many
+    transactions is then one row per task, and the state is bounded by the customers
+    active in the open buckets.
     """
-    where = customers.select("customer_id", "region")
-    n, n_high = F.count(F.lit(1)), count_where(F.col("is_high_risk") == 1)
-    return (
+    counts = ("txn_count", "high_risk_txn_count", "total_amount")
+    per_customer = (
         txns.withWatermark("event_time", lateness)
-        .join(where, "customer_id")
-        .groupBy(F.window("event_time", bucket), "region")
+        .groupBy(F.window("event_time", bucket), "customer_id")
         .agg(
-            n.alias("txn_count"),
-            n_high.alias("high_risk_txn_count"),
+            F.count(F.lit(1)).alias("txn_count"),
+            count_where(F.col("is_high_risk") == 1).alias("high_risk_txn_count"),
             F.sum("amount").alias("total_amount"),
         )
+    )
+    return (
+        per_customer.join(customers.select("customer_id", "region"), "customer_id")
+        .groupBy("window", "region")
+        .agg(*[F.sum(c).alias(c) for c in counts])
         .select(
             F.col("window.start").alias("bucket_start"),
             F.col("window.end").alias("bucket_end"),

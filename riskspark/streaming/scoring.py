@@ -1,9 +1,14 @@
-"""Scoring of newly arriving transactions, and alerts from them."""
+"""Scoring of newly arriving transactions, and alerts from them.
+
+Repeated transactions are removed by the stream; the scoring itself runs on each
+micro-batch as an ordinary batch join. Only there does Spark adapt a join to what it
+meets at run time, and split a customer or bank that owns much of a batch.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
-from typing import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,77 +17,98 @@ from pyspark.sql.streaming import StreamingQuery
 from riskspark.config import DEFAULT, RiskConfig
 from riskspark.functions.scalars import count_where
 from riskspark.operators.features import transaction_flags
-from riskspark.operators.kpis import run_time, alerts
+from riskspark.operators.kpis import alerts, run_time
 from riskspark.operators.rules import score_transactions
 
 
-def score_stream(
-    new_txns: DataFrame,
-    customer_features: DataFrame,
-    bank_features: DataFrame,
-    cfg: RiskConfig = DEFAULT,
-    lateness: str = "7 days",
-) -> DataFrame:
-    """Score a stream of transactions against the last feature snapshot.
+def once_each(new_txns: DataFrame, lateness: str = "7 days") -> DataFrame:
+    """The stream without transactions sent again within ``lateness``.
 
-    A transaction sent again within ``lateness`` (event time: the transaction date)
-    is scored once; the ids remembered are bounded by the same span. Frequency and
-    sanctions come from the snapshot, so scoring the same rows in a batch against
-    the same snapshot gives the same result.
+    Event time is the transaction date. The ids remembered are bounded by the same
+    span, and so is how late a transaction may arrive.
     """
-    fresh = (
+    return (
         new_txns.withColumn("event_time", F.col("txn_date").cast("timestamp"))
         .withWatermark("event_time", lateness)
         .dropDuplicatesWithinWatermark(["transaction_id"])
         .drop("event_time")
     )
-    return score_transactions(transaction_flags(fresh, customer_features, bank_features, cfg), cfg)
 
 
-def alert_batch(
-    compliance_profiles: DataFrame,
+def score_stream(
+    new_txns: DataFrame,
+    customer_features: DataFrame,
+    bank_features: DataFrame,
     path: str,
+    checkpoint: str,
     cfg: RiskConfig = DEFAULT,
-    run_ts: datetime | None = None,
-) -> Callable[[DataFrame, int], None]:
-    """The ``foreachBatch`` function that appends the alerts of a micro-batch.
+    lateness: str = "7 days",
+) -> StreamingQuery:
+    """Score what has arrived against the last feature snapshot, until it is used up.
 
-    Every batch owns one folder of the alert table and rewrites only that, so a
-    batch repeated after a failure does not raise its alerts twice.
+    Frequency and sanctions come from the snapshot, so scoring the same rows in a
+    batch against the same snapshot gives the same result. Pass stored marts as
+    features: Spark then knows their size.
     """
 
-    def append(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():  # the closing batch that only moves the watermark on
-            return
-        state = batch.agg(
-            count_where(F.col("severity") == "Critical").alias("critical_flags"),
-        ).withColumn("generated_at_utc", run_time(run_ts))
-        alerts(state, compliance_profiles, cfg).write.mode("overwrite").parquet(
-            f"{path}/batch_id={batch_id}"
-        )
+    def score(batch: DataFrame) -> DataFrame:
+        return score_transactions(transaction_flags(batch, customer_features, bank_features, cfg), cfg)
 
-    return append
+    return _per_batch(once_each(new_txns, lateness), score, path, checkpoint)
 
 
 def alert_stream(
-    scored: DataFrame,
+    new_txns: DataFrame,
+    customer_features: DataFrame,
+    bank_features: DataFrame,
     compliance_profiles: DataFrame,
     path: str,
     checkpoint: str,
     cfg: RiskConfig = DEFAULT,
+    lateness: str = "7 days",
     run_ts: datetime | None = None,
 ) -> StreamingQuery:
-    """Start raising alerts from a scored stream, until its input is used up."""
+    """Raise the alerts of each micro-batch that brought transactions."""
+
+    def raise_alerts(batch: DataFrame) -> DataFrame:
+        flags = transaction_flags(batch, customer_features, bank_features, cfg)
+        found = score_transactions(flags, cfg).agg(
+            count_where(F.col("severity") == "Critical").alias("critical_flags"),
+            F.count(F.lit(1)).alias("arrived"),
+        )
+        state = found.where("arrived > 0").select(
+            "critical_flags", run_time(run_ts).alias("generated_at_utc")
+        )
+        return alerts(state, compliance_profiles, cfg)
+
+    return _per_batch(once_each(new_txns, lateness), raise_alerts, path, checkpoint)
+
+
+def _per_batch(
+    stream: DataFrame, make: Callable[[DataFrame], DataFrame], path: str, checkpoint: str
+) -> StreamingQuery:
     return (
-        scored.writeStream.foreachBatch(alert_batch(compliance_profiles, path, cfg, run_ts))
+        stream.writeStream.foreachBatch(batch_writer(make, path))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
 
 
+def batch_writer(
+    make: Callable[[DataFrame], DataFrame], path: str
+) -> Callable[[DataFrame, int], None]:
+    """Every batch owns one folder of the table and replaces only that, so a batch
+    repeated after a failure adds nothing twice."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        make(batch).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    return write
+
+
 def append_stream(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Start appending a stream to a Parquet table, until its input is used up."""
+    """Append a stream to a Parquet table, until its input is used up."""
     return (
         df.writeStream.format("parquet")
         .outputMode("append")

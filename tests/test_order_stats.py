@@ -5,7 +5,14 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from riskspark.operators.order_stats import column_values, iqr_outliers, order_statistics, quartiles
+from riskspark.operators import order_stats
+from riskspark.operators.order_stats import (
+    column_values,
+    extent,
+    iqr_outliers,
+    order_statistics,
+    quartiles,
+)
 from riskspark.operators.reports import amount_histogram
 from tests.helpers import rows
 
@@ -29,16 +36,27 @@ def test_ranks_are_exact_through_every_narrowing(spark, shape):
     values = sorted(v for v in SHAPES[shape] if v is not None and v == v)
     n = len(values)
     ranks = [1, 2, n // 4, n // 2, n - n // 4 + 1, n]
-    got = order_statistics(_frame(spark, SHAPES[shape]), "v", ranks, n, finish_below=3)
+    got = order_statistics(_frame(spark, SHAPES[shape]), "v", ranks, n, values[0], finish_below=3)
     assert got == {r: values[r - 1] for r in ranks}
 
 
 def test_exact_for_decimals_beyond_double_precision(spark):
     values = [D("12345678901234567.00") + D(i) / 100 for i in range(1000)]
-    got = order_statistics(_frame(spark, values, "decimal(20,2)"), "v", [250, 751], 1000, finish_below=5)
+    got = order_statistics(_frame(spark, values, "decimal(20,2)"), "v", [250, 751], 1000, values[0], finish_below=5)
     assert got == {250: values[249], 751: values[750]}
 
 
+@pytest.mark.parametrize("kind", ["double", "bigint", "decimal(20,2)"])
+def test_a_coarse_sketch_only_costs_rounds(spark, monkeypatch, kind):
+    """With a sketch far too coarse for the data the answers stay exact."""
+    monkeypatch.setattr(order_stats, "SKETCH_ACCURACY", 20)
+    big = spark.range(20_000).select(F.pmod(F.xxhash64("id"), F.lit(9_000)).cast(kind).alias("v"))
+    values = sorted(r[0] for r in big.collect())
+    assert extent(big, "v") == (20_000, values[0])
+    got = order_statistics(big, "v", [5_000, 15_001], 20_000, values[0], finish_below=50)
+    assert got == {5_000: values[4_999], 15_001: values[15_000]}
+
+
 @pytest.mark.parametrize("values, expected", [
     ([1.0, 2.0, 3.0], None),
     ([1.0, 2.0, 3.0, 4.0], (1.0, 4.0)),
