@@ -12,6 +12,8 @@ TRUE_WORDS = ["true", "1", "yes", "y", "t"]
 FALSE_WORDS = ["false", "0", "no", "n", "f"]
 BAD_FLAG = -1
 
+ISO_DATE = r"^\d{4}-\d{2}-\d{2}$"
+
 
 def round_half_up(col: Column, digits: int) -> Column:
     """Round a double half away from zero on its decimal digits.
@@ -53,11 +55,17 @@ def parse_flag(col: Column) -> Column:
 
 
 def parse_date(col: Column) -> Column:
-    """ISO or MM/DD/YYYY text to a date, decided per row; anything else is NULL."""
+    """ISO or MM/DD/YYYY text to a date, decided per row; anything else is NULL.
+
+    The cast alone would also take short or trailing forms, so the date must read
+    back as the text it came from. (Formatters and patterns cost several times more.)
+    """
     text = F.trim(col)
-    return F.coalesce(
-        F.try_to_date(text, "yyyy-MM-dd"), F.try_to_date(text, "MM/dd/yyyy")
-    )
+    year, month, day = text.substr(7, 4), text.substr(1, 2), text.substr(4, 2)
+    with_slashes = (F.length(text) == 10) & (text.substr(3, 1) == "/") & (text.substr(6, 1) == "/")
+    iso = F.when(with_slashes, F.concat_ws("-", year, month, day)).otherwise(text)
+    date = iso.try_cast("date")
+    return F.when(date.cast("string") == iso, date)
 
 
 def count_where(predicate: Column) -> Column:

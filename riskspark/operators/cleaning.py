@@ -105,14 +105,15 @@ def check_child(
 def _look_up(rows: DataFrame, parent: DataFrame, key: str) -> DataFrame:
     """Mark the rows whose key is on file.
 
-    Rows without a key would all be shuffled to one task, so each gets a made-up key
-    of its own. Whether that meets a parent is irrelevant: such a row is rejected for
-    the missing key before, and a parent key is unique, so no row is multiplied.
+    Rows without a key would all be shuffled to one task, so each gets a made-up key:
+    a hash of the row, which comes out the same when a lost task is run again. Whether
+    it meets a parent is irrelevant: such a row is rejected for the missing key before,
+    and a parent key is unique, so no row is multiplied. A key that very many rows
+    share is split by Spark's skew join, as the rows are on the outer side.
     """
     known = parent.select(F.col(key).alias("_on_file"), F.lit(1).alias(f"_{key}_known"))
-    made_up = F.monotonically_increasing_id()
     return (
-        rows.withColumn("_lookup", F.coalesce(key, made_up))
+        rows.withColumn("_lookup", F.coalesce(key, F.xxhash64(*rows.columns)))
         .join(known, F.col("_lookup") == F.col("_on_file"), "left")
         .drop("_lookup", "_on_file")
     )

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from riskspark import schemas
 from riskspark.functions.scalars import (
+    ISO_DATE,
     count_where,
     is_blank,
     merge_single_rows,
@@ -21,7 +22,6 @@ from riskspark.operators.cleaning import CleanTables
 from riskspark.operators.order_stats import iqr_outliers
 
 ISO_DATE_LIKE = "____-__-__"
-ISO_DATE_REGEX = r"^\d{4}-\d{2}-\d{2}$"
 
 
 def null_report(staged: dict[str, DataFrame]) -> DataFrame:
@@ -83,7 +83,7 @@ def _cells(df: DataFrame, table: str, date_col: str | None = None) -> DataFrame:
         cells.alias(f"cells_{table}"),
     ]
     if date_col:
-        iso = F.col(date_col).cast("string").rlike(ISO_DATE_REGEX)
+        iso = F.col(date_col).cast("string").rlike(ISO_DATE)
         share = F.try_divide(F.lit(100.0) * count_where(iso), n.cast("double"))
         aggs.append(share.alias(f"iso_{table}"))
     return df.agg(*aggs)

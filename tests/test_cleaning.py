@@ -12,10 +12,12 @@ from tests.helpers import banks, customers, raw, raw_sources, rows, txns
 
 def test_dates_are_read_row_by_row(spark):
     df = spark.createDataFrame(
-        [("2024-01-02",), ("03/04/2024",), ("13/45/2024",), ("",), (None,), (" 2024-05-06 ",), ("abcd-ef-gh",)], "d string"
+        [("2024-01-02",), ("03/04/2024",), ("13/45/2024",), ("",), (None,), (" 2024-05-06 ",), ("abcd-ef-gh",),
+         ("2024-1-2",), ("2024-01-2T",), ("03/0412024",), ("03/04/2024x",), ("2024",), ("02/30/2024",)], "d string"
     )
     assert [r[0] for r in df.select(parse_date(F.col("d"))).collect()] == [
         date(2024, 1, 2), date(2024, 3, 4), None, None, None, date(2024, 5, 6), None,
+        None, None, None, None, None, None,
     ]
 
 

@@ -117,6 +117,9 @@ def test_rows_without_a_key_are_spread_over_the_tasks(spark, tiny_skew_threshold
     c = spark.range(400).select(F.col("id").alias("customer_id"))
     b = spark.range(20).select(F.col("id").alias("bank_id"))
     checked = cleaning.check_child(t, "transactions", c, b)
+    assert checked.collect() and "skew=true" in plan_of(checked)  # the hot customer
+    spread = checked.where("customer_id is null").select(F.pmod(F.xxhash64(*t.columns), F.lit(16)).alias("task"))
+    assert spread.groupBy("task").count().agg(F.max("count")).first()[0] < 20_000 / 8
     reasons = {r[0]: r[1] for r in checked.groupBy("reject_reason").count().collect()}
     lacking = t.where("customer_id is null").count()
     unknown = t.where("customer_id >= 400").count()
