@@ -97,8 +97,14 @@ def banks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One transaction per (order, line number); the key is not unique in the table."""
-    rows = _lines(spark, sf_dir).select(
-        _line_id().alias("transaction_id"),
+    lines = _lines(spark, sf_dir).withColumn("transaction_id", _line_id())
+    first = dedupe(
+        lines,
+        "transaction_id",
+        ["l_suppkey", "l_partkey", "l_extendedprice", "l_shipdate", "l_returnflag", "l_linestatus"],
+    )
+    return first.select(
+        "transaction_id",
         F.col("o_custkey").alias("customer_id"),
         F.col("l_suppkey").alias("bank_id"),
         (F.col("l_extendedprice").cast("decimal(18,2)") * F.lit(Decimal("0.1"))).alias("amount"),
@@ -108,9 +114,6 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_returnflag") == "R", 1).otherwise(0).alias("is_high_risk"),
         F.lit(1).alias("is_valid_bank_id"),
     )
-    return dedupe(
-        rows, "transaction_id", ["bank_id", "amount", "txn_date", "location", "is_high_risk"]
-    )
 
 
 def _listed(lines: DataFrame) -> DataFrame:

@@ -35,7 +35,7 @@ def test_no_python_no_cross_join_no_global_window_over_rows(spark, name):
 def test_scan_reads_only_needed_columns(spark):
     plan = plan_of(features.customer_signals(tpch.customers(spark, SF), tpch.transactions(spark, SF), tpch.sanctions(spark, SF)))
     assert "l_extendedprice" in plan  # decides which copy of an id is kept
-    assert "l_comment" not in plan and "c_name" not in plan
+    assert "l_quantity" not in plan and "c_name" not in plan
     assert "PushedFilters: [IsNotNull(l_returnflag)" in plan or "EqualTo(l_returnflag,R)" in plan
 
 
@@ -113,7 +113,7 @@ def test_hot_customer_is_split_in_the_fact_join(spark, tiny_skew_threshold):
 
 def test_rows_without_a_key_are_spread_over_the_tasks(spark, tiny_skew_threshold):
     t = _skewed(spark).withColumnRenamed("txn_date", "date")
-    t = t.withColumn("customer_id", F.when(F.col("transaction_id") % 2 == 0, F.col("customer_id")))
+    t = t.withColumn("customer_id", F.when(F.col("transaction_id") % 3 != 1, F.col("customer_id")))
     c = spark.range(400).select(F.col("id").alias("customer_id"))
     b = spark.range(20).select(F.col("id").alias("bank_id"))
     checked = cleaning.check_child(t, "transactions", c, b)
