@@ -119,7 +119,12 @@ def region_totals(customers: DataFrame, transactions: DataFrame) -> DataFrame:
 
 
 def region_features(customers: DataFrame, transactions: DataFrame) -> DataFrame:
-    return region_totals(customers, transactions).select(
+    return region_features_of(region_totals(customers, transactions))
+
+
+def region_features_of(totals: DataFrame) -> DataFrame:
+    """The region features from ``region_totals``, where those are stored already."""
+    return totals.select(
         "region",
         F.col("n").alias("txn_count"),
         round_money(F.try_divide("amount", "n")).alias("avg_txn_amount"),
@@ -133,8 +138,13 @@ def region_risk_view(
 ) -> DataFrame:
     """Per region: average amount of high-risk against all transactions, and whether
     the region counts as high-risk (``cfg.high_risk_region_pct``, a threshold of ours)."""
+    return region_risk_of(region_totals(customers, transactions), cfg)
+
+
+def region_risk_of(totals: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
+    """The regional risk view from ``region_totals``, where those are stored already."""
     pct = safe_pct(F.col("n_high"), F.col("n"))
-    return region_totals(customers, transactions).select(
+    return totals.select(
         "region",
         round_money(F.try_divide("amount", "n")).alias("avg_txn_amount"),
         round_money(F.try_divide("amount_high", "n_high")).alias("avg_high_risk_amount"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskspark import schemas
 from riskspark.config import DEFAULT, RiskConfig
 from riskspark.functions.scalars import count_where, flag, safe_pct
 
@@ -130,13 +131,13 @@ def disposition_kpis(flagged: DataFrame, dispositions: DataFrame) -> DataFrame:
         dispositions.select("transaction_id", "disposition"), "transaction_id", "left"
     )
     n = F.count(F.lit(1))
-    cleared = count_where(F.col("disposition") == "Cleared")
-    confirmed = count_where(F.col("disposition") == "Confirmed Fraud")
+    cleared = count_where(F.col("disposition") == schemas.CLEARED)
+    confirmed = count_where(F.col("disposition") == schemas.CONFIRMED)
     return decided.agg(
         n.alias("flagged_transaction_count"),
         confirmed.alias("confirmed_count"),
         cleared.alias("cleared_count"),
-        count_where(F.col("disposition") == "Escalated").alias("escalated_count"),
+        count_where(F.col("disposition") == schemas.ESCALATED).alias("escalated_count"),
         count_where(F.col("disposition").isNull()).alias("open_count"),
         safe_pct(cleared, n).alias("false_positive_rate_pct"),
         safe_pct(confirmed, n).alias("detection_accuracy_pct"),

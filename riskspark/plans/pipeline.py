@@ -109,8 +109,10 @@ def _features(clean, keep, cfg) -> None:
     keep(
         features.bank_features(clean.banks, clean.transactions, clean.sanctions), "bank_features"
     )
-    keep(features.region_features(clean.customers, clean.transactions), "region_features")
-    keep(features.region_risk_view(clean.customers, clean.transactions, cfg), "region_risk")
+    totals = keep(features.region_totals(clean.customers, clean.transactions), "region_totals")
+    keep(features.region_features_of(totals), "region_features")
+    region_risk = keep(features.region_risk_of(totals, cfg), "region_risk")
+    keep(features.high_risk_region_count(region_risk), "high_risk_region_count")
     keep(quality.feature_coverage(customers), "feature_coverage")
 
 

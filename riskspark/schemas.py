@@ -90,4 +90,5 @@ DEFAULT_CURRENCY = "USD"
 DEFAULT_HIGH_RISK = 0
 DEFAULT_VALID_BANK = 1
 
-DISPOSITIONS = ["Confirmed Fraud", "Cleared", "Escalated"]
+# What an analyst may decide on a flagged transaction.
+CONFIRMED, CLEARED, ESCALATED = "Confirmed Fraud", "Cleared", "Escalated"

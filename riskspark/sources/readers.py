@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from riskspark.schemas import SOURCE_FILES, STAGING
 
 
-def _text_schema(table: str) -> T.StructType:
+def text_schema(table: str) -> T.StructType:
     return T.StructType([T.StructField(f.name, T.StringType()) for f in STAGING[table]])
 
 
@@ -26,7 +26,7 @@ def read_sources(spark: SparkSession, folder: str, fmt: str = "csv") -> dict[str
     for table, file_name in SOURCE_FILES.items():
         if fmt == "csv":
             tables[table] = (
-                spark.read.schema(_text_schema(table))
+                spark.read.schema(text_schema(table))
                 .option("header", True)
                 .option("enforceSchema", False)
                 .option("escape", '"')

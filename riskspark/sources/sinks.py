@@ -35,7 +35,15 @@ def with_month(df: DataFrame, date_col: str = "txn_date", out: str = "txn_month"
 def export_mart(df: DataFrame, path: str, fmt: str = "csv", mode: str = "overwrite") -> None:
     """Export for other tools: CSV with a header, or JSON lines."""
     if fmt == "csv":
-        df.write.mode(mode).option("header", True).option("escape", '"').csv(path)
+        (
+            df.write.mode(mode)
+            .option("header", True)
+            .option("escape", '"')
+            .option("emptyValue", "")
+            .option("ignoreLeadingWhiteSpace", False)
+            .option("ignoreTrailingWhiteSpace", False)
+            .csv(path)
+        )
     elif fmt == "json":
         df.write.mode(mode).option("ignoreNullFields", False).json(path)
     else:

@@ -1,6 +1,6 @@
 """Scoring of newly arriving transactions, and alerts from them.
 
-Repeated transactions are removed by the stream; the scoring itself runs on each
+Repeated transactions are removed by the stream; the scoring itself runs on each stored
 micro-batch as an ordinary batch join. Only there does Spark adapt a join to what it
 meets at run time, and split a customer or bank that owns much of a batch.
 """
@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -88,7 +88,7 @@ def _per_batch(
     stream: DataFrame, make: Callable[[DataFrame], DataFrame], path: str, checkpoint: str
 ) -> StreamingQuery:
     return (
-        stream.writeStream.foreachBatch(batch_writer(make, path))
+        stream.writeStream.foreachBatch(batch_writer(stream.sparkSession, make, path))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -96,13 +96,21 @@ def _per_batch(
 
 
 def batch_writer(
-    make: Callable[[DataFrame], DataFrame], path: str
+    spark: SparkSession, make: Callable[[DataFrame], DataFrame], path: str
 ) -> Callable[[DataFrame, int], None]:
-    """Every batch owns one folder of the table and replaces only that, so a batch
-    repeated after a failure adds nothing twice."""
+    """Store each batch, then write what ``make`` derives from it below ``path``.
+
+    A frame handed over by a stream is planned without adaptive execution, whatever is
+    done with it. Read back (from ``path`` + ".arrived") in the caller's session it is
+    an ordinary table of known size. Every batch owns one folder of either table and
+    replaces only that, so a batch repeated after a failure adds nothing twice.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        make(batch).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        arrived = f"{path}.arrived/batch_id={batch_id}"
+        batch.write.mode("overwrite").parquet(arrived)
+        stored = spark.read.schema(batch.schema).parquet(arrived)
+        make(stored).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     return write
 

@@ -5,7 +5,7 @@ from decimal import Decimal
 
 from riskspark import schemas
 from riskspark.operators.cleaning import CleanTables
-from riskspark.sources.readers import _text_schema
+from riskspark.sources.readers import text_schema
 
 CUSTOMERS = "customer_id bigint, name string, email string, phone string, region string, risk_level string"
 BANKS = "bank_id bigint, name string, region string, compliance_score double"
@@ -56,7 +56,7 @@ def empty_tables(spark) -> CleanTables:
 
 def raw(spark, table, *rows):
     """Rows of text in the column order of the source."""
-    return spark.createDataFrame(list(rows), _text_schema(table))
+    return spark.createDataFrame(list(rows), text_schema(table))
 
 
 def raw_sources(spark, **tables):

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from bindings import tpch
 from riskspark.config import DEFAULT
 from riskspark.operators import banks, compliance, features, profiles, rules
+from riskspark.operators.order_stats import iqr_outliers
 
 SF = "/root/testdata/sf0.01"
 
@@ -54,3 +55,14 @@ def test_banks(small):
     assert counts(p, "compliance_status") == {"Below Threshold": 21, "Watch": 30, "Adequate": 49}
     c = banks.bank_risk_comparison(features.bank_features(small.banks, small.transactions, small.sanctions))
     assert c.where(F.col("bank_risk_score") >= DEFAULT.high_risk_bank_min).count() == 1
+
+
+def test_outliers_of_the_event_values(spark):
+    events = tpch.table(spark, SF, "events")
+    assert iqr_outliers(events, "value", "linear").count() == 463
+    assert iqr_outliers(events, "value", "ntile").count() == 462
+
+
+def test_defects_of_the_raw_tables_reach_every_report(spark):
+    raw = tpch.raw_transactions(spark, SF)
+    assert raw.count() == 60000 and raw.select("transaction_id").distinct().count() > 40000

@@ -59,8 +59,29 @@ def test_alerts_per_batch(spark, tmp_path):
     assert got.where("alert_type = 'BANKS_BELOW_COMPLIANCE_THRESHOLD'").count() == 2
 
 
+def test_micro_batches_are_joined_adaptively(spark, tmp_path):
+    c, b, t, s = _tables(spark)
+    plans = []
+
+    def make(batch):
+        out = features.transaction_flags(batch, *_sides(c, b, t, s))
+        plans.append(out._jdf.queryExecution().executedPlan().toString())
+        return out
+
+    stream = scoring.once_each(_files(spark, tmp_path / "in", [t]))
+    writer = scoring.batch_writer(spark, make, str(tmp_path / "out"))
+    (
+        stream.writeStream.foreachBatch(writer)
+        .option("checkpointLocation", str(tmp_path / "state"))
+        .trigger(availableNow=True)
+        .start()
+        .awaitTermination()
+    )
+    assert plans and all(p.startswith("AdaptiveSparkPlan") for p in plans)
+
+
 def test_a_repeated_batch_replaces_its_rows(spark, tmp_path):
-    write = scoring.batch_writer(lambda df: df.withColumn("seen", F.lit(1)), str(tmp_path / "a"))
+    write = scoring.batch_writer(spark, lambda df: df.withColumn("seen", F.lit(1)), str(tmp_path / "a"))
     batch = spark.createDataFrame([("Critical",)], "severity string")
     write(batch, 3)
     write(batch, 3)
