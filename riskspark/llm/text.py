@@ -17,9 +17,11 @@ _BASE = U64(0x9E3779B97F4A7C15)  # odd, so that it has an inverse modulo 2**64
 _INVERSE = U64(pow(int(_BASE), -1, 1 << 64))
 
 
-def slices(batch: pa.RecordBatch, column: str = "text", most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, *columns: str, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """The batch in runs of rows with about ``most`` bytes of text; a longer text comes alone."""
-    size = pc.fill_null(pc.binary_length(batch[column]), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    size = np.zeros(batch.num_rows, np.int64)
+    for c in columns or ("text",):
+        size += pc.fill_null(pc.binary_length(batch[c]), 0).to_numpy(zero_copy_only=False)
     start, held = 0, 0
     for i, n in enumerate(size):
         if i > start and held + n > most:
@@ -116,6 +118,32 @@ class Words:
         return at, h[at]
 
 
+def shingle_sets(texts: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, hash, size of each text's set): distinct n-word shingles of the lower-cased texts.
+
+    Sorted by text, then hash. A text of fewer than n words, but some, has its whole
+    sequence as its one shingle. The size of such a run is part of its hash.
+    """
+    body, offsets = raw(texts)
+    w = Words(lower(body), offsets)
+    hashes = w.hashes()
+    at, value = w.windows(hashes, n)
+    doc = w.doc[at]
+    for size in range(1, n):
+        first = w.bounds[:-1][w.n_words == size]
+        if len(first):
+            h = np.full(len(first), U64(size))
+            for k in range(size):
+                h = mix(h * U64(0xD1342543DE82EF95) + hashes[first + k])
+            doc, value = np.concatenate([doc, w.doc[first]]), np.concatenate([value, h])
+    order = np.lexsort((value, doc))
+    doc, value = doc[order], value[order]
+    new = np.ones(len(doc), bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (value[1:] != value[:-1])
+    doc, value = doc[new], value[new]
+    return doc, value, np.bincount(doc, minlength=w.n_docs)
+
+
 def per_doc(mask: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Sums of a mask or of whole numbers between consecutive offsets."""
     total = np.zeros(len(mask) + 1, np.int64)
