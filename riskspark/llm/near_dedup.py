@@ -4,18 +4,20 @@
    word shingles, and a MinHash signature. Documents with equal sets fall into one class;
    its smallest doc_id stands for it from here on.
 2. Signatures are cut into bands. Classes that agree in a band share a bucket and are
-   candidates. Buckets are worked off from hubs: each bucket compares its first members
-   with all others, links are found, components grow, and a bucket whose members all lie
-   in one component is done. A bucket of thousands of near copies so costs one comparison
-   each, never all pairs; a bucket of unlike members goes on with more hubs each round
-   until all its pairs are settled.
-3. A candidate pair compares its signatures batch by batch. After m of n agree, the chance
+   candidates. First every bucket compares its hub, the member that meets the most others
+   in all its buckets, with the rest. Links found make components. A bucket whose other
+   members then lie in one component is settled: thousands of near copies so cost one
+   comparison each, never all pairs.
+3. What is left of a bucket is settled in cells of bounded size: the members outside the
+   hub's component, block by block, against all blocks. A cell compares without emitting
+   pairs, and returns no more links than it takes to connect what it found connected.
+4. A candidate pair compares its signatures batch by batch. After m of n agree, the chance
    that the similarity reaches the threshold (uniform prior) is a binomial tail; the pair
-   is dropped as soon as that is below ``MISS``.
-4. Survivors are verified exactly on the full sets of the whole texts.
+   is dropped as soon as that is below ``MISS``. Survivors are verified exactly on the full
+   sets of the whole texts.
 
 What can be missed: a pair at exactly 0.8 meets in no band with chance (1 - 0.8**5)**32,
-3e-6, and is dropped in step 3 with a chance of about ``MISS`` per batch.
+3e-6, and is dropped in step 4 with a chance of about ``MISS`` per batch.
 
 Cases: null, empty and blank texts have no shingles; they are linked with nothing and are
 kept. A row with a null doc_id is measured, has no component and is kept. Repeated rows
@@ -30,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,8 +44,8 @@ ROWS, BANDS = 5, 32
 BATCH = 32
 #: Chance at which a pair that reaches the threshold may be dropped after a batch.
 MISS = 1e-7
-#: Hubs per bucket: one in the first round, so many times more in each later one.
-MORE_HUBS = 4
+#: Members and shingles of a block, on average.
+BLOCK_ROWS, BLOCK_SHINGLES = 1024, 1 << 20
 #: Least similarity, in percent, of a link.
 LIKE = 80
 
@@ -107,8 +109,8 @@ def describe(docs: DataFrame, n: int) -> DataFrame:
 
 
 def _buckets(classes: DataFrame) -> DataFrame:
-    """bucket, id and n_shingles: a row per class and band."""
-    schema = T.StructType().add("bucket", "long").add("id", "long").add("n_shingles", "long")
+    """bucket, band, id and n_shingles: a row per class and band."""
+    schema = T.StructType().add("bucket", "long").add("band", "integer").add("id", "long").add("n_shingles", "long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -118,11 +120,11 @@ def _buckets(classes: DataFrame) -> DataFrame:
             h = np.broadcast_to(np.arange(BANDS, dtype=U64), sig.shape[:2])
             for k in range(ROWS):
                 h = mix(h * U64(0xD1342543DE82EF95) + sig[:, :, k])
+            band = np.tile(np.arange(BANDS, dtype=np.int32), len(sig))
             again = [np.repeat(batch[c].to_numpy(zero_copy_only=False), BANDS) for c in ("id", "n_shingles")]
-            yield pa.RecordBatch.from_arrays([pa.array(h.ravel().view(np.int64)), *map(pa.array, again)], schema.names)
+            yield pa.RecordBatch.from_arrays([pa.array(h.ravel().view(np.int64)), pa.array(band), *map(pa.array, again)], schema.names)
 
-    rows = classes.select("id", "n_shingles", "sig").mapInArrow(run, schema)
-    return rows
+    return classes.select("id", "n_shingles", "sig").mapInArrow(run, schema)
 
 
 def _survivors(pairs: DataFrame, sigs: DataFrame, like: int) -> DataFrame:
@@ -169,6 +171,80 @@ def _verified(pairs: DataFrame, texts: DataFrame, n: int, like: int) -> DataFram
     return both.select("a", "b", "text_a", "text_b").mapInArrow(run, schema)
 
 
+def _settle(left: DataFrame, hubs: DataFrame, sigs: DataFrame, texts: DataFrame, n: int, like: int) -> DataFrame:
+    """Links among the members of buckets that the hubs have not settled.
+
+    ``left`` has the members without their hubs, ``hubs`` the root of each bucket's hub.
+    """
+    need = least_matches(like)
+    outside = F.col("root") != F.col("hub_root")
+    blocks = lambda rows, shingles: F.greatest(F.lit(1), F.ceil(rows / BLOCK_ROWS), F.ceil(shingles / BLOCK_SHINGLES)).cast("int")
+    known = left.join(hubs, "bucket")
+    counts = known.groupBy("bucket").agg(
+        blocks(F.count(F.lit(1)), F.sum("n_shingles")).alias("blocks"),
+        blocks(F.count(F.when(outside, 1)), F.coalesce(F.sum(F.when(outside, F.col("n_shingles"))), F.lit(0))).alias("outer_blocks"),
+    )
+    rows = known.join(counts, "bucket").withColumn("outer", outside).drop("hub_root").join(sigs, "id").join(texts, "id")
+    upto = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    columns = ["bucket", "band", "id", "n_shingles", "root", "outer", "sig", "text"]
+    all_rows = rows.withColumn("y", F.pmod(F.hash("id"), F.col("blocks"))).withColumn("x", upto("outer_blocks")).select(*columns, "x", "y", F.lit(False).alias("asks"))
+    asking = rows.where("outer").withColumn("x", F.pmod(F.hash("id"), F.col("outer_blocks"))).withColumn("y", upto("blocks")).select(*columns, "x", "y", F.lit(True).alias("asks"))
+
+    def cell(table: pa.Table) -> pa.Table:
+        asks = table["asks"].to_numpy()
+        left, right = np.flatnonzero(asks), np.flatnonzero(~asks)
+        links: list[tuple[int, int]] = []
+        if len(left) and len(right):
+            ids, size, outer, band = (table[c].to_numpy() for c in ("id", "n_shingles", "outer", "band"))
+            root = table["root"].to_numpy()
+            sig = np.frombuffer(b"".join(table["sig"].to_pylist()), np.uint32).reshape(len(ids), -1)
+            small, large = np.minimum.outer(size[left], size[right]), np.maximum.outer(size[left], size[right])
+            fits = (root[left][:, None] != root[right]) & (100 * small >= like * large)
+            fits &= ~outer[right] | (ids[left][:, None] < ids[right])  # a pair of two that ask is met twice
+            a, b = np.nonzero(fits)
+            a, b, agree = left[a], right[b], 0
+            for upto, least in need.items():
+                agree = agree + _agreement(sig[:, upto - BATCH : upto], a, b)
+                stay = agree >= least
+                a, b, agree = a[stay], b[stay], agree[stay]
+            if len(a):
+                first = np.concatenate([(sig[a[k : k + 4096]] == sig[b[k : k + 4096]]).reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1) for k in range(0, len(a), 4096)])
+                here = first == band[0]  # a pair that meets in several buckets is compared in the first
+                a, b, agree = a[here], b[here], agree[here]
+            if len(a):
+                _, value, n_shingles = shingle_sets(table["text"].combine_chunks(), n)
+                bounds = np.concatenate([[0], np.cumsum(n_shingles)])
+                above: dict[int, int] = {}
+
+                def top(x: int) -> int:
+                    while (up := above.get(x, x)) != x:
+                        above[x] = above.get(up, up)
+                        x = above[x]
+                    return x
+
+                for k in np.argsort(-agree, kind="stable"):
+                    i, j = a[k], b[k]
+                    ri, rj = top(int(root[i])), top(int(root[j]))
+                    if ri == rj:
+                        continue
+                    u, v = value[bounds[i] : bounds[i + 1]], value[bounds[j] : bounds[j + 1]]
+                    common = len(np.intersect1d(u, v, assume_unique=True))
+                    if 100 * common >= like * (len(u) + len(v) - common):
+                        above[ri] = rj
+                        links.append((int(ids[i]), int(ids[j])))
+        return pa.Table.from_arrays([pa.array([x[c] for x in links], pa.int64()) for c in range(2)], ["a", "b"])
+
+    return all_rows.unionByName(asking).groupBy("bucket", "x", "y").applyInArrow(cell, "a long, b long")
+
+
+def _agreement(sig: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """How many values of a batch agree, for each pair."""
+    out = np.empty(len(a), np.int64)
+    for k in range(0, len(a), 1 << 16):
+        out[k : k + (1 << 16)] = (sig[a[k : k + (1 << 16)]] == sig[b[k : k + (1 << 16)]]).sum(axis=1)
+    return out
+
+
 def _linked(described: DataFrame, docs: DataFrame, n: int, like: int) -> DataFrame:
     """id and root of every class that is linked with another."""
     classes = materialise(
@@ -179,57 +255,37 @@ def _linked(described: DataFrame, docs: DataFrame, n: int, like: int) -> DataFra
         "classes",
     )
     rows = materialise(_buckets(classes), "bands")
-    shared = rows.groupBy("bucket").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("bucket")
-    first = F.xxhash64("id")  # one order of ids for all buckets, so that a group's hub is the same in most
-    members = materialise(rows.join(shared, "bucket").select("bucket", "id", "n_shingles", first.alias("turn"), F.col("id").alias("root")), "members")
-    wanted = members.select("id").distinct()
+    shared = (
+        rows.groupBy("bucket")
+        .agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count(F.lit(1)).alias("met"))
+        .where("low < high")
+        .select("bucket", "met")
+    )
+    members = materialise(rows.join(shared, "bucket").select("bucket", "band", "id", "n_shingles", "met"), "members")
+    wanted = materialise(members.groupBy("id").agg(F.sum("met").alias("met")), "met")
     texts = materialise(docs.select(F.col("doc_id").alias("id"), "text").join(wanted, "id", "left_semi"), "texts")
     sigs = materialise(classes.select("id", "sig").join(wanted, "id", "left_semi"), "signatures")
-    roots, hubs = None, 1
-    while True:
-        order = Window.partitionBy("bucket").orderBy("turn", "id")
-        hub = (
-            members.withColumn("nth", F.row_number().over(order))
-            .where(F.col("nth") <= hubs)
-            .select("bucket", F.col("id").alias("hub"), F.col("turn").alias("hub_turn"), F.col("root").alias("hub_root"), F.col("n_shingles").alias("hub_size"))
-        )
-        hub = materialise(hub, "hubs")
-        fits = F.least("n_shingles", "hub_size") * 100 >= F.greatest("n_shingles", "hub_size") * like
-        later = (F.col("turn") > F.col("hub_turn")) | ((F.col("turn") == F.col("hub_turn")) & (F.col("id") > F.col("hub")))
-        pairs = (
-            members.join(hub, "bucket")
-            .where(later & (F.col("root") != F.col("hub_root")) & fits)
-            .select(F.col("hub").alias("a"), F.col("id").alias("b"))
-            .distinct()
-        )
-        found = materialise(_verified(_survivors(pairs, sigs, like), texts, n, like), "links")
-        if not found.isEmpty():
-            if roots is None:
-                roots = materialise(components(found), "roots")
-            else:
-                of = roots.unionByName(found.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(roots, "node", "left_anti").select("node", F.col("node").alias("root")))
-                of = materialise(of, "roots")
-                lifted = (
-                    found.join(of.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a")
-                    .join(of.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b")
-                    .select(F.col("ra").alias("a"), F.col("rb").alias("b"))
-                )
-                over = components(lifted).select(F.col("node").alias("root"), F.col("root").alias("new"))
-                roots = materialise(of.join(over, "root", "left").select("node", F.coalesce("new", "root").alias("root")), "roots")
-        # Hubs have met everyone; what remains goes on where a bucket still has several roots.
-        left = members.join(hub.select("bucket", F.col("hub").alias("id")), ["bucket", "id"], "left_anti").drop("root")
-        if roots is not None:
-            left = left.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
-        else:
-            left = left.withColumn("root", F.col("id"))
-        left = materialise(left.select(members.columns), "members")
-        mixed = left.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("bucket")
-        members = materialise(left.join(mixed, "bucket").select(members.columns), "members")
-        if members.isEmpty():
-            break
-        hubs *= MORE_HUBS
-    if roots is None:
-        return classes.select("id", F.col("id").alias("root")).limit(0)
+
+    members = members.drop("met").join(wanted, "id")
+    hubs = members.groupBy("bucket").agg(F.max(F.struct("met", F.col("id").alias("hub"), F.col("n_shingles").alias("hub_size"))).alias("h")).select("bucket", "h.hub", "h.hub_size")
+    hubs = materialise(hubs, "hubs")
+    fits = F.least("n_shingles", "hub_size") * 100 >= F.greatest("n_shingles", "hub_size") * like
+    pairs = members.join(hubs, "bucket").where((F.col("id") != F.col("hub")) & fits).select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
+    found = materialise(_verified(_survivors(pairs, sigs, like), texts, n, like), "links")
+    roots = materialise(components(found), "roots")
+
+    rooted = lambda frame, key, name: frame.join(roots.select(F.col("node").alias(key), F.col("root").alias("_root")), key, "left").withColumn(name, F.coalesce("_root", key)).drop("_root")
+    left = members.join(hubs.select("bucket", "hub"), "bucket").where("id <> hub").select("bucket", "band", "id", "n_shingles")
+    left = materialise(rooted(left, "id", "root"), "members")
+    open_ones = left.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("bucket")
+    left = left.join(open_ones, "bucket")
+    more = materialise(_settle(left, rooted(hubs.select("bucket", "hub"), "hub", "hub_root").select("bucket", "hub_root"), sigs, texts, n, like), "links")
+    if not more.isEmpty():
+        lifted = rooted(rooted(more.select("a", "b"), "a", "ra"), "b", "rb").select(F.col("ra").alias("a"), F.col("rb").alias("b"))
+        over = materialise(components(lifted).select(F.col("node").alias("was"), F.col("root").alias("now")), "roots")
+        # nodes the hubs had not linked are their own roots so far
+        known = roots.unionByName(over.select(F.col("was").alias("node"), F.col("was").alias("root")).join(roots.select("node"), "node", "left_anti"))
+        roots = materialise(known.join(over, F.col("root") == F.col("was"), "left").select("node", F.coalesce("now", "root").alias("root")), "roots")
     return roots.select(F.col("node").alias("id"), "root")
 
 

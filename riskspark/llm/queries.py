@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskspark.llm import mixing, near_dedup, quality_classifier, quality_rules
+from riskspark.llm import mixing, near_dedup, packing, quality_classifier, quality_rules
 from riskspark.llm.common import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,10 @@ def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), n=2)
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality_classifier.score(docs, quality_classifier.fit(docs, table(spark, sf_dir, "labels")))
@@ -45,6 +49,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: _registered(f)
     for f in (
         op4_near_dedup,
+        op6_packing,
         op7_quality_classifier,
         op8_mixing,
         op10_quality_rules,
