@@ -7,16 +7,47 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskspark.llm import mixing, near_dedup, packing, quality_classifier, quality_rules
+from riskspark.llm import (
+    html_extract,
+    lm_scoring,
+    mixing,
+    near_dedup,
+    packing,
+    quality_classifier,
+    quality_rules,
+    token_files,
+    topk,
+    warc,
+)
 from riskspark.llm.common import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = topk.whole(table(spark, sf_dir, "embeddings"))
+    return topk.top_k(vectors.where("vec_id % 100 = 0"), vectors, k=10)
+
+
+def op2_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html_extract.main_text(pages, html_extract.fit(pages))
+
+
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return lm_scoring.score(docs, lm_scoring.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), n=2)
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.round_trip(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -31,6 +62,10 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.round_trip(table(spark, sf_dir, "documents"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality_rules.judge(docs, quality_rules.fit(docs, table(spark, sf_dir, "labels")))
@@ -48,11 +83,75 @@ def _registered(query: Query) -> Query:
 QUERIES: dict[str, Query] = {
     f.__name__: _registered(f)
     for f in (
+        op1_topk,
+        op2_html_extract,
+        op3_lm_scoring,
         op4_near_dedup,
+        op5_warc,
         op6_packing,
         op7_quality_classifier,
         op8_mixing,
+        op9_token_files,
         op10_quality_rules,
     )
 }
-ORACLES: dict[str, str] = {}
+
+TOPK = """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: cast(floor(cast(x as double) * 1024) as bigint)) as v
+  from embeddings
+  where vec_id is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0
+), met as (
+  select q.vec_id as query_id, c.vec_id,
+         cast(coalesce(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])), 0) as bigint) as score
+  from v q join v c on q.vec_id <> c.vec_id and len(q.v) = len(c.v)
+  where q.vec_id % 100 = 0
+)
+select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank, vec_id, score
+from met
+qualify rank <= 10
+"""
+
+NEAR_DEDUP = r"""
+with recursive w as (
+  select doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
+  from documents
+), s as (
+  select distinct doc_id, case when len(w) = 1 then w[1] else w[i] || ' ' || w[i + 1] end as shingle
+  from (select doc_id, w, unnest(range(1, greatest(len(w), 2))) as i from w where len(w) > 0)
+), n as (
+  select doc_id, count(*) as n from s group by doc_id
+), common as (
+  select a.doc_id as a, b.doc_id as b, count(*) as c
+  from s a join s b on a.shingle = b.shingle and a.doc_id < b.doc_id group by all
+), links as (
+  select a, b from common join n x on x.doc_id = a join n y on y.doc_id = b where 100 * c >= 80 * (x.n + y.n - c)
+), both_ways as (
+  select a, b from links union all select b, a from links
+), reach(a, b) as (
+  select doc_id, doc_id from n
+  union
+  select r.a, l.b from reach r join both_ways l on l.a = r.b
+), least as (
+  select a, min(b) as component_id from reach group by a
+)
+select w.doc_id, coalesce(n.n, 0) as n_shingles, coalesce(component_id, w.doc_id) as component_id,
+       w.doc_id = coalesce(component_id, w.doc_id) as kept
+from w left join n using (doc_id) left join least on a = w.doc_id
+"""
+
+WARC = """
+with p as (
+  select page_id, octet_length(encode(coalesce(html, ''))) as payload_bytes, sha1(coalesce(html, '')) as payload_digest from pages
+), g as (
+  select *, max(page_id) over (partition by payload_digest) as largest from p
+)
+select page_id, payload_bytes, payload_digest,
+       case when payload_bytes >= 1000 and page_id <> largest then 'revisit' else 'response' end as record_type,
+       case when payload_bytes >= 1000 and page_id <> largest then largest end as refers_to
+from g
+"""
+
+ORACLES: dict[str, str] = {"op1_topk": TOPK, "op4_near_dedup": NEAR_DEDUP, "op5_warc": WARC}

@@ -17,8 +17,8 @@ import pyarrow as pa
 
 from riskspark.llm.text import is_space, raw
 
-#: Chunks remembered per Python worker; beyond it the memory starts anew.
-REMEMBERED = 400_000
+#: Chunks remembered per Python worker: so many lately used ones, and as many from before.
+REMEMBERED = 500_000
 #: New chunks are joined to texts of so many for the library.
 JOINED = 500
 _ENCODERS: dict[str, Encoder] = {}
@@ -68,6 +68,7 @@ class Encoder:
         elif kinds == ["Split", "ByteLevel"] and set(rules) <= {"NFC", "Replace", "Lowercase"} and split["pretokenizers"][0]["behavior"] == "Removed":
             self.kind = "unspaced"  # white space parts pieces and is dropped
         self.memory: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         # what parts joined chunks, and its id: a line break is a piece of its own, and so is a digit
         self.part = "\n" if self.kind == "spaced" else " 0 "
         self.part_id = self.library.encode(self.part, add_special_tokens=False).ids[-1] if self.kind != "whole" else None
@@ -82,10 +83,12 @@ class Encoder:
         return rest != "" and rest.isprintable() and " " not in rest and "0" not in rest
 
     def _learn(self, chunks: set[bytes]) -> None:
+        missing = chunks.difference(self.memory)
+        if len(self.memory) + len(missing) > REMEMBERED:
+            self.older, self.memory, missing = self.memory, {}, chunks
         memory = self.memory
-        if len(memory) + len(chunks) > REMEMBERED:
-            memory.clear()
-        new = [(c, c.decode()) for c in chunks if c not in memory]
+        memory.update((c, self.older[c]) for c in missing.intersection(self.older))
+        new = [(c, c.decode()) for c in missing.difference(memory)]
         simple = [x for x in new if self._joins(x[1])]
         groups = [simple[k : k + JOINED] for k in range(0, len(simple), JOINED)]
         found = self.library.encode_batch_fast([self.part.join(t for _, t in g) for g in groups], add_special_tokens=False)
@@ -120,9 +123,7 @@ class Encoder:
         cut[1:] |= _LETTER[body[:-1]] & _MARK[body[1:]]
         cut[offsets[:-1][np.diff(offsets) > 0]] = True
         start = np.flatnonzero(cut)
-        data = body.tobytes()
-        ends = [*start[1:].tolist(), len(data)]
-        chunks = [data[a:b] for a, b in zip(start.tolist(), ends, strict=True)]
+        chunks = np.insert(body, start[1:], 0xFF).tobytes().split(b"\xff")  # a byte that UTF-8 never has
         self._learn(set(chunks))
         found = list(map(self.memory.__getitem__, chunks))
         bounds = np.searchsorted(start, offsets).tolist()
