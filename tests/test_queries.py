@@ -14,7 +14,7 @@ def test_equals_sql(spark, duck, name):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) <= set(entry.oracle_sql())
 
 
 def test_entry(spark):
