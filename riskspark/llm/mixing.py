@@ -118,13 +118,33 @@ def balance(classes: DataFrame, goals: DataFrame) -> DataFrame:
 def _round(pdf: pd.DataFrame) -> pd.DataFrame:
     """Whole copies of a source's classes, the words left over handed on by falling size.
 
-    The rows are the distinct sizes of one source, not its documents.
+    What is left in the end is reduced by adding a copy, by removing one, or by both, as
+    long as that comes nearer. The rows are the distinct sizes of one source, not its
+    documents.
     """
     pdf = pdf.sort_values("size", ascending=False)
     copies, left = np.zeros(len(pdf), np.int64), 0.0
     for i, (size, n, rate) in enumerate(zip(pdf["size"], pdf["n"], pdf["rate"], strict=True)):
         copies[i] = min(max(int(np.floor(n * rate + left / size + 0.5)), 0), MOST_COPIES * n)
         left += (n * rate - copies[i]) * size
+    size, most = pdf["size"].to_numpy(), MOST_COPIES * pdf["n"].to_numpy()
+    for _ in range(50):
+        add, take = np.flatnonzero(copies < most), np.flatnonzero(copies > 0)[::-1]  # take: by rising size
+        moves = [(abs(left - size[a]), a, None) for a in add] + [(abs(left + size[t]), None, t) for t in take]
+        if len(add) and len(take):
+            near = np.searchsorted(size[take], size[add] - left)
+            for shift in (-1, 0):
+                other = take[np.clip(near + shift, 0, len(take) - 1)]
+                rest = np.abs(left - size[add] + size[other])
+                best = int(np.argmin(rest))
+                moves.append((rest[best], add[best], other[best]))
+        rest, a, t = min(moves, key=lambda m: m[0], default=(np.inf, None, None))
+        if rest >= abs(left) - 1e-6:
+            break
+        for k, step in ((a, 1), (t, -1)):
+            if k is not None:
+                copies[k] += step
+                left -= step * size[k]
     return pdf.assign(copies=copies)[["source", "size", "n", "copies"]]
 
 

@@ -337,7 +337,7 @@ def read(files: DataFrame) -> DataFrame:
         for batch in batches:
             for row in batch.to_pylist():
                 source, at = filesystem(row["path"])
-                with source.open_input_stream(at) as f:
+                with source.open_input_stream(at, compression=None) as f:
                     doc_ids, lengths, ids = decode_file(f.read())
                 ends = np.cumsum(lengths)
                 crc = [zlib.crc32(ids[e - k : e].tobytes()) for e, k in zip(ends, lengths, strict=True)]

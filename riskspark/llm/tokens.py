@@ -117,7 +117,7 @@ class Encoder:
         odd = _END[body[1:-1]] & _LEAD[body[:-2]]  # white space of another kind before
         cut[1:] = space[1:] & ~space[:-1]
         cut[2:] &= ~odd
-        alone = (body[1:-1] == 10) & ~space[2:] & ~space[:-2]  # a line break between other characters
+        alone = (body[1:-1] == 10) & ~space[2:] & (body[2:] < 128) & ~space[:-2]  # a line break between other characters
         alone[1:] &= ~odd[:-1]
         cut[2:] |= alone
         cut[1:] |= _LETTER[body[:-1]] & _MARK[body[1:]]

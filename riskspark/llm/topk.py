@@ -99,12 +99,15 @@ class Block:
 
 def top_k(queries: DataFrame, vectors: DataFrame, k: int = 10) -> DataFrame:
     """query_id, rank, vec_id and score; both frames as ``whole`` gives them."""
-    vectors, queries = materialise(vectors, "vectors"), materialise(queries, "queries")
+    # Each row draws its block, and each query its run, once; the draws are written with the rows.
+    drawn = F.xxhash64("vec_id", F.monotonically_increasing_id()).alias("drawn")
+    vectors, queries = (materialise(x.select("vec_id", "width", "v", drawn), "vectors") for x in (vectors, queries))
     blocks = max(1, -(-vectors.count() // BLOCK))
     runs = max(1, -(-queries.count() // QUERIES))
-    salt = F.xxhash64("vec_id", "v", F.monotonically_increasing_id())
-    held = vectors.select("*", F.pmod(salt, F.lit(blocks)).alias("block"), F.explode(F.sequence(F.lit(0), F.lit(runs - 1))).alias("run"))
-    asked = queries.select("*", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).cast("long").alias("block"), F.pmod(salt, F.lit(runs)).cast("int").alias("run"))
+    among = lambda n: F.pmod("drawn", F.lit(n).cast("long"))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+    held = vectors.select("vec_id", "width", "v", among(blocks).alias("block"), every(runs).alias("run"))
+    asked = queries.select("vec_id", "width", "v", every(blocks).alias("block"), among(runs).alias("run"))
     names = ["query_id", "vec_id", "score"]
     schema = T.StructType([T.StructField(c, T.LongType()) for c in names])
 

@@ -183,7 +183,7 @@ def normalise(archives: DataFrame, folder: str) -> DataFrame:
         name = row["path"].rsplit("/", 1)[1].removesuffix(".warc.gz")
         source, path = filesystem(row["path"])
         members, index, offset = [], [], 0
-        with source.open_input_stream(path) as f:
+        with source.open_input_stream(path, compression=None) as f:
             for data in records(f):
                 engine = _gzip(6)
                 member = engine.compress(data) + engine.flush()
@@ -231,7 +231,7 @@ def read(normalised: DataFrame) -> DataFrame:
 
     def work(row: dict) -> Iterator[pa.RecordBatch]:
         files, at = filesystem(row["index_path"])
-        with files.open_input_stream(at) as f:
+        with files.open_input_stream(at, compression=None) as f:
             index = [json.loads(line) for line in f.read().decode().split("\n") if line]
         files, at = filesystem(row["path"])
         with files.open_input_file(at) as f:
