@@ -101,11 +101,11 @@ class Model:
 
 def fit(docs: DataFrame, labels: DataFrame) -> tuple[Model, Model]:
     """(target, background); the counts brought here have a place each, a fixed number."""
-    found = count(docs, labels).toPandas()
+    found = count(docs, labels).toArrow()
     models = []
     for c in ("target", "background"):
         counts = np.zeros((1 << WORD_BITS) + (1 << PAIR_BITS), np.int64)
-        counts[found["place"]] = found[c]
+        counts[found["place"].to_numpy()] = found[c].to_numpy()
         models.append(Model(counts))
     return models[0], models[1]
 
