@@ -206,10 +206,16 @@ def raw_banks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Defects by quantity, tax and discount; duplicate ids occur by themselves."""
+    """Defects and other tools' ways of writing numbers, flags and dates, by quantity, tax
+    and discount; duplicate ids occur by themselves."""
     return _lines(spark, sf_dir).select(
-        F.when(_qty(3), F.lit(None)).otherwise(_text(_line_id())).alias("transaction_id"),
+        F.when(_qty(3), F.lit(None))
+        .when(_qty(2), F.concat(_text(_line_id()), F.lit(".0")))
+        .otherwise(_text(_line_id()))
+        .alias("transaction_id"),
         F.when(_qty(7), _text(F.col("o_custkey") + 1_000_000_000_000))
+        .when(_qty(11), F.concat(_text(F.col("o_custkey")), F.lit(".00")))
+        .when(_qty(17), F.concat(_text(F.col("o_custkey")), F.lit(".5")))
         .otherwise(_text(F.col("o_custkey")))
         .alias("customer_id"),
         F.when(_qty(13), F.lit(None)).otherwise(_text(F.col("l_suppkey"))).alias("bank_id"),
@@ -223,11 +229,16 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("currency"),
         F.when(_qty(29), "13/45/2024")
         .when(F.col("l_discount") == 0.03, _us_date("l_shipdate"))
+        .when(F.col("l_discount") == 0.04, F.date_format(F.col("l_shipdate").cast("date"), "M/d/yyyy"))
+        .when(F.col("l_discount") == 0.05, F.concat(_text(F.col("l_shipdate").cast("date")), F.lit(" 10:30:00")))
+        .when(F.col("l_discount") == 0.06, F.concat(_text(F.col("l_shipdate").cast("date")), F.lit("T00:00:00")))
         .otherwise(_text(F.col("l_shipdate").cast("date")))
         .alias("date"),
         F.col("l_linestatus").alias("location"),
         F.when(_qty(31), F.lit(None))
         .when(_qty(37), "maybe")
+        .when(_qty(41), "1.0")
+        .when(_qty(43), "0.0")
         .when(F.col("l_returnflag") == "R", "True")
         .otherwise("no")
         .alias("is_high_risk"),
@@ -262,7 +273,12 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def dispositions(spark: SparkSession, sf_dir: str, txns: DataFrame) -> DataFrame:
-    """Analysts' decisions, by the priority of the order; low priority is undecided."""
+    """Analysts' decisions, by the priority of the order; low priority is undecided.
+
+    Sheets as they come back: those of urgent orders were cleared before they were
+    confirmed, those of medium ones by even customers are dated later and confirmed, and
+    low priority comes with blanks.
+    """
     decided = F.create_map(
         *[
             F.lit(v)
@@ -275,14 +291,21 @@ def dispositions(spark: SparkSession, sf_dir: str, txns: DataFrame) -> DataFrame
         ]
     )
     orders = table(spark, sf_dir, "orders").select(
-        "o_orderkey", decided[F.col("o_orderpriority")].alias("disposition")
+        "o_orderkey", "o_custkey", "o_orderpriority", F.coalesce(decided[F.col("o_orderpriority")], F.lit(" ")).alias("disposition")
     )
     order_key = F.floor(F.col("transaction_id") / 10).cast("bigint")
-    return (
+    sheet = (
         txns.select("transaction_id", order_key.alias("o_orderkey"))
-        .join(orders.where("disposition is not null"), "o_orderkey")
-        .select("transaction_id", "disposition")
+        .join(orders, "o_orderkey")
+        .withColumn("review_date", F.lit("2024-03-05"))
+    )
+    urgent = sheet.where("o_orderpriority = '1-URGENT'")
+    medium = sheet.where("o_orderpriority = '3-MEDIUM' and o_custkey % 2 = 0")
+    more = urgent.withColumns({"disposition": F.lit("Cleared"), "review_date": F.lit("2024-01-31")}).unionByName(
+        medium.withColumns({"disposition": F.lit("Confirmed Fraud"), "review_date": F.lit("2024-03-06")})
     )
+    blank = urgent.withColumns({"disposition": F.lit(""), "review_date": F.lit("2024-09-09")})
+    return sheet.unionByName(more).unionByName(blank).select("transaction_id", "review_date", "disposition")
 
 
 def payment_events(events: DataFrame) -> DataFrame:

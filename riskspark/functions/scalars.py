@@ -43,27 +43,40 @@ def default_if_blank(col: Column, default: str) -> Column:
 
 
 def parse_flag(col: Column) -> Column:
-    """Yes/no text to 1/0; blank to NULL; any other text to BAD_FLAG."""
+    """Yes/no text to 1/0; blank to NULL; any other text to BAD_FLAG. ``1.0`` is 1, ``0.0`` is 0."""
     word = F.lower(F.trim(col))
+    number = word.try_cast("decimal(20,6)")
     return (
-        F.when(word.isin(TRUE_WORDS), 1)
-        .when(word.isin(FALSE_WORDS), 0)
+        F.when(word.isin(TRUE_WORDS) | (number == 1), 1)
+        .when(word.isin(FALSE_WORDS) | (number == 0), 0)
         .when(word.isNull() | (word == ""), F.lit(None))
         .otherwise(BAD_FLAG)
         .cast("int")
     )
 
 
+def parse_whole(col: Column) -> Column:
+    """Text of a whole number to a long, also as ``123.0`` or ``1e3``; anything else is NULL."""
+    number = F.trim(col).try_cast("decimal(38,10)")
+    return F.when(number == F.floor(number), number.try_cast("long"))
+
+
 def parse_date(col: Column) -> Column:
-    """ISO or MM/DD/YYYY text to a date, decided per row; anything else is NULL.
+    """ISO or M/D/YYYY text, or an ISO date with a time, to a date, decided per row; else NULL.
 
     The cast alone would also take short or trailing forms, so the date must read
     back as the text it came from. (Formatters and patterns cost several times more.)
     """
     text = F.trim(col)
-    year, month, day = text.substr(7, 4), text.substr(1, 2), text.substr(4, 2)
-    with_slashes = (F.length(text) == 10) & (text.substr(3, 1) == "/") & (text.substr(6, 1) == "/")
-    iso = F.when(with_slashes, F.concat_ws("-", year, month, day)).otherwise(text)
+    parts = F.split(text, "/")
+    padded = [F.lpad(F.get(parts, k), 2, "0") for k in (0, 1)]
+    fits = (F.size(parts) == 3) & (F.length(F.get(parts, 0)) <= 2) & (F.length(F.get(parts, 1)) <= 2)
+    timed = (F.length(text) > 10) & text.substr(11, 1).isin(" ", "T") & text.try_cast("timestamp_ntz").isNotNull()
+    iso = (
+        F.when(fits, F.concat_ws("-", F.get(parts, 2), *padded))
+        .when(timed, text.substr(1, 10))
+        .otherwise(text)
+    )
     date = iso.try_cast("date")
     return F.when(date.cast("string") == iso, date)
 

@@ -44,8 +44,8 @@ def rank_banks(comparison: DataFrame) -> DataFrame:
 
     The rank of a score is one more than the number of banks above it. It is found
     on the distinct scores, of which there are about a thousand at most whatever
-    the number of banks (one decimal between 0 and 100). That bounds both the
-    one-task window and the broadcast. A bank without a score ranks last.
+    the number of banks (one decimal between 0 and 100). Spark broadcasts them by its
+    own size threshold. A bank without a score ranks last.
     """
     above = Window.orderBy(F.desc_nulls_last("bank_risk_score")).rowsBetween(
         Window.unboundedPreceding, -1
@@ -59,7 +59,7 @@ def rank_banks(comparison: DataFrame) -> DataFrame:
         )
     )
     same_score = comparison["bank_risk_score"].eqNullSafe(ranks["score"])
-    return comparison.join(F.broadcast(ranks), same_score).drop("score")
+    return comparison.join(ranks, same_score).drop("score")
 
 
 def bank_kpis(comparison: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskspark import schemas
-from riskspark.functions.scalars import default_if_blank, parse_date, parse_flag
+from riskspark.functions.scalars import default_if_blank, parse_date, parse_flag, parse_whole
 from riskspark.operators.checks import REJECT, in_range, missing_reasons, violation
 
 
@@ -49,6 +49,8 @@ def _typed(field: T.StructField, have: T.DataType) -> Column:
         return parse_flag(text)
     if isinstance(field.dataType, T.DateType):
         return parse_date(text) if isinstance(have, T.StringType) else col.cast("date")
+    if isinstance(field.dataType, T.IntegralType):
+        return parse_whole(text).cast(field.dataType)
     return F.trim(text).try_cast(field.dataType)
 
 

@@ -185,12 +185,14 @@ def transaction_flags(
     customer_features: DataFrame,
     bank_features: DataFrame,
     cfg: RiskConfig = DEFAULT,
+    how: str = "inner",
 ) -> DataFrame:
     """Six risk indicators per transaction.
 
     Either the full feature marts or the slim signal frames can be passed; the
     joined columns are reduced to flags of a few bytes before the join, because
-    this join is the one place where the whole fact may be shuffled.
+    this join is the one place where the whole fact may be shuffled. With ``how="left"``
+    transactions of unknown customers or banks stay, their indicators NULL.
     """
     customer_flags = customer_features.select(
         "customer_id",
@@ -204,8 +206,8 @@ def transaction_flags(
         flag(F.col("sanctioned_account_count") > 0).alias("flag_sanctioned_bank"),
     )
     return (
-        transactions.join(customer_flags, "customer_id")
-        .join(bank_flags, "bank_id")
+        transactions.join(customer_flags, "customer_id", how)
+        .join(bank_flags, "bank_id", how)
         .select(
             "transaction_id",
             "customer_id",

@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SKETCH_ACCURACY = 10_000
-FINISH_BELOW = 100_000  # candidates sorted within one task, at most
 
 
 @dataclass
@@ -69,17 +68,12 @@ def order_statistics(
     ranks: list[int],
     total: int,
     smallest: Any,
-    finish_below: int = FINISH_BELOW,
 ) -> dict[int, Any]:
     """The values at the given 1-based ranks, from the column's ``extent``."""
     values = column_values(df, column)
     searches = {rank: _Search(rank, total, smallest) for rank in set(ranks)}
     while open_ := [s for s in searches.values() if not s.done]:
-        large = [s for s in open_ if s.size > finish_below]
-        if large:
-            _narrow(values, large)
-        else:
-            _finish(values, open_)
+        _narrow(values, open_)
     return {rank: s.answer for rank, s in searches.items()}
 
 
@@ -91,16 +85,6 @@ def _limited(values: DataFrame, searches: list[_Search]) -> DataFrame:
     return values.where(cond)
 
 
-def _finish(values: DataFrame, searches: list[_Search]) -> None:
-    picks = [
-        F.element_at(F.array_sort(F.collect_list(s.candidate())), s.k).alias(str(i))
-        for i, s in enumerate(searches)
-    ]
-    row = _limited(values, searches).agg(*picks).first()
-    for i, s in enumerate(searches):
-        s.answer = row[i]
-
-
 def _narrow(values: DataFrame, searches: list[_Search]) -> None:
     rows = _limited(values, searches)
     kind = values.schema["v"].dataType
@@ -168,9 +152,7 @@ def _step(s: _Search, low: Any, high: Any, n) -> None:
     s.size -= n["below"] + n["at_low"] + n["between"] + n["at_high"]
 
 
-def quartiles(
-    df: DataFrame, column: str, method: str = "ntile", finish_below: int = FINISH_BELOW
-) -> tuple[Any, Any] | None:
+def quartiles(df: DataFrame, column: str, method: str = "ntile") -> tuple[Any, Any] | None:
     """(q1, q3), or None when the method has none for so few values.
 
     ``ntile``: the largest value of the first and the smallest of the last of four
@@ -181,7 +163,7 @@ def quartiles(
         if n < 4:
             return None
         first, last = (n + 3) // 4, n - n // 4 + 1
-        at = order_statistics(df, column, [first, last], n, smallest, finish_below)
+        at = order_statistics(df, column, [first, last], n, smallest)
         return at[first], at[last]
     if method != "linear":
         raise ValueError(f"unknown quartile method: {method}")
@@ -189,7 +171,7 @@ def quartiles(
         return None
     positions = [divmod((n - 1) * q, 4) for q in (1, 3)]
     wanted = [min(i + d, n) for i, _ in positions for d in (1, 2)]
-    at = order_statistics(df, column, wanted, n, smallest, finish_below)
+    at = order_statistics(df, column, wanted, n, smallest)
     return tuple(_between(at[i + 1], at[min(i + 2, n)], part) for i, part in positions)
 
 
@@ -203,13 +185,12 @@ def iqr_outliers(
     column: str,
     method: str = "ntile",
     k: float = 1.5,
-    finish_below: int = FINISH_BELOW,
 ) -> DataFrame:
     """Rows outside q1 - k*IQR .. q3 + k*IQR.
 
     The bounds are literals in the returned plan, so they reach the Parquet scan.
     """
-    found = quartiles(df, column, method, finish_below)
+    found = quartiles(df, column, method)
     if found is None:
         return df.where(F.lit(False))
     q1, q3 = found

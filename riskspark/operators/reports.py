@@ -37,7 +37,7 @@ def flagged_by_region(flagged: DataFrame) -> DataFrame:
 
 
 def amount_histogram(flagged: DataFrame, bins: int = 20) -> DataFrame:
-    """Equal-width bins from the smallest to the largest amount; empty bins left out.
+    """Equal-width bins from the smallest to the largest amount, empty ones included.
 
     The largest amount belongs to the last bin. When all amounts are equal the range
     is widened by half a unit to either side, as numpy does.
@@ -54,13 +54,17 @@ def amount_histogram(flagged: DataFrame, bins: int = 20) -> DataFrame:
     binned = amounts.select("x", edges.alias("e")).select(
         F.least(F.width_bucket("x", F.col("e.lo"), F.col("e.hi"), F.lit(bins)), F.lit(bins))
         .cast("int")
-        .alias("bin"),
-        F.col("e.lo").alias("lo"),
-        ((F.col("e.hi") - F.col("e.lo")) / bins).alias("width"),
+        .alias("bin")
+    )
+    counted = binned.groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
+    ranges = extent.where("lo is not null").select(
+        F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin"),
+        F.when(same, F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
+        ((F.when(same, F.col("hi") + 0.5).otherwise(F.col("hi")) - F.when(same, F.col("lo") - 0.5).otherwise(F.col("lo"))) / bins).alias("width"),
     )
     return (
-        binned.groupBy("bin", "lo", "width")
-        .agg(F.count(F.lit(1)).alias("txn_count"))
+        ranges.join(counted, "bin", "left")
+        .withColumn("txn_count", F.coalesce("n", F.lit(0)))
         .select(
             "bin",
             (F.col("lo") + (F.col("bin") - 1) * F.col("width")).alias("bin_start"),

@@ -124,11 +124,16 @@ def disposition_template(flagged: DataFrame) -> DataFrame:
 def disposition_kpis(flagged: DataFrame, dispositions: DataFrame) -> DataFrame:
     """False-positive rate and detection accuracy from the analysts' decisions.
 
-    ``dispositions`` holds at most one row per transaction_id. Flagged transactions
-    without a decision stay in the denominator.
+    Of several decisions on one transaction the latest counts (``review_date``, where
+    the sheet has it, without a date first; then the last in alphabetical order, so that
+    the choice is fixed). A blank disposition is no decision. Flagged transactions without
+    a decision stay in the denominator.
     """
+    date = F.nullif(F.trim(F.col("review_date").cast("string")), F.lit("")) if "review_date" in dispositions.columns else F.lit(None).cast("string")
+    made = dispositions.select("transaction_id", F.nullif(F.trim("disposition"), F.lit("")).alias("disposition"), date.alias("on"))
+    latest = made.where("disposition is not null").groupBy("transaction_id").agg(F.max(F.struct("on", "disposition")).alias("last"))
     decided = flagged.select("transaction_id").join(
-        dispositions.select("transaction_id", "disposition"), "transaction_id", "left"
+        latest.select("transaction_id", "last.disposition"), "transaction_id", "left"
     )
     n = F.count(F.lit(1))
     cleared = count_where(F.col("disposition") == schemas.CLEARED)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,17 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
-    ``spark.checkpoint.dir`` is read from the session. Only a local session that
-    leaves it unset gets a temporary folder of its own; on a cluster it must be set.
+    ``spark.checkpoint.dir`` is read from the session. Where it is unset, a folder below
+    the warehouse is used, which is shared wherever tables are.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="riskspark-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return folder.rstrip("/") if folder else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/riskspark-work"
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
@@ -39,3 +32,20 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = new_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _hadoop(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    """Make the folder through the file system that holds it, unless it is there."""
+    files, at = _hadoop(spark, path)
+    files.mkdirs(at)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder whose contents have been used."""
+    files, at = _hadoop(spark, path)
+    files.delete(at, True)

@@ -12,26 +12,33 @@ def text_schema(table: str) -> T.StructType:
     return T.StructType([T.StructField(f.name, T.StringType()) for f in STAGING[table]])
 
 
-def read_sources(spark: SparkSession, folder: str, fmt: str = "csv") -> dict[str, DataFrame]:
+def read_sources(
+    spark: SparkSession, folder: str, fmt: str = "csv", multi_line: bool = True
+) -> dict[str, DataFrame]:
     """The four raw tables of a folder, by table name.
 
     CSV columns come back as text, so that a bad value can be counted instead of
-    being lost while parsing. The header is checked against the expected names:
-    a file with other or reordered columns is refused. Lines are records
-    (``multiLine`` off), so that a large file is split over many tasks.
+    being lost while parsing. They are found by the names in the header, in any order;
+    further columns are ignored and a missing one is refused. Quoted line breaks belong
+    to their record. A file is then read by one task; for large files without such
+    breaks, ``multi_line=False`` lets many tasks share a file.
     """
     if fmt not in ("csv", "parquet"):
         raise ValueError(f"unsupported source format: {fmt}")
     tables = {}
     for table, file_name in SOURCE_FILES.items():
         if fmt == "csv":
-            tables[table] = (
-                spark.read.schema(text_schema(table))
-                .option("header", True)
-                .option("enforceSchema", False)
+            found = (
+                spark.read.option("header", True)
+                .option("multiLine", multi_line)
                 .option("escape", '"')
                 .csv(f"{folder}/{file_name}")
             )
+            found = found.toDF(*[c.strip() for c in found.columns])
+            wanted = text_schema(table).names
+            if missing := sorted(set(wanted) - set(found.columns)):
+                raise ValueError(f"{file_name} lacks the columns {missing}")
+            tables[table] = found.select(*wanted)
         else:
             tables[table] = spark.read.parquet(f"{folder}/{table}.parquet")
     return tables

@@ -6,7 +6,7 @@ on the driver or squeezed into one task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -50,20 +50,13 @@ def export_mart(df: DataFrame, path: str, fmt: str = "csv", mode: str = "overwri
         raise ValueError(f"unsupported export format: {fmt}")
 
 
-def append_alerts(alerts: DataFrame, path: str, run_id: str | Column) -> None:
+def append_alerts(alerts: DataFrame, path: str, run_id: str) -> None:
     """Write one run's alerts to the log, keeping the alerts of all other runs.
 
-    The log is partitioned by run, and only the partition of this run is replaced,
-    so repeating a run does not duplicate its alerts.
+    The log has a folder per run, and only that of this run is replaced, also by nothing:
+    repeating a run leaves the alerts it raises now.
     """
-    run = run_id if isinstance(run_id, Column) else F.lit(run_id)
-    (
-        alerts.withColumn("run_id", run)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("run_id")
-        .parquet(path)
-    )
+    alerts.write.mode("overwrite").parquet(f"{path}/run_id={run_id}")
 
 
 def write_views(views: dict[str, DataFrame], path: str) -> None:

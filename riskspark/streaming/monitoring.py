@@ -1,44 +1,99 @@
-"""Regional risk monitoring over a transaction stream."""
+"""Regional risk monitoring over a transaction stream, with every event accounted for."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from riskspark.functions.scalars import count_where, safe_pct
+from riskspark.plans.workspace import delete, make_folder
+from riskspark.streaming.scoring import PARTITION, earlier, feed_id, per_batch, stored_batch
+
+COUNTS = ("txn_count", "high_risk_txn_count", "total_amount")
+PARTIAL = (
+    "bucket_start timestamp, bucket_end timestamp, region string, txn_count long, high_risk_txn_count long,"
+    f" total_amount decimal(38,2), newest timestamp, status string, {PARTITION}"
+)
 
 
 def region_monitor_stream(
     txns: DataFrame,
     customers: DataFrame,
+    path: str,
+    checkpoint: str,
     bucket: str = "1 day",
     lateness: str = "1 hour",
-) -> DataFrame:
-    """Transaction and high-risk counts per customer region and time bucket.
-
-    ``txns`` needs customer_id, event_time, amount and is_high_risk. A bucket is
-    final, and emitted, once the newest event is ``lateness`` past its end. Counting
-    per customer comes before the lookup of the region: a customer with very many
-    transactions is then one row per task, and the state is bounded by the customers
-    active in the open buckets.
+) -> StreamingQuery:
+    """Count transactions per customer region and time bucket, a partial table per micro-batch.
+
+    ``txns`` needs customer_id, event_time, amount and is_high_risk. A bucket is over once
+    the newest event of earlier batches is ``lateness`` past its end; what comes for it
+    afterwards is stored as ``late``, events of customers not on file as ``unmatched`` and
+    events without a time as ``undated``. Counting per customer comes before the lookup of
+    the region, so a customer with very many transactions is one row per task.
     """
-    counts = ("txn_count", "high_risk_txn_count", "total_amount")
-    per_customer = (
-        txns.withWatermark("event_time", lateness)
-        .groupBy(F.window("event_time", bucket), "customer_id")
-        .agg(
-            F.count(F.lit(1)).alias("txn_count"),
-            count_where(F.col("is_high_risk") == 1).alias("high_risk_txn_count"),
-            F.sum("amount").alias("total_amount"),
+    spark = txns.sparkSession
+    make_folder(spark, path)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        feed = feed_id(spark, checkpoint)
+        own, work = f"feed={feed}/batch_id={batch_id}", f"{path}.work/feed={feed}/batch_id={batch_id}"
+        arrived = stored_batch(batch, f"{work}/arrived")
+        times = F.window("event_time", bucket)
+        dated = arrived.where("event_time is not null").withColumn("w", times)
+        spans = dated.select("*", F.col("w.start").alias("bucket_start"), F.col("w.end").alias("bucket_end")).drop("w")
+        none = F.lit(None).cast("timestamp")
+        undated = arrived.where("event_time is null").select("*", none.alias("bucket_start"), none.alias("bucket_end"))
+        per_customer = (
+            spans.unionByName(undated)
+            .groupBy("bucket_start", "bucket_end", "customer_id")
+            .agg(
+                F.count(F.lit(1)).alias("txn_count"),
+                count_where(F.col("is_high_risk") == 1).alias("high_risk_txn_count"),
+                F.sum("amount").cast("decimal(38,2)").alias("total_amount"),
+                F.max("event_time").alias("newest"),
+            )
         )
-    )
+        before = earlier(spark.read.schema(PARTIAL).parquet(path), feed, batch_id)
+        mark = before.agg(F.max("newest")).first()[0]
+        late = F.col("bucket_end") + F.expr(f"interval {lateness}") <= F.lit(mark)
+        status = (
+            F.when(F.col("bucket_start").isNull(), "undated")
+            .when(F.col("region").isNull(), "unmatched")
+            .when(late, "late")
+            .otherwise("counted")
+        )
+        partial = (
+            per_customer.join(customers.select("customer_id", "region"), "customer_id", "left")
+            .groupBy("bucket_start", "bucket_end", "region")
+            .agg(*[F.sum(c).cast("decimal(38,2)" if c == "total_amount" else "long").alias(c) for c in COUNTS], F.max("newest").alias("newest"))
+            .withColumn("status", status)
+        )
+        partial.write.mode("overwrite").parquet(f"{path}/{own}")
+        delete(spark, work)
+
+    return per_batch(txns, write, checkpoint)
+
+
+def _partials(spark: SparkSession, path: str, lateness: str) -> DataFrame:
+    """The partial table, with buckets that are not over yet marked ``open``."""
+    stored = spark.read.schema(PARTIAL).parquet(path)
+    mark = stored.agg(F.max("newest")).first()[0]
+    over = F.col("bucket_end") + F.expr(f"interval {lateness}") <= F.lit(mark)
+    return stored.withColumn("status", F.when((F.col("status") == "counted") & ~over, "open").otherwise(F.col("status")))
+
+
+def region_counts(spark: SparkSession, path: str, lateness: str = "1 hour") -> DataFrame:
+    """The counts of every bucket that is over, per region."""
     return (
-        per_customer.join(customers.select("customer_id", "region"), "customer_id")
-        .groupBy("window", "region")
-        .agg(*[F.sum(c).alias(c) for c in counts])
+        _partials(spark, path, lateness)
+        .where("status = 'counted'")
+        .groupBy("bucket_start", "bucket_end", "region")
+        .agg(*[F.sum(c).alias(c) for c in COUNTS])
         .select(
-            F.col("window.start").alias("bucket_start"),
-            F.col("window.end").alias("bucket_end"),
+            "bucket_start",
+            "bucket_end",
             "region",
             "txn_count",
             "high_risk_txn_count",
@@ -46,3 +101,8 @@ def region_monitor_stream(
             "total_amount",
         )
     )
+
+
+def monitor_accounts(spark: SparkSession, path: str, lateness: str = "1 hour") -> DataFrame:
+    """How many events were counted, are in open buckets, came late, lack a customer on file or a time."""
+    return _partials(spark, path, lateness).groupBy("status").agg(F.sum("txn_count").alias("txn_count"))

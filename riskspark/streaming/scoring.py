@@ -1,12 +1,15 @@
-"""Scoring of newly arriving transactions, and alerts from them.
+"""Scoring of newly arriving transactions, and alerts from what was scored.
 
-Repeated transactions are removed by the stream; the scoring itself runs on each stored
-micro-batch as an ordinary batch join. Only there does Spark adapt a join to what it
-meets at run time, and split a customer or bank that owns much of a batch.
+Every micro-batch is stored, cleared of transactions that were scored before, joined as
+an ordinary batch (so that adaptive execution splits a customer or bank that owns much of
+it), and written to a folder of its own. Nothing is dropped: a transaction without an id,
+or with a customer or bank newer than the feature snapshot, goes to a second table with
+the reason, and is scored when it is sent again after the next snapshot.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from datetime import datetime
 
@@ -16,23 +19,37 @@ from pyspark.sql.streaming import StreamingQuery
 
 from riskspark.config import DEFAULT, RiskConfig
 from riskspark.functions.scalars import count_where
+from riskspark.operators.cleaning import one_per_key
 from riskspark.operators.features import transaction_flags
-from riskspark.operators.kpis import alerts, run_time
+from riskspark.operators.kpis import STANDING, alerts, run_time
 from riskspark.operators.rules import score_transactions
+from riskspark.plans.workspace import delete, make_folder
 
+#: Where a batch lies below a table's path: the run that a checkpoint belongs to, and its batch.
+PARTITION = "feed string, batch_id long"
+SET_ASIDE = ["transaction_id", "customer_id", "bank_id", "amount", "txn_date", "location", "is_high_risk"]
 
-def once_each(new_txns: DataFrame, lateness: str = "7 days") -> DataFrame:
-    """The stream without transactions sent again within ``lateness``.
+Then = Callable[[DataFrame, str, int], None]
 
-    Event time is the transaction date. The ids remembered are bounded by the same
-    span, and so is how late a transaction may arrive.
+
+def feed_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the stream run that owns a checkpoint; it outlives restarts from it."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+
+
+def earlier(table: DataFrame, feed: str, batch_id: int) -> DataFrame:
+    """The rows of a batch table but for those of this batch and of later ones of its feed."""
+    return table.where(~((F.col("feed") == feed) & (F.col("batch_id") >= batch_id)))
+
+
+def stored_batch(batch: DataFrame, path: str) -> DataFrame:
+    """The batch as an ordinary table.
+
+    A frame handed over by a stream is planned without adaptive execution, whatever is
+    done with it. Read back it is a table of known size.
     """
-    return (
-        new_txns.withColumn("event_time", F.col("txn_date").cast("timestamp"))
-        .withWatermark("event_time", lateness)
-        .dropDuplicatesWithinWatermark(["transaction_id"])
-        .drop("event_time")
-    )
+    batch.write.mode("overwrite").parquet(path)
+    return SparkSession.active().read.schema(batch.schema).parquet(path)
 
 
 def score_stream(
@@ -42,85 +59,87 @@ def score_stream(
     path: str,
     checkpoint: str,
     cfg: RiskConfig = DEFAULT,
-    lateness: str = "7 days",
+    then: Then | None = None,
 ) -> StreamingQuery:
     """Score what has arrived against the last feature snapshot, until it is used up.
 
-    Frequency and sanctions come from the snapshot, so scoring the same rows in a
-    batch against the same snapshot gives the same result. Pass stored marts as
-    features: Spark then knows their size.
+    Scored rows go to ``path`` and the others, with a reason, to ``path`` + ".set_aside",
+    each below feed=<run>/batch_id=<n>; a repeated batch replaces its own folders. A
+    transaction counts as scored once per ``path``, however long ago and by whichever run;
+    business dates play no part in that. ``then`` is called with the stored scores of each
+    batch, the run and the batch's number.
+
+    Frequency and sanctions come from the snapshot, so scoring the same rows in a batch
+    against the same snapshot gives the same result. Pass stored marts as features: Spark
+    then knows their size.
     """
+    spark = new_txns.sparkSession
+    for folder in (path, f"{path}.set_aside"):
+        make_folder(spark, folder)
 
-    def score(batch: DataFrame) -> DataFrame:
-        return score_transactions(transaction_flags(batch, customer_features, bank_features, cfg), cfg)
+    def write(batch: DataFrame, batch_id: int) -> None:
+        feed = feed_id(spark, checkpoint)
+        own, work = f"feed={feed}/batch_id={batch_id}", f"{path}.work/feed={feed}/batch_id={batch_id}"
+        arrived = stored_batch(batch, f"{work}/arrived")
+        scored_before = spark.read.schema(f"transaction_id long, {PARTITION}").parquet(path)
+        known = earlier(scored_before, feed, batch_id).select("transaction_id")
+        fresh = one_per_key(arrived.where("transaction_id is not null"), "transactions").join(known, "transaction_id", "left_anti")
+        flags = stored_batch(transaction_flags(fresh, customer_features, bank_features, cfg, how="left"), f"{work}/flags")
+        reason = F.when(F.col("flag_high_frequency_customer").isNull(), "unknown_customer_id").when(
+            F.col("flag_low_compliance_bank").isNull(), "unknown_bank_id"
+        )
+        scored = score_transactions(flags.where(reason.isNull()), cfg)
+        scored.write.mode("overwrite").parquet(f"{path}/{own}")
+        without_id = arrived.where("transaction_id is null").select(*SET_ASIDE, F.lit("missing_transaction_id").alias("reason"))
+        aside = flags.select(*SET_ASIDE, reason.alias("reason")).where("reason is not null").unionByName(without_id)
+        aside.write.mode("overwrite").parquet(f"{path}.set_aside/{own}")
+        if then:
+            then(spark.read.schema(scored.schema).parquet(f"{path}/{own}"), feed, batch_id)
+        delete(spark, work)
 
-    return _per_batch(once_each(new_txns, lateness), score, path, checkpoint)
+    return per_batch(new_txns, write, checkpoint)
 
 
-def alert_stream(
-    new_txns: DataFrame,
-    customer_features: DataFrame,
-    bank_features: DataFrame,
+def alert_raiser(
     compliance_profiles: DataFrame,
     path: str,
-    checkpoint: str,
     cfg: RiskConfig = DEFAULT,
-    lateness: str = "7 days",
     run_ts: datetime | None = None,
-) -> StreamingQuery:
-    """Raise the alerts of each micro-batch that brought transactions."""
+) -> Then:
+    """What raises the alerts of each scored batch; pass it to ``score_stream`` as ``then``.
 
-    def raise_alerts(batch: DataFrame) -> DataFrame:
-        flags = transaction_flags(batch, customer_features, bank_features, cfg)
-        found = score_transactions(flags, cfg).agg(
-            count_where(F.col("severity") == "Critical").alias("critical_flags"),
-            F.count(F.lit(1)).alias("arrived"),
+    Critical flags are told per batch. The standing alert on banks below the threshold is
+    raised when its text differs from the last one raised.
+    """
+    spark = compliance_profiles.sparkSession
+    make_folder(spark, path)
+    schema = f"alert_type string, message string, severity string, generated_at_utc timestamp, {PARTITION}"
+
+    def raise_alerts(scored: DataFrame, feed: str, batch_id: int) -> None:
+        state = (
+            scored.agg(
+                count_where(F.col("severity") == "Critical").alias("critical_flags"),
+                F.count(F.lit(1)).alias("arrived"),
+            )
+            .where("arrived > 0")
+            .select("critical_flags", run_time(run_ts).alias("generated_at_utc"))
         )
-        state = found.where("arrived > 0").select(
-            "critical_flags", run_time(run_ts).alias("generated_at_utc")
+        log = earlier(spark.read.schema(schema).parquet(path), feed, batch_id)
+        last = log.where(F.col("alert_type") == STANDING).agg(
+            F.max_by("message", F.struct("generated_at_utc", "batch_id")).alias("told")
         )
-        return alerts(state, compliance_profiles, cfg)
+        raised = alerts(state, compliance_profiles, cfg)
+        same = (F.col("alert_type") == STANDING) & (F.col("message") == F.col("told"))
+        new = raised.join(last, same, "left_anti")
+        new.write.mode("overwrite").parquet(f"{path}/feed={feed}/batch_id={batch_id}")
 
-    return _per_batch(once_each(new_txns, lateness), raise_alerts, path, checkpoint)
+    return raise_alerts
 
 
-def _per_batch(
-    stream: DataFrame, make: Callable[[DataFrame], DataFrame], path: str, checkpoint: str
-) -> StreamingQuery:
+def per_batch(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
     return (
-        stream.writeStream.foreachBatch(batch_writer(stream.sparkSession, make, path))
+        stream.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
-
-
-def batch_writer(
-    spark: SparkSession, make: Callable[[DataFrame], DataFrame], path: str
-) -> Callable[[DataFrame, int], None]:
-    """Store each batch, then write what ``make`` derives from it below ``path``.
-
-    A frame handed over by a stream is planned without adaptive execution, whatever is
-    done with it. Read back (from ``path`` + ".arrived") in the caller's session it is
-    an ordinary table of known size. Every batch owns one folder of either table and
-    replaces only that, so a batch repeated after a failure adds nothing twice.
-    """
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        arrived = f"{path}.arrived/batch_id={batch_id}"
-        batch.write.mode("overwrite").parquet(arrived)
-        stored = spark.read.schema(batch.schema).parquet(arrived)
-        make(stored).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-
-    return write
-
-
-def append_stream(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Append a stream to a Parquet table, until its input is used up."""
-    return (
-        df.writeStream.format("parquet")
-        .outputMode("append")
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start(path)
-    )

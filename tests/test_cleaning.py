@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskspark import schemas
-from riskspark.functions.scalars import parse_date, parse_flag
+from riskspark.functions.scalars import parse_date, parse_flag, parse_whole
 from riskspark.operators import checks, cleaning, quality
 from tests.helpers import banks, customers, raw, raw_sources, rows, txns
 
@@ -13,17 +13,24 @@ from tests.helpers import banks, customers, raw, raw_sources, rows, txns
 def test_dates_are_read_row_by_row(spark):
     df = spark.createDataFrame(
         [("2024-01-02",), ("03/04/2024",), ("13/45/2024",), ("",), (None,), (" 2024-05-06 ",), ("abcd-ef-gh",),
-         ("2024-1-2",), ("2024-01-2T",), ("03/0412024",), ("03/04/2024x",), ("2024",), ("02/30/2024",)], "d string"
+         ("2024-1-2",), ("2024-01-2T",), ("03/0412024",), ("03/04/2024x",), ("2024",), ("02/30/2024",),
+         ("1/5/2024",), ("2024-01-05 10:00:00",), ("2024-01-05T00:00:00",), ("2024-01-05 99:00",), ("1/5/24",), ("1//2024",)], "d string"
     )
     assert [r[0] for r in df.select(parse_date(F.col("d"))).collect()] == [
         date(2024, 1, 2), date(2024, 3, 4), None, None, None, date(2024, 5, 6), None,
         None, None, None, None, None, None,
+        date(2024, 1, 5), date(2024, 1, 5), date(2024, 1, 5), None, None, None,
     ]
 
 
 def test_flags_are_read_by_word(spark):
-    df = spark.createDataFrame([(w,) for w in ("True", "0", "no", None, " ", "x", " YES ")], "w string")
-    assert [r[0] for r in df.select(parse_flag(F.col("w"))).collect()] == [1, 0, 0, None, None, -1, 1]
+    df = spark.createDataFrame([(w,) for w in ("True", "0", "no", None, " ", "x", " YES ", "1.0", "0.0", "2.0", "0.5")], "w string")
+    assert [r[0] for r in df.select(parse_flag(F.col("w"))).collect()] == [1, 0, 0, None, None, -1, 1, 1, 0, -1, -1]
+
+
+def test_whole_numbers_in_the_forms_of_other_tools(spark):
+    df = spark.createDataFrame([(w,) for w in (" 12 ", "123.0", "1e3", "1.5", "x", "", None, "-7.00", "99999999999999999999")], "w string")
+    assert [r[0] for r in df.select(parse_whole(F.col("w"))).collect()] == [12, 123, 1000, None, None, None, None, -7, None]
 
 
 def test_coercion_keeps_bad_values_as_null(spark):

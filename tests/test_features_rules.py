@@ -121,6 +121,14 @@ def test_scores_severities_and_flagging(spark):
         [(1, "Confirmed Fraud"), (2, "Cleared"), (4, "Cleared")], "transaction_id bigint, disposition string"
     )
     assert rows(rules.disposition_kpis(flagged, decisions)) == [(4, 1, 1, 0, 2, 25.0, 25.0)]
+    # several decisions on one transaction: the latest counts; a blank is none
+    several = spark.createDataFrame(
+        [(1, "2024-01-02", "Cleared"), (1, "2024-02-01", "Confirmed Fraud"), (1, "2024-03-01", " "), (2, "", "Cleared"), (3, "2024-01-01", "")],
+        "transaction_id bigint, review_date string, disposition string",
+    )
+    assert rows(rules.disposition_kpis(flagged, several)) == [(4, 1, 1, 0, 2, 25.0, 25.0)]
+    blank = rules.disposition_template(flagged)
+    assert rows(rules.disposition_kpis(flagged, blank)) == [(4, 0, 0, 0, 4, 0.0, 0.0)]
 
 
 def test_thresholds_are_configurable(spark):

@@ -1,10 +1,11 @@
-from datetime import datetime, timezone
+import random
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import functions as F
 
 from riskspark.operators import compliance, features, rules
 from riskspark.streaming import monitoring, scoring
-from tests.helpers import banks, customers, rows, sanctions, txns
+from tests.helpers import DAY, banks, customers, rows, sanctions, txns
 
 TS = datetime(2026, 1, 2, 3, 4, 5, tzinfo=timezone.utc)
 
@@ -27,6 +28,10 @@ def _sides(c, b, t, s):
     return features.customer_signals(c, t, s), features.bank_signals(b, s)
 
 
+def _scored(spark, path):
+    return spark.read.parquet(str(path)).drop("feed", "batch_id")
+
+
 def test_stream_scores_as_the_batch_does_and_each_id_once(spark, tmp_path):
     c, b, t, s = _tables(spark)
     sides = _sides(c, b, t, s)
@@ -35,74 +40,142 @@ def test_stream_scores_as_the_batch_does_and_each_id_once(spark, tmp_path):
     out, state = str(tmp_path / "out"), str(tmp_path / "state")
     scoring.score_stream(feed, *sides, out, state).awaitTermination()
     batch = rules.score_transactions(features.transaction_flags(t, *sides))
-    assert rows(spark.read.parquet(out).drop("batch_id")) == rows(batch)
+    assert rows(_scored(spark, out)) == rows(batch)
 
     # new files are picked up where the stream stopped
     more = txns(spark, (100, 1, 1, 9999, 1))
     more.write.mode("append").parquet(str(tmp_path / "in"))
     scoring.score_stream(feed, *sides, out, state).awaitTermination()
-    assert spark.read.parquet(out).count() == 21
+    assert _scored(spark, out).count() == 21
+
+    # another run over the same feed has its own folders and scores nothing twice
+    scoring.score_stream(feed, *sides, out, str(tmp_path / "state2")).awaitTermination()
+    assert _scored(spark, out).count() == 21
 
 
-def test_alerts_per_batch(spark, tmp_path):
+def test_nothing_that_arrives_is_lost(spark, tmp_path):
+    """Dates in no order and a year apart, ids sent again, unknown customers and banks, no ids."""
+    c, b, t, s = _tables(spark)
+    sides = _sides(c, b, t, s)
+    old = txns(spark, (200, 1, 1, 5, 0, DAY - timedelta(days=400)), (201, 2, 2, 5, 0, date(1999, 1, 1)))
+    unknown = txns(spark, (300, 77, 1, 9500), (301, 1, 88, 5), (302, 77, 88, 5), (None, 1, 1, 5), (None, 1, 1, 5))
+    future = txns(spark, (400, 1, 1, 5, 0, DAY + timedelta(days=900)), (200, 1, 1, 5, 0, DAY - timedelta(days=400)))
+    parts = [t.where("transaction_id < 7"), future, old, unknown, t.where("transaction_id >= 5"), unknown]
+    feed = _files(spark, tmp_path / "in", parts)
+    out = str(tmp_path / "out")
+    scoring.score_stream(feed, *sides, out, str(tmp_path / "state")).awaitTermination()
+    scored = {r.transaction_id for r in _scored(spark, out).collect()}
+    aside = spark.read.parquet(f"{out}.set_aside")
+    assert scored == {*range(20), 200, 201, 400} and _scored(spark, out).count() == 23
+    reasons = rows(aside.where("transaction_id is not null").select("transaction_id", "reason").distinct())
+    assert reasons == [(300, "unknown_customer_id"), (301, "unknown_bank_id"), (302, "unknown_customer_id")]
+    assert aside.where("reason = 'missing_transaction_id'").count() == 4
+    arrived = {r.transaction_id for p in parts for r in p.where("transaction_id is not null").collect()}
+    assert scored | {300, 301, 302} == arrived
+
+    # after the next snapshot they are scored when they come again
+    more = (customers(spark, (1, "High"), (2, "Low"), (77, "Low")), banks(spark, (1, 0.5), (2, 0.9), (88, 0.7)))
+    unknown.write.mode("append").parquet(str(tmp_path / "in"))
+    scoring.score_stream(feed, *_sides(*more, t, s), out, str(tmp_path / "state")).awaitTermination()
+    assert {r.transaction_id for r in _scored(spark, out).collect()} == arrived
+
+
+def test_alerts_come_from_what_was_scored(spark, tmp_path):
     c, b, t, s = _tables(spark)
     sides = _sides(c, b, t, s)
-    feed = _files(spark, tmp_path / "in", [t.where("transaction_id < 10"), t.where("transaction_id >= 10")])
-    profiles = compliance.bank_compliance_profiles(b, s)
+    feed = _files(spark, tmp_path / "in", [t.where("transaction_id < 10"), t, t.where("transaction_id >= 10")])
     out = str(tmp_path / "alerts")
-    state = str(tmp_path / "state")
-    scoring.alert_stream(feed, *sides, profiles, out, state, run_ts=TS).awaitTermination()
-    got = spark.read.parquet(out)
-    critical = rules.score_transactions(features.transaction_flags(t, *sides)).where("severity = 'Critical'").count()
+
+    def run(profiles):
+        raiser = scoring.alert_raiser(profiles, out, run_ts=TS)
+        scoring.score_stream(feed, *sides, str(tmp_path / "out"), str(tmp_path / "state"), then=raiser).awaitTermination()
+        return spark.read.parquet(out)
+
+    got = run(compliance.bank_compliance_profiles(b, s))
+    critical = _scored(spark, tmp_path / "out").where("severity = 'Critical'").count()
     told = got.where("alert_type = 'CRITICAL_FRAUD_FLAGS'").select(F.split("message", " ")[0].cast("int").alias("n"))
     assert critical > 0 and told.agg(F.sum("n")).first()[0] == critical
+    assert got.where("alert_type = 'BANKS_BELOW_COMPLIANCE_THRESHOLD'").count() == 1
+
+    # the standing alert is raised again once the number of banks has changed
+    worse = compliance.bank_compliance_profiles(banks(spark, (1, 0.5), (2, 0.3)), s)
+    for n in (500, 501):
+        txns(spark, (n, 1, 1, 5)).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        got = run(worse)
     assert got.where("alert_type = 'BANKS_BELOW_COMPLIANCE_THRESHOLD'").count() == 2
 
 
+def test_a_repeated_batch_replaces_its_rows(spark, tmp_path):
+    """The sink run again for the same batch, as after a failure, leaves the same tables."""
+    c, b, t, s = _tables(spark)
+    calls, real = [], scoring.per_batch
+
+    def twice(stream, write, checkpoint):
+        def both(batch, batch_id):
+            write(batch, batch_id)
+            write(batch, batch_id)
+            calls.append(batch_id)
+
+        return real(stream, both, checkpoint)
+
+    scoring.per_batch = twice
+    try:
+        feed = _files(spark, tmp_path / "in", [t.where("transaction_id < 10"), t])
+        scoring.score_stream(feed, *_sides(c, b, t, s), str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
+    finally:
+        scoring.per_batch = real
+    assert calls == [0, 1] and _scored(spark, tmp_path / "out").count() == 20
+    assert not (tmp_path / "out.work").exists() or not [p for p in (tmp_path / "out.work").rglob("*.parquet")]
+
+
 def test_micro_batches_are_joined_adaptively(spark, tmp_path):
     c, b, t, s = _tables(spark)
     plans = []
 
-    def make(batch):
-        out = features.transaction_flags(batch, *_sides(c, b, t, s))
+    def write(batch, batch_id):
+        stored = scoring.stored_batch(batch, str(tmp_path / f"b{batch_id}"))
+        out = features.transaction_flags(stored, *_sides(c, b, t, s), how="left")
         plans.append(out._jdf.queryExecution().executedPlan().toString())
-        return out
-
-    stream = scoring.once_each(_files(spark, tmp_path / "in", [t]))
-    writer = scoring.batch_writer(spark, make, str(tmp_path / "out"))
-    (
-        stream.writeStream.foreachBatch(writer)
-        .option("checkpointLocation", str(tmp_path / "state"))
-        .trigger(availableNow=True)
-        .start()
-        .awaitTermination()
-    )
+
+    scoring.per_batch(_files(spark, tmp_path / "in", [t]), write, str(tmp_path / "state")).awaitTermination()
     assert plans and all(p.startswith("AdaptiveSparkPlan") for p in plans)
 
 
-def test_a_repeated_batch_replaces_its_rows(spark, tmp_path):
-    write = scoring.batch_writer(spark, lambda df: df.withColumn("seen", F.lit(1)), str(tmp_path / "a"))
-    batch = spark.createDataFrame([("Critical",)], "severity string")
-    write(batch, 3)
-    write(batch, 3)
-    write(batch, 4)
-    assert rows(spark.read.parquet(str(tmp_path / "a")), "batch_id", "severity") == [(3, "Critical"), (4, "Critical")]
+EVENTS = "customer_id bigint, event_time timestamp, amount decimal(18,2), is_high_risk int"
+
+
+def _events(spark, times):
+    base = [(1 + i % 2, datetime(2024, 1, d, h, tzinfo=timezone.utc), None, i % 2) for i, (d, h) in enumerate(times)]
+    return spark.createDataFrame(base, EVENTS)
 
 
 def test_late_rows_within_the_bound_are_counted(spark, tmp_path):
-    """Rows out of order by less than the bound reach their bucket; a bucket is
-    emitted once, when it is over."""
-    events = "customer_id bigint, event_time timestamp, amount decimal(18,2), is_high_risk int"
-
-    def part(*times):
-        base = [(1 + i % 2, datetime(2024, 1, d, h, tzinfo=timezone.utc), None, i % 2) for i, (d, h) in enumerate(times)]
-        return spark.createDataFrame(base, events)
-
-    parts = [part((1, 5), (1, 23)), part((2, 0), (1, 23)), part((2, 12), (2, 3)), part((4, 0))]
-    monitor = monitoring.region_monitor_stream(
-        _files(spark, tmp_path / "in", parts), customers(spark, (1, "Low"), (2, "Low", "East")), "1 day", "2 hours"
-    )
-    scoring.append_stream(monitor, str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
-    got = spark.read.parquet(str(tmp_path / "out"))
+    """Rows out of order by less than the bound reach their bucket."""
+    parts = [_events(spark, x) for x in ([(1, 5), (1, 23)], [(2, 0), (1, 23)], [(2, 12), (2, 3)], [(4, 0)])]
+    out = str(tmp_path / "out")
+    monitoring.region_monitor_stream(
+        _files(spark, tmp_path / "in", parts), customers(spark, (1, "Low"), (2, "Low", "East")), out,
+        str(tmp_path / "state"), "1 day", "2 hours",
+    ).awaitTermination()
+    got = monitoring.region_counts(spark, out, "2 hours")
     counts = rows(got.select(F.dayofmonth("bucket_start").alias("d"), "region", "txn_count", "high_risk_txn_count"))
     assert counts == [(1, "East", 2, 2), (1, "North", 1, 0), (2, "East", 1, 1), (2, "North", 2, 0)]
+    assert rows(monitoring.monitor_accounts(spark, out, "2 hours")) == [("counted", 6), ("open", 1)]
+
+
+def test_every_event_is_accounted_for(spark, tmp_path):
+    """Shuffled events: counted, open, late, of unknown customers or without a time, none lost."""
+    r = random.Random(6)
+    base = [(r.choice([1, 2, 9, None]), datetime(2024, 1, r.randint(1, 20), r.randint(0, 23), tzinfo=timezone.utc), None, 1) for _ in range(300)]
+    base += [(1, None, None, 0)] * 7
+    r.shuffle(base)
+    parts = [spark.createDataFrame(base[k::6], EVENTS) for k in range(6)]
+    out = str(tmp_path / "out")
+    monitoring.region_monitor_stream(
+        _files(spark, tmp_path / "in", parts), customers(spark, (1, "Low"), (2, "Low", "East")), out, str(tmp_path / "state")
+    ).awaitTermination()
+    accounts = dict(rows(monitoring.monitor_accounts(spark, out)))
+    assert sum(accounts.values()) == len(base) and accounts["undated"] == 7 and accounts["late"] > 0
+    assert accounts["unmatched"] == sum(1 for x in base if x[1] is not None and x[0] not in (1, 2))
+    counted = monitoring.region_counts(spark, out).agg(F.sum("txn_count")).first()[0]
+    assert counted == accounts["counted"]
