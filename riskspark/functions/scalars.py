@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Accepted spellings of a yes/no flag.
@@ -91,6 +91,13 @@ def flag(predicate: Column) -> Column:
     return F.when(predicate, 1).otherwise(0)
 
 
+def literal_row(spark: SparkSession, values: dict) -> DataFrame:
+    """One row of known values; whole numbers as long, NULL as double."""
+    return spark.range(1).select(
+        *[F.lit(v).cast("long" if isinstance(v, int) else "double").alias(k) for k, v in values.items()]
+    )
+
+
 def merge_single_rows(*frames: DataFrame) -> DataFrame:
     """One row with the columns of several one-row frames whose names do not overlap.
 

@@ -134,6 +134,10 @@ def _quarantined(rows: DataFrame, table: str, reason: Column) -> DataFrame:
         F.lit(table).alias("table_name"),
         F.col(schemas.PRIMARY_KEYS[table]).alias("key"),
         reason.alias("reason"),
+        F.to_json(
+            F.struct(*[F.col(c).cast("string").alias(c) for c in rows.columns if c != REJECT]),
+            {"ignoreNullFields": "false"},
+        ).alias("row"),
     )
 
 
@@ -180,9 +184,9 @@ def clean_parent(checked: DataFrame, table: str) -> DataFrame:
     return one_per_key(good_rows(checked), table)
 
 
-def clean_transactions(checked: DataFrame) -> DataFrame:
-    """Good transactions with defaults filled, one per id."""
-    filled = good_rows(checked).select(
+def fill_transactions(checked: DataFrame) -> DataFrame:
+    """Good transactions with defaults filled, before ids are made unique."""
+    return good_rows(checked).select(
         "transaction_id",
         "customer_id",
         "bank_id",
@@ -193,7 +197,11 @@ def clean_transactions(checked: DataFrame) -> DataFrame:
         F.coalesce("is_high_risk", F.lit(schemas.DEFAULT_HIGH_RISK)).alias("is_high_risk"),
         F.coalesce("is_valid_bank_id", F.lit(schemas.DEFAULT_VALID_BANK)).alias("is_valid_bank_id"),
     )
-    return one_per_key(filled, "transactions")
+
+
+def clean_transactions(checked: DataFrame) -> DataFrame:
+    """Good transactions with defaults filled, one per id."""
+    return one_per_key(fill_transactions(checked), "transactions")
 
 
 def fill_sanctions(checked: DataFrame) -> DataFrame:
@@ -205,13 +213,14 @@ def fill_sanctions(checked: DataFrame) -> DataFrame:
 def clean(
     staged: dict[str, DataFrame], strict: bool = False, keep: Keep = _lazy
 ) -> tuple[CleanTables, DataFrame]:
-    """Clean tables and the quarantine (table_name, key, reason).
+    """Clean tables and the quarantine (table_name, key, reason, and the row as JSON).
 
     Parents come first: children are checked against the cleaned parents. Several
     results share the checked rows and the parents; pass ``keep`` to store those once
     instead of computing them for each (it gets a frame and a name, and returns the
-    stored frame). With ``strict`` a non-empty quarantine raises. Repeated transaction
-    ids are dropped, not quarantined: the quality indicators count them.
+    stored frame). With ``strict`` a non-empty quarantine raises. Exact copies of a
+    transaction are dropped, and counted by the quality indicators; of transactions with
+    one id but different content one is kept and the others are quarantined.
     """
     checked, parents, rejected = {}, {}, []
     for table in ("customers", "banks"):
@@ -228,9 +237,11 @@ def clean(
     filled = fill_sanctions(checked["sanctions"])
     sanctions = keep(one_per_key(filled, "sanctions"), "sanctions")
     rejected.append(repeated_rows(filled, sanctions, "sanctions"))
+    transactions = keep(clean_transactions(checked["transactions"]), "transactions")
+    distinct = fill_transactions(checked["transactions"]).dropDuplicates()
+    rejected.append(repeated_rows(distinct, transactions, "transactions"))
     quarantine = reduce(DataFrame.unionByName, rejected)
     if strict and not quarantine.isEmpty():
         raise ValueError(f"rows broke a constraint, e.g. {quarantine.first()}")
-    transactions = keep(clean_transactions(checked["transactions"]), "transactions")
     tables = CleanTables(parents["customers"], parents["banks"], transactions, sanctions)
     return tables, quarantine

@@ -57,6 +57,14 @@ def column_values(df: DataFrame, column: str) -> DataFrame:
     return values
 
 
+def extent_aggregates(df: DataFrame, column: str) -> tuple[Column, Column]:
+    """``extent`` as two aggregates, to be taken along in another pass over the frame."""
+    value = F.col(column)
+    if dict(df.dtypes)[column] in ("double", "float"):
+        value = F.when(~F.isnan(value), value)
+    return F.count(value), F.min(value)
+
+
 def extent(df: DataFrame, column: str) -> tuple[int, Any]:
     """Number of values and the smallest one."""
     return tuple(column_values(df, column).agg(F.count("v"), F.min("v")).first())
@@ -152,13 +160,15 @@ def _step(s: _Search, low: Any, high: Any, n) -> None:
     s.size -= n["below"] + n["at_low"] + n["between"] + n["at_high"]
 
 
-def quartiles(df: DataFrame, column: str, method: str = "ntile") -> tuple[Any, Any] | None:
+def quartiles(
+    df: DataFrame, column: str, method: str = "ntile", known: tuple[int, Any] | None = None
+) -> tuple[Any, Any] | None:
     """(q1, q3), or None when the method has none for so few values.
 
     ``ntile``: the largest value of the first and the smallest of the last of four
     equal tiles. ``linear``: interpolated between the two nearest ranks.
     """
-    n, smallest = extent(df, column)
+    n, smallest = known or extent(df, column)
     if method == "ntile":
         if n < 4:
             return None
@@ -185,12 +195,13 @@ def iqr_outliers(
     column: str,
     method: str = "ntile",
     k: float = 1.5,
+    known: tuple[int, Any] | None = None,
 ) -> DataFrame:
-    """Rows outside q1 - k*IQR .. q3 + k*IQR.
+    """Rows outside q1 - k*IQR .. q3 + k*IQR; ``known`` is the column's extent, if at hand.
 
     The bounds are literals in the returned plan, so they reach the Parquet scan.
     """
-    found = quartiles(df, column, method)
+    found = quartiles(df, column, method, known)
     if found is None:
         return df.where(F.lit(False))
     q1, q3 = found

@@ -13,13 +13,14 @@ from riskspark.functions.scalars import (
     ISO_DATE,
     count_where,
     is_blank,
+    literal_row,
     merge_single_rows,
     round_half_up,
     safe_pct,
 )
 from riskspark.operators.checks import check_unique
 from riskspark.operators.cleaning import CleanTables
-from riskspark.operators.order_stats import iqr_outliers
+from riskspark.operators.order_stats import extent_aggregates, iqr_outliers
 
 ISO_DATE_LIKE = "____-__-__"
 
@@ -72,8 +73,11 @@ def dq_sql_kpis(transactions: DataFrame) -> DataFrame:
     )
 
 
-def _cells(df: DataFrame, table: str, date_col: str | None = None) -> DataFrame:
-    """Row count, missing cells, cells and (for dated tables) the ISO-date share."""
+def cell_aggregates(df: DataFrame, table: str, date_col: str | None = None) -> list[Column]:
+    """Row count, missing cells, cells and (for dated tables) the ISO-date share, as aggregates.
+
+    They can also be observed while the table is written, which saves a scan.
+    """
     n = F.count(F.lit(1))
     filled = reduce(lambda a, b: a + b, [F.count(F.col(c)) for c in df.columns])
     cells = n * len(df.columns)
@@ -86,14 +90,48 @@ def _cells(df: DataFrame, table: str, date_col: str | None = None) -> DataFrame:
         iso = F.col(date_col).cast("string").rlike(ISO_DATE)
         share = F.try_divide(F.lit(100.0) * count_where(iso), n.cast("double"))
         aggs.append(share.alias(f"iso_{table}"))
-    return df.agg(*aggs)
+    return aggs
+
+
+def orphan_counts(child: DataFrame, parents: dict[str, DataFrame], names: dict[str, str]) -> DataFrame:
+    """Number of child rows without a parent, for several keys in one pass over the child.
+
+    Rows are counted per value of each key before the lookup; all keys' values are then
+    looked up together. A NULL key has no parent.
+    """
+    keys = list(parents)
+    each = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(k).alias("key")) for k in keys]))
+    per_key = child.select(each.alias("k")).groupBy("k.kind", "k.key").agg(F.count(F.lit(1)).alias("n"))
+    on_file = reduce(
+        DataFrame.unionByName,
+        [p.select(F.lit(k).alias("kind"), F.col(k).alias("key")) for k, p in parents.items()],
+    )
+    lost = per_key.join(on_file, ["kind", "key"], "left_anti")
+    return lost.agg(
+        *[F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("n"))), F.lit(0)).alias(names[k]) for k in keys]
+    )
+
+
+def completeness(row: DataFrame) -> tuple[Column, Column]:
+    """data_completeness_pct and data_consistency_pct from the cell aggregates of all tables."""
+
+    def total(prefix: str) -> Column:
+        return reduce(lambda a, b: a + b, [F.col(f"{prefix}_{t}") for t in schemas.STAGING])
 
+    missing_share = F.try_divide(total("missing").cast("double"), total("cells").cast("double"))
+    return (
+        round_half_up(F.lit(100.0) * (F.lit(1.0) - missing_share), 2).alias("data_completeness_pct"),
+        round_half_up((F.col("iso_transactions") + F.col("iso_sanctions")) / 2, 2).alias("data_consistency_pct"),
+    )
 
-def orphan_count(child: DataFrame, parent: DataFrame, key: str, name: str) -> DataFrame:
-    """Number of child rows without a parent, counted per key before the lookup."""
-    per_key = child.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    lost = per_key.join(parent.select(key), key, "left_anti")
-    return lost.agg(F.coalesce(F.sum("n"), F.lit(0)).alias(name))
+
+def small_table_cells(clean: CleanTables) -> DataFrame:
+    """The cell aggregates of all tables but the transactions, in one row."""
+    return merge_single_rows(
+        clean.customers.agg(*cell_aggregates(clean.customers, "customers")),
+        clean.banks.agg(*cell_aggregates(clean.banks, "banks")),
+        clean.sanctions.agg(*cell_aggregates(clean.sanctions, "sanctions", "sanction_date")),
+    )
 
 
 def dq_kpis(
@@ -105,32 +143,35 @@ def dq_kpis(
     the ISO-date share of transactions and of sanctions. ``valid_transactions`` are
     the rows that passed every rule; those beyond the one kept per id count as
     duplicates removed.
+
+    The transactions are scanned once for cells, count and extent, once for the orphans,
+    once for the outliers, and once per round of the quartile search.
     """
     txns = clean.transactions
+    seen = txns.agg(
+        *cell_aggregates(txns, "transactions", "txn_date"),
+        *[c.alias(n) for n, c in zip(("_n", "_least"), extent_aggregates(txns, outlier_column), strict=True)],
+    ).first()
+    known = (seen["_n"], seen["_least"])
+    cells = literal_row(txns.sparkSession, {k: v for k, v in seen.asDict().items() if not k.startswith("_")})
 
     def counted(df: DataFrame, name: str) -> DataFrame:
         return df.agg(F.count(F.lit(1)).alias(name))
 
     row = merge_single_rows(
-        _cells(clean.customers, "customers"),
-        _cells(clean.banks, "banks"),
-        _cells(txns, "transactions", "txn_date"),
-        _cells(clean.sanctions, "sanctions", "sanction_date"),
-        orphan_count(txns, clean.banks, "bank_id", "orphan_transaction_bank_fk"),
-        orphan_count(txns, clean.customers, "customer_id", "orphan_transaction_customer_fk"),
-        counted(iqr_outliers(txns, outlier_column, "linear"), "amount_outliers_iqr"),
+        small_table_cells(clean),
+        cells,
+        orphan_counts(
+            txns,
+            {"bank_id": clean.banks, "customer_id": clean.customers},
+            {"bank_id": "orphan_transaction_bank_fk", "customer_id": "orphan_transaction_customer_fk"},
+        ),
+        counted(iqr_outliers(txns, outlier_column, "linear", known=known), "amount_outliers_iqr"),
         counted(valid_transactions, "valid_transactions"),
     )
 
-    def total(prefix: str) -> Column:
-        return reduce(lambda a, b: a + b, [F.col(f"{prefix}_{t}") for t in schemas.STAGING])
-
-    missing_share = F.try_divide(total("missing").cast("double"), total("cells").cast("double"))
     return row.select(
-        round_half_up(F.lit(100.0) * (F.lit(1.0) - missing_share), 2).alias("data_completeness_pct"),
-        round_half_up((F.col("iso_transactions") + F.col("iso_sanctions")) / 2, 2).alias(
-            "data_consistency_pct"
-        ),
+        *completeness(row),
         "orphan_transaction_bank_fk",
         "orphan_transaction_customer_fk",
         "amount_outliers_iqr",

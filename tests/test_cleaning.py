@@ -1,3 +1,4 @@
+import json
 from datetime import date
 from decimal import Decimal as D
 
@@ -73,14 +74,15 @@ def test_every_broken_rule_has_its_reason(spark):
         transactions=[
             T("1"), T("2", c=None), T("3", b=None), T("4", amount="n/a"), T("5", amount="-1"), T("6", day="13/45/2024"),
             T("7", high="maybe"), T("8", c="9"), T("9", b="2"), T(None), T("10", high=None, currency="  "),
+            T("11"), T("11"), T("11", amount="77"),
         ],
         sanctions=[S("1"), S("1"), S("2", c="3"), S("3", b="7"), S("4", reason=None), S("5", valid=None), S("6", day="x")],
     )
     assert rows(clean.customers, "customer_id", "name") == [(1, "N"), (2, "A")]
     assert rows(clean.banks, "bank_id") == [(1,)]
-    assert rows(clean.transactions, "transaction_id", "currency", "is_high_risk") == [(1, "USD", 0), (10, "USD", 0)]
+    assert rows(clean.transactions, "transaction_id", "currency", "is_high_risk") == [(1, "USD", 0), (10, "USD", 0), (11, "USD", 0)]
     assert rows(clean.sanctions, "sanction_id", "is_valid_bank_id") == [(1, 1), (5, 1)]
-    assert rows(quarantine) == sorted([
+    assert rows(quarantine, "table_name", "key", "reason") == sorted([
         ("customers", None, "missing_customer_id"), ("customers", 2, "duplicate_key"),
         ("customers", 3, "bad_risk_level"), ("customers", 4, "missing_region"),
         ("banks", 2, "bad_compliance_score"), ("banks", 3, "missing_compliance_score"),
@@ -88,13 +90,20 @@ def test_every_broken_rule_has_its_reason(spark):
         ("transactions", 4, "missing_amount"), ("transactions", 5, "bad_amount"),
         ("transactions", 6, "missing_date"), ("transactions", 7, "bad_is_high_risk"),
         ("transactions", 8, "unknown_customer_id"), ("transactions", 9, "unknown_bank_id"),
-        ("transactions", None, "missing_transaction_id"),
+        ("transactions", None, "missing_transaction_id"), ("transactions", 11, "duplicate_key"),
         ("sanctions", 1, "duplicate_key"), ("sanctions", 2, "unknown_customer_id"),
         ("sanctions", 3, "unknown_bank_id"), ("sanctions", 4, "missing_reason"),
         ("sanctions", 6, "missing_sanction_date"),
     ], key=lambda t: tuple((v is not None, v) for v in t))
 
 
+def test_quarantine_shows_the_row(spark):
+    _, quarantine = _clean(spark, transactions=[T(None, amount="12.50"), T("3", amount="-7")])
+    shown = {r.reason: json.loads(r.row) for r in quarantine.collect()}
+    assert shown["missing_transaction_id"]["amount"] == "12.50" and shown["missing_transaction_id"]["transaction_id"] is None
+    assert shown["bad_amount"]["amount"] == "-7.00"
+
+
 def test_no_row_is_lost(spark):
     """Staged rows = clean rows + quarantined rows + repeated ids."""
     raw_txns = [T(str(i % 40), c=str(i % 3), amount=str(i % 7 - 1), day="2024-01-02" if i % 5 else "x") for i in range(200)]
