@@ -15,10 +15,10 @@ import os
 import numpy as np
 import pyarrow as pa
 
-from riskspark.llm.text import is_space, raw
+from riskspark.llm.text import is_space, lower, raw
 
 #: Chunks remembered per Python worker: so many lately used ones, and as many from before.
-REMEMBERED = 500_000
+REMEMBERED = 700_000
 #: New chunks are joined to texts of so many for the library.
 JOINED = 500
 _ENCODERS: dict[str, Encoder] = {}
@@ -67,6 +67,7 @@ class Encoder:
             self.kind = "spaced"  # a piece may begin with a space, but holds none further on
         elif kinds == ["Split", "ByteLevel"] and set(rules) <= {"NFC", "Replace", "Lowercase"} and split["pretokenizers"][0]["behavior"] == "Removed":
             self.kind = "unspaced"  # white space parts pieces and is dropped
+        self.lowers = "Lowercase" in rules
         self.memory: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
         # what parts joined chunks, and its id: a line break is a piece of its own, and so is a digit
@@ -112,6 +113,13 @@ class Encoder:
         body, offsets = raw(texts)
         if not len(body):
             return [b""] * (len(offsets) - 1)
+        chunks, bounds = (self._spaced if self.kind == "spaced" else self._unspaced)(body, offsets)
+        self._learn(set(chunks))
+        found = list(map(self.memory.__getitem__, chunks))
+        return [b"".join(found[a:b]) for a, b in zip(bounds, bounds[1:])]
+
+    def _spaced(self, body: np.ndarray, offsets: np.ndarray) -> tuple[list[bytes], list[int]]:
+        """The chunks of all texts, white space at the head of what follows it; where each text's begin."""
         space = is_space(body)
         cut = np.zeros(len(body), bool)
         odd = _END[body[1:-1]] & _LEAD[body[:-2]]  # white space of another kind before
@@ -123,8 +131,21 @@ class Encoder:
         cut[1:] |= _LETTER[body[:-1]] & _MARK[body[1:]]
         cut[offsets[:-1][np.diff(offsets) > 0]] = True
         start = np.flatnonzero(cut)
-        chunks = np.insert(body, start[1:], 0xFF).tobytes().split(b"\xff")  # a byte that UTF-8 never has
-        self._learn(set(chunks))
-        found = list(map(self.memory.__getitem__, chunks))
-        bounds = np.searchsorted(start, offsets).tolist()
-        return [b"".join(found[a:b]) for a, b in zip(bounds, bounds[1:])]
+        return np.insert(body, start[1:], 0xFF).tobytes().split(b"\xff"), np.searchsorted(start, offsets).tolist()
+
+    def _unspaced(self, body: np.ndarray, offsets: np.ndarray) -> tuple[list[bytes], list[int]]:
+        """The chunks of all texts without white space, in lower case where the tokenizer does that."""
+        space = is_space(body)
+        if self.lowers:  # but not before a mark that might combine with the letter
+            plain = np.ones(len(body), bool)
+            plain[:-1] = body[1:] < 128
+            body = np.where(plain, lower(body), body)
+        cut = np.zeros(len(body), bool)
+        cut[1:] = _LETTER[body[:-1]] & _MARK[body[1:]]
+        inner = offsets[1:-1]
+        cut[inner[inner < len(body)]] = False
+        at = np.sort(np.concatenate([np.flatnonzero(cut), inner]))
+        chunks = np.insert(np.where(space, np.uint8(0xFF), body), at, 0xFF).tobytes().split(b"\xff")
+        parts = np.concatenate([[0], np.cumsum(space | cut)])  # chunks that end before each byte
+        bounds = parts[offsets] + np.arange(len(offsets))
+        return chunks, bounds.tolist()
