@@ -17,7 +17,9 @@ from riskspark.operators import checks, cleaning, compliance, features, kpis, pr
 from riskspark.functions.scalars import literal_row, merge_single_rows
 from riskspark.operators import quality, reports, rules, views
 from riskspark.operators.order_stats import iqr_outliers
+from riskspark.plans import pipeline
 from riskspark.plans.workspace import materialise, new_folder
+from riskspark.sources.sinks import export_mart
 from riskspark.streaming import monitoring, scoring
 
 CFG = tpch.CONFIG
@@ -271,6 +273,54 @@ def _bank_kpis(t: cleaning.CleanTables) -> DataFrame:
     return bank_ops.bank_kpis(_comparison(t), CFG)
 
 
+def q_dq_sql_kpis_raw(spark, sf):
+    return quality.dq_sql_kpis(tpch.raw_transactions(spark, sf).withColumnRenamed("date", "txn_date"))
+
+
+def q_raw_completeness(spark, sf):
+    """Cells and date forms of the raw text, where both can be wrong."""
+    dated = {"transactions": "date", "sanctions": "sanction_date"}
+    row = merge_single_rows(
+        *[df.agg(*quality.cell_aggregates(df, t, dated.get(t))) for t, df in tpch.raw_tables(spark, sf).items()]
+    )
+    return row.select(*quality.completeness(row))
+
+
+def q_orphan_counts(spark, sf):
+    staged = _staged(spark, sf)
+    customers, banks = _parents(staged)
+    names = {"bank_id": "orphan_bank", "customer_id": "orphan_customer"}
+    return quality.orphan_counts(staged["transactions"], {"bank_id": banks, "customer_id": customers}, names)
+
+
+def _written_source(spark, sf) -> str:
+    """The raw tables as a folder of CSV files."""
+    folder = new_folder(spark, "source")
+    for name, df in tpch.raw_tables(spark, sf).items():
+        export_mart(df, f"{folder}/{schemas.SOURCE_FILES[name]}")
+    return folder
+
+
+def q_batch_run(spark, sf):
+    """The whole run from CSV files to marts, exports, views and alerts: rows per mart."""
+    marts = pipeline.run(spark, _written_source(spark, sf), new_folder(spark, "run"), cfg=CFG, run_ts=RUN_TS)
+    told = [
+        "customers", "banks", "transactions", "sanctions", "quarantine", "customer_features", "bank_features", "transaction_flags",
+        "customer_risk_profiles", "bank_risk_comparison_ranked", "duplicate_rows", "kpi_summary",
+    ]
+    counts = [marts[m].agg(F.lit(m).alias("mart"), F.count(F.lit(1)).alias("row_count")) for m in told]
+    return reduce(DataFrame.unionByName, counts)
+
+
+def q_exported_customers(spark, sf):
+    """A mart exported as text and read back; text has no empty value, so that comes back as NULL."""
+    path = new_folder(spark, "export")
+    found = q_clean_customers(spark, sf)
+    export_mart(found, path)
+    back = spark.read.schema(found.schema).option("header", True).option("escape", '"').option("multiLine", True)
+    return back.csv(path)
+
+
 def q_kpi_summary(spark, sf):
     """Three scans of the stored transactions: customer features, bank features, flags.
 
@@ -419,6 +469,12 @@ QUERIES: dict[str, Query] = {
     "dq_kpis": q_dq_kpis,
     # the well-formed tables
     "dq_sql_kpis": over_clean(lambda t: quality.dq_sql_kpis(t.transactions)),
+    "dq_sql_kpis_raw": q_dq_sql_kpis_raw,
+    "raw_completeness": q_raw_completeness,
+    "orphan_counts": q_orphan_counts,
+    # sources and sinks
+    "batch_run": q_batch_run,
+    "exported_customers": q_exported_customers,
     "feature_coverage": over_clean(lambda t: quality.feature_coverage(_customer_features(t))),
     "customer_features": over_clean(_customer_features),
     "bank_features": over_clean(_bank_features),

@@ -71,28 +71,54 @@ def _reason() -> Column:
 # ----------------------------------------------------------------------- well-formed
 
 
+#: Ids of the customers and banks that have no transactions start here.
+IDLE = 1_000_000_000
+
+
+def _level(balance: Column) -> Column:
+    return F.when(balance < 1000, "High").when(balance < 5000, "Medium").otherwise("Low")
+
+
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _with_region(spark, sf_dir, table(spark, sf_dir, "customer"), "c_nationkey").select(
+    """The customers, and the suppliers as customers who have never bought."""
+    active = _with_region(spark, sf_dir, table(spark, sf_dir, "customer"), "c_nationkey").select(
         F.col("c_custkey").alias("customer_id"),
         F.col("c_name").alias("name"),
         F.concat(F.lit("c"), F.col("c_custkey").cast("string"), F.lit("@example.com")).alias("email"),
         F.lit(None).cast("string").alias("phone"),
         F.col("r_name").alias("region"),
-        F.when(F.col("c_acctbal") < 1000, "High")
-        .when(F.col("c_acctbal") < 5000, "Medium")
-        .otherwise("Low")
-        .alias("risk_level"),
+        _level(F.col("c_acctbal")).alias("risk_level"),
+    )
+    idle = _with_region(spark, sf_dir, table(spark, sf_dir, "supplier"), "s_nationkey").select(
+        (F.col("s_suppkey") + IDLE).alias("customer_id"),
+        F.col("s_name").alias("name"),
+        F.lit(None).cast("string").alias("email"),
+        F.lit(None).cast("string").alias("phone"),
+        F.col("r_name").alias("region"),
+        _level(F.col("s_acctbal")).alias("risk_level"),
     )
+    return active.unionByName(idle)
 
 
 def banks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The suppliers, and the nations as banks without transactions."""
     hundredths = F.floor((F.col("s_acctbal") + 1000) / 220).cast("int") + 50
-    return _with_region(spark, sf_dir, table(spark, sf_dir, "supplier"), "s_nationkey").select(
+    active = _with_region(spark, sf_dir, table(spark, sf_dir, "supplier"), "s_nationkey").select(
         F.col("s_suppkey").alias("bank_id"),
         F.col("s_name").alias("name"),
         F.col("r_name").alias("region"),
         (hundredths.cast("double") / 100).alias("compliance_score"),
     )
+    nations = table(spark, sf_dir, "nation").join(
+        table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
+    )
+    idle = nations.select(
+        (F.col("n_nationkey").cast("bigint") + IDLE).alias("bank_id"),
+        F.col("n_name").alias("name"),
+        F.col("r_name").alias("region"),
+        ((50 + 2 * F.col("n_nationkey")).cast("double") / 100).alias("compliance_score"),
+    )
+    return active.unionByName(idle)
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -207,8 +233,9 @@ def raw_banks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Defects and other tools' ways of writing numbers, flags and dates, by quantity, tax
-    and discount; duplicate ids occur by themselves."""
-    return _lines(spark, sf_dir).select(
+    and discount; duplicate ids occur by themselves. What quantity 5 says is sent again
+    under another id."""
+    rows = _lines(spark, sf_dir).select(
         F.when(_qty(3), F.lit(None))
         .when(_qty(2), F.concat(_text(_line_id()), F.lit(".0")))
         .otherwise(_text(_line_id()))
@@ -243,7 +270,10 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise("no")
         .alias("is_high_risk"),
         F.lit("1").alias("is_valid_bank_id"),
+        "l_quantity",
     )
+    again = rows.where(_qty(5)).withColumn("transaction_id", F.concat(F.lit("9"), F.lpad("transaction_id", 15, "0")))
+    return rows.unionByName(again).drop("l_quantity")
 
 
 def raw_sanctions(spark: SparkSession, sf_dir: str) -> DataFrame:
