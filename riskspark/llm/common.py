@@ -70,8 +70,12 @@ def to_json(x) -> str:
     return json.dumps(x, sort_keys=True)
 
 
+#: Rows per Arrow batch, where the session leaves Spark's default: rows here hold whole texts.
+BATCH_ROWS = 1000
+
+
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors, once per session, for those that lack it."""
+    """Prepare a session, once: send this package to executors that lack it, bound Arrow batches."""
     import tempfile
     import zipfile
     from pathlib import Path
@@ -81,6 +85,9 @@ def ship(spark: SparkSession) -> None:
     sc = spark.sparkContext
     if getattr(sc, "_riskspark_shipped", False):
         return
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, BATCH_ROWS)
     root = Path(riskspark.__file__).parent
     path = Path(tempfile.mkdtemp()) / "riskspark.zip"
     with zipfile.ZipFile(path, "w") as z:

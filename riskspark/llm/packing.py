@@ -31,7 +31,7 @@ LENGTH = 2048
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
 #: Text per group, on average, and documents per group at most, on average.
-GROUP_BYTES, GROUP_DOCS = 16 << 20, 8192
+GROUP_BYTES, GROUP_DOCS = 8 << 20, 4096
 #: A room smaller than this is padded rather than filled with a cut.
 LEAST_PIECE = 8
 
