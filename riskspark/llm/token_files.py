@@ -41,13 +41,13 @@ from riskspark.llm.tokens import encoder, tokenizer_path
 
 MAGIC = b"IDRC0001"
 TOKENIZER, END_ID = "byte_bpe_50k.json", 2
-BLOCK = 8192
+BLOCK = 4096
 #: Blocks coded side by side at most; bounds the models' memory.
 LANES = 2048
 #: Text per file, on average.
-FILE_BYTES = 32 << 20
+FILE_BYTES = 16 << 20
 
-_TABLE_BITS = 12
+_TABLE_BITS = 11
 _ONE = 1 << 16
 _CDF_BITS = 14
 _CLASSES = 40
@@ -184,11 +184,13 @@ def _decode_lanes(words: list[bytes], steps: int, tables: tuple) -> np.ndarray:
     lanes = len(words)
     m = _Models(lanes, len(first))
     size = max(len(w) for w in words) // 2 + 8
-    data = np.zeros((lanes, size), _U)
+    data = np.zeros((lanes, size), np.uint16)
     for i, w in enumerate(words):
         data[i, : len(w) // 2] = np.frombuffer(w, "<u2")
     low, width = np.zeros(lanes, _U), np.full(lanes, 2**64 - 1, _U)
-    code = (data[:, 0] << _U(48)) | (data[:, 1] << _U(32)) | (data[:, 2] << _U(16)) | data[:, 3]
+    code = np.zeros(lanes, _U)
+    for k in range(4):
+        code = (code << _U(16)) | data[:, k]
     pos = np.full(lanes, 4, np.int64)
     rank = np.zeros((steps, lanes), np.int32)
     most = np.int32(len(class_of) - 1)
@@ -217,7 +219,7 @@ def _decode_lanes(words: list[bytes], steps: int, tables: tuple) -> np.ndarray:
         r = np.minimum(r, most + 1)  # only a block past its end can exceed it
         for at in _shift(low, width):
             p = pos[at]
-            code[at] = (code[at] << _U(16)) | data[at, np.minimum(p, size - 1)]
+            code[at] = (code[at] << _U(16)) | data[at, np.minimum(p, size - 1)].astype(_U)
             pos[at] = p + 1
         rank[step] = r - 1
         m.learn(r, class_of[r - 1])
@@ -226,27 +228,24 @@ def _decode_lanes(words: list[bytes], steps: int, tables: tuple) -> np.ndarray:
 
 def encode_file(doc_ids: list[int | None], lengths: np.ndarray, ids: np.ndarray, block: int = BLOCK) -> bytes:
     """A file of the ids of consecutive documents."""
-    kinds, inverse, count = np.unique(ids, return_inverse=True, return_counts=True)
-    order = np.argsort(-count, kind="stable")
-    by_rank = kinds[order].astype("<u4")
-    rank_of = np.empty(len(kinds), np.int32)
-    rank_of[order] = np.arange(len(kinds))
-    rank = rank_of[inverse.reshape(-1)]
+    count = np.bincount(ids, minlength=1)  # ids are below the vocabulary's size
+    kinds = np.flatnonzero(count)
+    by_rank = kinds[np.argsort(-count[kinds], kind="stable")].astype("<u4")
+    rank_of = np.zeros(len(count), np.int32)
+    rank_of[by_rank] = np.arange(len(kinds))
     tables = _class_table(len(kinds))
     n_blocks = -(-len(ids) // block)
     size = np.full(n_blocks, block)
     if n_blocks:
         size[-1] = len(ids) - block * (n_blocks - 1)
-    padded = np.zeros(n_blocks * block, np.int32)
-    padded[: len(rank)] = rank
-    padded = padded.reshape(-1, block)
     words: list[bytes] = []
     for at in range(0, n_blocks, LANES):
-        part = slice(at, at + LANES)
-        steps = int(size[part].max())
-        words += _encode_lanes(np.ascontiguousarray(padded[part, :steps].T), size[part], tables)
-    plain = ids.astype("<u4")
-    crc = [zlib.crc32(plain[k * block : k * block + n].tobytes()) for k, n in enumerate(size)]
+        part = size[at : at + LANES]
+        padded = np.zeros(len(part) * block, np.int32)
+        held = rank_of[ids[at * block : (at + LANES) * block]]
+        padded[: len(held)] = held
+        words += _encode_lanes(np.ascontiguousarray(padded.reshape(-1, block)[:, : int(part.max())].T), part, tables)
+    crc = [zlib.crc32(ids[k * block : k * block + n].astype("<u4").tobytes()) for k, n in enumerate(size)]
     docs = np.array([d or 0 for d in doc_ids], "<i8").tobytes() + bytes(d is None for d in doc_ids) + lengths.astype("<i8").tobytes()
     docs = zlib.compress(docs)
     head = json.dumps({"ids": len(ids), "kinds": len(kinds), "block": block, "docs": len(doc_ids), "doc_bytes": len(docs)}).encode()
