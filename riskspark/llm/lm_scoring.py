@@ -59,9 +59,15 @@ def count(docs: DataFrame, labels: DataFrame) -> DataFrame:
         .groupBy("doc_id")
         .agg(F.min(F.coalesce((F.col("quality") == 1) & (F.col("toxic") == 0), F.lit(False))).alias("good"))
         .where("good")
-        .select("doc_id", F.lit(True).alias("good"))
+        .select("doc_id", F.lit(0).cast("long").alias("salt"), F.lit(True).alias("good"))
+    )
+    # Texts meet their labels in a shuffle, at any size alike; rows without an id are spread by their text.
+    salt = F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.lit(0)).alias("salt")
+    marked = (
+        docs.select("doc_id", "text", salt)
+        .join(good.hint("merge"), ["doc_id", "salt"], "left")
+        .select("text", F.coalesce("good", F.lit(False)).alias("good"))
     )
-    marked = docs.select("doc_id", "text").join(good, "doc_id", "left").select("text", F.coalesce("good", F.lit(False)).alias("good"))
     names = ["place", "background", "target"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
