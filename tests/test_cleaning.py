@@ -140,8 +140,12 @@ def test_semi_and_anti_join_split_the_rows(spark):
 def test_orphans_include_missing_keys(spark):
     child = spark.createDataFrame([(1, 1), (2, None), (3, 9)], "id int, bank_id bigint")
     assert rows(checks.orphans(child, banks(spark, (1, 0.5)), "bank_id")) == [(2, None), (3, 9)]
-    lost = quality.orphan_count(child, banks(spark, (1, 0.5)), "bank_id", "n")
+    lost = quality.orphan_counts(child, {"bank_id": banks(spark, (1, 0.5))}, {"bank_id": "n"})
     assert rows(lost) == [(2,)]
+    several = spark.createDataFrame([(1, 1), (None, 1), (7, None), (7, 9)], "customer_id bigint, bank_id bigint")
+    parents = {"bank_id": banks(spark, (1, 0.5)), "customer_id": customers(spark, (1, "Low"))}
+    both = quality.orphan_counts(several, parents, {"bank_id": "b", "customer_id": "c"})
+    assert rows(both, "b", "c") == [(2, 3)]
 
 
 def test_checks_return_violations(spark):
