@@ -289,7 +289,8 @@ def fit(pages: DataFrame, most: int = FIT_PAGES, composed: int = COMPOSED) -> tr
     turn = F.xxhash64("page_id", "url")
     chosen = pages.where("html is not null").select(turn.alias("turn")).orderBy("turn").limit(most).distinct()
     # so many hashes at most, which is why they may be broadcast; pages travel for these alone
-    rows = pages.where("html is not null").select(turn.alias("turn"), "html").join(F.broadcast(chosen), "turn").limit(most).collect()
+    picked = pages.where("html is not null").select(turn.alias("turn"), "html").join(F.broadcast(chosen), "turn")
+    rows = picked.select("html").limit(most).collect()
     given = [Page(r[0]) for r in rows]
     prose = [t for p in given for t in p.text if len(t) > 20][:2000]
     drawn = [Page(s) for s in compose(composed, prose)]
