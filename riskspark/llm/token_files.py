@@ -43,9 +43,9 @@ MAGIC = b"IDRC0001"
 TOKENIZER, END_ID = "byte_bpe_50k.json", 2
 BLOCK = 4096
 #: Blocks coded side by side at most; bounds the models' memory.
-LANES = 2048
+LANES = 1024
 #: Text per file, on average.
-FILE_BYTES = 16 << 20
+FILE_BYTES = 8 << 20
 
 _TABLE_BITS = 11
 _ONE = 1 << 16
