@@ -130,6 +130,59 @@ def test_lm_scores(spark):
         assert r.score == pytest.approx(r.target_loss - r.background_loss, abs=1e-6)
 
 
+def worded_scores(corpus, good, scored):
+    """target and background loss of each text, from dictionaries keyed by the words themselves."""
+    losses = []
+    for which in ("target", "background"):
+        c1, c2, seen = {}, {}, set()
+        for d, t in corpus:
+            w = t.split()
+            seen.update(w)
+            if which == "background" or d in good:
+                for x in w:
+                    c1[x] = c1.get(x, 0) + 1
+                for x in zip(w, w[1:], strict=False):
+                    c2[x] = c2.get(x, 0) + 1
+        below = sum(c1.values()) + 0.5 * max(2**18, len(seen))
+        of = []
+        for t in scored:
+            total, before = 0.0, None
+            for x in t.split():
+                p = (c1.get(x, 0) + 0.5) / below
+                if before is not None:
+                    p = (c2.get((before, x), 0) + 8 * p) / (c1.get(before, 0) + 8)
+                total -= math.log(p)
+                before = x
+            of.append(total / len(t.split()))
+        losses.append(of)
+    return list(zip(*losses, strict=True))
+
+
+def test_lm_scores_with_more_words_than_2_to_18(spark, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "CHUNK", 300_000)
+    monkeypatch.setattr(lm_scoring, "RANGE", 500_000)
+    r = random.Random(5)
+    rows = [(d, " ".join(r.choice(["the", "of", "and", f"w{d}x{k}", f"w{d}x{k}"]) if k % 3 == 0 else f"w{d}x{k}" for k in range(900))) for d in range(400)]
+    rows += rows[:20]  # repeated rows are counted each time
+    assert len({x for _, t in rows for x in t.split()}) > 2**18
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    marks = spark.createDataFrame([(d, int(d % 2 == 0), int(d % 6 == 0)) for d in range(300)], "doc_id long, quality int, toxic int")
+    good = {d for d in range(300) if d % 2 == 0 and d % 6}
+    models = lm_scoring.fit(docs, marks)
+    got = lm_scoring.score(docs, models).collect()
+    want = dict(zip([d for d, _ in rows], worded_scores(rows, good, [t for _, t in rows]), strict=True))
+    assert sorted(x.doc_id for x in got) == sorted(d for d, _ in rows)
+    for x in got:
+        assert (x.target_loss, x.background_loss) == pytest.approx(want[x.doc_id], abs=1e-8)
+    # documents that the models were not counted on: words in common, words of others, words never met
+    others = [(1000, rows[2][1] + " the of and"), (1001, "never met the w0x1 w0x2 and w9x9"), (2, "the")]
+    got = lm_scoring.score(spark.createDataFrame(others, "doc_id long, text string"), models).collect()
+    want = dict(zip([d for d, _ in others], worded_scores(rows, good, [t for _, t in others]), strict=True))
+    assert len(got) == 3
+    for x in got:
+        assert (x.target_loss, x.background_loss) == pytest.approx(want[x.doc_id], abs=1e-8)
+
+
 def test_lm_scores_part_good_from_bad(spark):
     sf = "/root/testdata/sf0.01"
     got = QUERIES["op3_lm_scoring"](spark, sf)
