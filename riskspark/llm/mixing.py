@@ -12,12 +12,14 @@ Rates become copies per class of equal source and size: each class takes its sha
 whole copies and hands the words left over, in order of falling size, to the next. A
 source therefore ends within about the size of its smallest documents of its target.
 Within a class the documents with the smallest hashes take one copy more; the hash that
-divides them is found by counting ranges of hashes first and ranking one range only.
+divides them is found by counting ranges of hashes first and ranking the distinct hashes of
+one range only.
 
 Cases: a null source is a source of its own and comes last in order; a null or empty
 text has size 0 and takes no words. Rows repeated with the same id and text have the
-same hash and so take the same copies. An empty table gives no rows. ``docs`` may have
-any further columns.
+same hash; where that is the dividing one and only some of them are to take one copy more,
+they are numbered, written, and divided by the hash of their numbers. An empty table gives
+no rows. ``docs`` may have any further columns.
 """
 
 from __future__ import annotations
@@ -149,10 +151,11 @@ def _round(pdf: pd.DataFrame) -> pd.DataFrame:
 
 
 def plan(narrow: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE) -> DataFrame:
-    """A row per (source, size): source_size, target, every, and last.
+    """A row per (source, size): source_size, target, every, last and share.
 
     Each document of the class is taken ``every`` times, and once more if its hash is
-    at most ``last`` (null: none). ``narrow`` has source, size and hash of each document.
+    below ``last`` (null: none) or equal to it. If ``share`` is not null, only so many of
+    those with equal hash are. ``narrow`` has source, size and hash of each document.
     """
     goals = materialise(targets(narrow, weights, share), "targets")
     classes = materialise(narrow.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")), "classes")
@@ -178,55 +181,81 @@ def _same_class(source: str, size: str) -> Column:
 
 
 def _last(narrow: DataFrame, copies: DataFrame) -> DataFrame:
-    """of, of_size and last: the hash of the ``extra``-th document of each class that has some."""
+    """of, of_size, last and share: the hash of the ``extra``-th document of each class that has some.
+
+    share: how many of the rows with that hash are among the ``extra`` first, null for all.
+    """
     some = copies.where("extra > 0").select(F.col("source").alias("of"), F.col("size").alias("of_size"), "extra")
     part = F.shiftright("hash", 64 - RANGE_BITS)
-    rows = narrow.join(some, _same_class("of", "of_size")).select("of", "of_size", "extra", "hash", part.alias("part"))
+    hashes = (
+        narrow.join(some, _same_class("of", "of_size"))
+        .groupBy("of", "of_size", "extra", "hash")
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .select("*", part.alias("part"))
+    )
     upto = Window.partitionBy("of", "of_size").orderBy("part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cut = (
-        rows.groupBy("of", "of_size", "part", "extra")
-        .agg(F.count(F.lit(1)).alias("held"))
+        hashes.groupBy("of", "of_size", "part", "extra")
+        .agg(F.sum("rows").alias("held"))
         .withColumn("so_far", F.sum("held").over(upto))
         .where("so_far >= extra and so_far - held < extra")
         .select(F.col("of").alias("c_of"), F.col("of_size").alias("c_size"), F.col("part").alias("c_part"), (F.col("extra") - F.col("so_far") + F.col("held")).alias("nth"))
     )
     same = F.col("of").eqNullSafe(F.col("c_of")) & (F.col("of_size") == F.col("c_size")) & (F.col("part") == F.col("c_part"))
-    ranked = Window.partitionBy("of", "of_size").orderBy("hash")
+    ranked = Window.partitionBy("of", "of_size").orderBy("hash").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    share = F.col("nth") - F.col("up_to_here") + F.col("rows")
     return (
-        rows.join(cut, same)
-        .withColumn("nth_here", F.row_number().over(ranked))
-        .where("nth_here = nth")
-        .select("of", "of_size", F.col("hash").alias("last"))
+        hashes.join(cut, same)
+        .withColumn("up_to_here", F.sum("rows").over(ranked))
+        .where("up_to_here >= nth and up_to_here - rows < nth")
+        .select("of", "of_size", F.col("hash").alias("last"), F.when(share < F.col("rows"), share).alias("share"))
     )
 
 
+def _copied(rows: DataFrame, planned: DataFrame) -> DataFrame:
+    """rows with _copies; ``rows`` has _measured, ``planned`` is what ``plan`` returns, as _planned."""
+    same = F.col("_measured.source").eqNullSafe(F.col("_planned.source")) & (F.col("_measured.size") == F.col("_planned.size"))
+    placed, every = rows.join(planned, same), F.col("_planned.every")
+    tied = F.col("_planned.share").isNotNull() & (F.col("_measured.hash") == F.col("_planned.last"))
+    copied = placed.withColumn("_copies", every + F.when(F.col("_measured.hash") <= F.col("_planned.last"), 1).otherwise(0))
+    if planned.where("_planned.share is not null").isEmpty():
+        return copied
+    # Written with their numbers, so that a row is told from its copies however often it is read.
+    ties = materialise(placed.where(tied).withColumn("_row", F.monotonically_increasing_id()), "ties")
+    number = F.xxhash64("_row")
+    narrow = ties.select("_measured.source", "_measured.size", number.alias("hash"))
+    wanted = planned.where("_planned.share is not null").select("_planned.source", "_planned.size", F.col("_planned.share").alias("extra"))
+    last = materialise(_last(narrow, wanted).select(F.struct("of", "of_size", "last").alias("_cut")), "last")
+    divided = ties.join(last, F.col("_measured.source").eqNullSafe(F.col("_cut.of")) & (F.col("_measured.size") == F.col("_cut.of_size")))
+    divided = divided.withColumn("_copies", every + F.when(number <= F.col("_cut.last"), 1).otherwise(0)).drop("_row", "_cut")
+    return copied.where(~F.coalesce(tied, F.lit(False))).unionByName(divided)
+
+
 def _measured(docs: DataFrame) -> DataFrame:
-    """docs with size and hash in a struct whose name clashes with nothing of theirs."""
-    return docs.select("*", F.struct(word_count(F.col("text")).alias("size"), F.xxhash64("doc_id", "text").alias("hash")).alias("_measured"))
+    """docs with source, size and hash in a struct whose name clashes with nothing of theirs."""
+    hashed = F.xxhash64("doc_id", "text").alias("hash")
+    return docs.select("*", F.struct(F.col("source"), word_count(F.col("text")).alias("size"), hashed).alias("_measured"))
+
+
+def _planned(narrow: DataFrame, weights: tuple[int, ...], share: float) -> DataFrame:
+    """The plan in a struct, written: it is read for the rows and for the ties."""
+    planned = plan(narrow, weights, share)
+    return materialise(planned.select(F.struct(*planned.columns).alias("_planned")), "plan")
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE) -> DataFrame:
     """doc_id, source, size, source_size, target, copies and taken of every document."""
-    narrow = materialise(_measured(docs).select("doc_id", "source", "_measured.size", "_measured.hash"), "sizes")
-    planned = plan(narrow, weights, share).select("*", F.col("source").alias("of"), F.col("size").alias("of_size")).drop("source", "size")
-    return (
-        narrow.join(planned, _same_class("of", "of_size"))
-        .withColumn("copies", F.col("every") + F.when(F.col("hash") <= F.col("last"), 1).otherwise(0))
-        .select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
-    )
+    narrow = materialise(_measured(docs).select("doc_id", "_measured"), "sizes")
+    copied = _copied(narrow, _planned(narrow.select("_measured.*"), weights, share))
+    return copied.select(
+        "doc_id", "_measured.source", "_measured.size", "_planned.source_size", "_planned.target",
+        F.col("_copies").alias("copies"), (F.col("_copies") * F.col("_measured.size")).alias("taken"),
+    )
 
 
 def repeat(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE) -> DataFrame:
     """The documents with all their columns, each as often as the mix takes it."""
     measured = _measured(docs)
-    narrow = materialise(measured.select("source", "_measured.size", "_measured.hash"), "sizes")
-    planned = plan(narrow, weights, share).select(
-        F.struct(F.col("source"), F.col("size"), F.col("every"), F.col("last")).alias("_planned")
-    )
-    copies = F.col("_planned.every") + F.when(F.col("_measured.hash") <= F.col("_planned.last"), 1).otherwise(0)
-    same = F.col("source").eqNullSafe(F.col("_planned.source")) & (F.col("_measured.size") == F.col("_planned.size"))
-    return (
-        measured.join(planned, same)
-        .withColumn("_nth", F.explode(F.array_repeat(F.lit(1), copies.cast("int"))))
-        .select(*docs.columns)
-    )
+    narrow = materialise(measured.select("_measured.*"), "sizes")
+    copied = _copied(measured, _planned(narrow, weights, share))
+    return copied.withColumn("_nth", F.explode(F.array_repeat(F.lit(1), F.col("_copies").cast("int")))).select(*docs.columns)

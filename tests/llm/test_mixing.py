@@ -97,3 +97,18 @@ def test_hot_class_takes_its_share(spark):
     for s in "xy":
         taken = sum(r.taken for r in rows if r.source == s)
         assert abs(taken - checked_targets[s]) <= 3
+
+
+def test_only_some_of_many_repeated_rows_take_one_copy_more(spark):
+    """One source is one row, 90 times: its target is met to a row, not overshot by all of them."""
+    rows = [(1, "a b c d e", "x", k) for k in range(90)] + [(k, f"w{k} " * 5, "y", k) for k in range(100, 190)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n long").repartition(5)
+    got = mixing.mix(docs, weights=(3, 4), share=1.2).collect()
+    assert len(got) == len(rows)
+    for source in "xy":
+        mine = [r for r in got if r.source == source]
+        assert len({r.copies for r in mine}) == 2 and abs(sum(r.taken for r in mine) - mine[0].target) <= 5
+    repeated = mixing.repeat(docs, weights=(3, 4), share=1.2)
+    assert repeated.columns == docs.columns
+    assert {r[0]: r[1] for r in repeated.groupBy("source").count().collect()} == {s: sum(r.copies for r in got if r.source == s) for s in "xy"}
+    assert repeated.select("n").where("n < 90").distinct().count() == sum(r.copies > 0 for r in got if r.source == "x")
