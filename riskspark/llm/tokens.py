@@ -4,7 +4,8 @@ Both vocabularies split a text by a pattern before they merge anything. No piece
 pattern reaches over certain places: before white space that follows something else, after
 a line break with something else on both sides, between a letter and a mark of punctuation. Cut
 there, a text falls into chunks whose ids are simply put together, and most chunks have
-been seen before. A tokenizer with another way of splitting gets whole texts.
+been seen before. A tokenizer with another way of splitting gets whole texts, and so does any
+with a text that holds the string of an added token such as <|endoftext|>, in either case.
 """
 
 from __future__ import annotations
@@ -55,7 +56,6 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True  # their names in a text are ordinary text
         self.dtype = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
         with open(path, encoding="utf-8") as f:
             told = json.load(f)
@@ -68,6 +68,7 @@ class Encoder:
         elif kinds == ["Split", "ByteLevel"] and set(rules) <= {"NFC", "Replace", "Lowercase"} and split["pretokenizers"][0]["behavior"] == "Removed":
             self.kind = "unspaced"  # white space parts pieces and is dropped
         self.lowers = "Lowercase" in rules
+        self.added = [x["content"].encode().lower() for x in told.get("added_tokens") or []]
         self.memory: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
         # what parts joined chunks, and its id: a line break is a piece of its own, and so is a digit
@@ -110,6 +111,20 @@ class Encoder:
         """The ids of each text; null counts as empty."""
         if self.kind == "whole":
             return self._ids([t or "" for t in texts.to_pylist()])
+        if not self._adds(raw(texts)[0].tobytes()):
+            return self._chunked(texts)
+        told = [t or "" for t in texts.to_pylist()]
+        whole = [self._adds(t.encode()) for t in told]
+        cut = self._chunked(pa.array(["" if w else t for t, w in zip(told, whole, strict=True)], pa.string()))
+        rest = iter(self._ids([t for t, w in zip(told, whole, strict=True) if w]))
+        return [next(rest) if w else x for x, w in zip(cut, whole, strict=True)]
+
+    def _adds(self, text: bytes) -> bool:
+        """Whether the string of an added token occurs."""
+        text = text.lower()
+        return any(x in text for x in self.added)
+
+    def _chunked(self, texts: pa.Array) -> list[bytes]:
         body, offsets = raw(texts)
         if not len(body):
             return [b""] * (len(offsets) - 1)

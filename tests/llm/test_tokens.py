@@ -49,6 +49,19 @@ def test_memory_starts_anew(monkeypatch, name):
         same(name, some_texts(12, seed))
 
 
+@pytest.mark.parametrize("name", FILES)
+def test_strings_of_added_tokens_as_in_the_file(name):
+    from tokenizers import Tokenizer
+
+    path = tokens.tokenizer_path(name)
+    fresh = Tokenizer.from_file(path)
+    texts = ["a <|endoftext|> b", "it's", "x<|startoftext|>y", None, "<|EndOfText|>, a.", "<|endof", "text|> b", "<|endoftext|>", "<|STARTOFTEXT|>"]
+    tool = tokens.Encoder(path)
+    got = [np.frombuffer(x, tool.dtype).tolist() for x in tool.encode(pa.array(texts, pa.string()))]
+    assert got == [e.ids for e in fresh.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    assert got[0] == {"byte_bpe_50k.json": [64, 220, 50256, 275], "word_bpe_49k.json": [320, 49407, 321]}[name]
+
+
 def test_first_fit_decreasing_equals_the_plain_one():
     r = random.Random(2)
     for n in (0, 1, 2, 7, 200):
