@@ -4,7 +4,9 @@ Every micro-batch is stored, cleared of transactions that were scored before, jo
 an ordinary batch (so that adaptive execution splits a customer or bank that owns much of
 it), and written to a folder of its own. Nothing is dropped: a transaction without an id,
 or with a customer or bank newer than the feature snapshot, goes to a second table with
-the reason, and is scored when it is sent again after the next snapshot.
+the reason, and is scored when it is sent again after the next snapshot. A row with
+the id of another, but not its content, goes there as ``duplicate_key``; only exact copies of
+a transaction leave no row.
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from riskspark.config import DEFAULT, RiskConfig
@@ -81,9 +84,11 @@ def score_stream(
         feed = feed_id(spark, checkpoint)
         own, work = f"feed={feed}/batch_id={batch_id}", f"{path}.work/feed={feed}/batch_id={batch_id}"
         arrived = stored_batch(batch, f"{work}/arrived")
-        scored_before = spark.read.schema(f"transaction_id long, {PARTITION}").parquet(path)
-        known = earlier(scored_before, feed, batch_id).select("transaction_id")
-        fresh = one_per_key(arrived.where("transaction_id is not null"), "transactions").join(known, "transaction_id", "left_anti")
+        with_id = arrived.where("transaction_id is not null")
+        stored = T.StructType([*(arrived.schema[c] for c in SET_ASIDE)]).add("feed", "string").add("batch_id", "long")
+        scored_before = earlier(spark.read.schema(stored).parquet(path), feed, batch_id).select(*SET_ASIDE)
+        known = stored_batch(scored_before.join(with_id.select("transaction_id"), "transaction_id", "left_semi"), f"{work}/known")
+        fresh = one_per_key(with_id, "transactions").join(known.select("transaction_id"), "transaction_id", "left_anti")
         flags = stored_batch(transaction_flags(fresh, customer_features, bank_features, cfg, how="left"), f"{work}/flags")
         reason = F.when(F.col("flag_high_frequency_customer").isNull(), "unknown_customer_id").when(
             F.col("flag_low_compliance_bank").isNull(), "unknown_bank_id"
@@ -91,7 +96,10 @@ def score_stream(
         scored = score_transactions(flags.where(reason.isNull()), cfg)
         scored.write.mode("overwrite").parquet(f"{path}/{own}")
         without_id = arrived.where("transaction_id is null").select(*SET_ASIDE, F.lit("missing_transaction_id").alias("reason"))
-        aside = flags.select(*SET_ASIDE, reason.alias("reason")).where("reason is not null").unionByName(without_id)
+        # As a difference of whole rows this is an aggregation: an id with very many rows is no hot spot.
+        other = with_id.select(*SET_ASIDE).subtract(flags.select(*SET_ASIDE).unionByName(known.select(*SET_ASIDE)))
+        other = other.withColumn("reason", F.lit("duplicate_key"))
+        aside = flags.select(*SET_ASIDE, reason.alias("reason")).where("reason is not null").unionByName(without_id).unionByName(other)
         aside.write.mode("overwrite").parquet(f"{path}.set_aside/{own}")
         if then:
             then(spark.read.schema(scored.schema).parquet(f"{path}/{own}"), feed, batch_id)

@@ -80,6 +80,20 @@ def test_nothing_that_arrives_is_lost(spark, tmp_path):
     assert {r.transaction_id for r in _scored(spark, out).collect()} == arrived
 
 
+def test_an_id_that_comes_with_another_content_is_set_aside(spark, tmp_path):
+    c, b, t, s = _tables(spark)
+    first = txns(spark, (500, 1, 1, 5), (500, 1, 1, 5), (501, 1, 1, 5), (501, 2, 1, 7))
+    later = txns(spark, (500, 1, 1, 5), (500, 1, 1, 6), (500, 1, 1, 6), (502, 2, 2, 5))
+    feed = _files(spark, tmp_path / "in", [first, later])
+    out = str(tmp_path / "out")
+    scoring.score_stream(feed, *_sides(c, b, t, s), out, str(tmp_path / "state")).awaitTermination()
+    columns = ["transaction_id", "customer_id", "amount"]
+    scored, aside = _scored(spark, out), spark.read.parquet(f"{out}.set_aside")
+    assert sorted(r.transaction_id for r in scored.collect()) == [500, 501, 502]
+    assert {r.reason for r in aside.collect()} == {"duplicate_key"} and aside.count() == 2
+    assert rows(scored.select(*columns).unionByName(aside.select(*columns))) == rows(first.unionByName(later).select(*columns).distinct())
+
+
 def test_alerts_come_from_what_was_scored(spark, tmp_path):
     c, b, t, s = _tables(spark)
     sides = _sides(c, b, t, s)
