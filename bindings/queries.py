@@ -382,18 +382,24 @@ def _search_below(t: cleaning.CleanTables) -> DataFrame:
 # ------------------------------------------------------------------------- streaming
 
 
+#: Rows of a file of a feed, on average.
+FEED_ROWS = 1_000_000
+
+
 def _feed(spark: SparkSession, df: DataFrame, key: str, files: int = 6) -> DataFrame:
-    """The rows as a file stream, one file per micro-batch.
+    """The rows as a file stream, as many files per micro-batch as a part is written to.
 
-    A file has the rows of one hash of the key, so dates are in no order; a seventh part
-    sends a third of the rows again.
+    A part has the rows of one hash of the key, so dates are in no order; a seventh part
+    sends a third of the rows again. Parts are written by more tasks the more rows there are.
     """
     path = new_folder(spark, "feed")
     part = F.pmod(F.xxhash64(key), F.lit(files)).cast("int")
     again = df.where(F.pmod(F.xxhash64(key, F.lit(1)), F.lit(3)) == 0).withColumn("part", F.lit(files))
     sent = df.withColumn("part", part).unionByName(again) if key == "transaction_id" else df.withColumn("part", part)
-    sent.repartition(files + 1, "part").write.partitionBy("part").parquet(path)
-    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(path)
+    each = max(1, -(-sent.count() // (FEED_ROWS * (files + 1))))
+    share = F.pmod(F.xxhash64(*df.columns), F.lit(each)).cast("int")
+    sent.repartition((files + 1) * each, "part", share).write.partitionBy("part").parquet(path)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", each).option("recursiveFileLookup", True).parquet(path)
 
 
 def _arriving(spark, sf) -> tuple[DataFrame, DataFrame, DataFrame, cleaning.CleanTables]:

@@ -193,3 +193,17 @@ def test_every_event_is_accounted_for(spark, tmp_path):
     assert accounts["unmatched"] == sum(1 for x in base if x[1] is not None and x[0] not in (1, 2))
     counted = monitoring.region_counts(spark, out).agg(F.sum("txn_count")).first()[0]
     assert counted == accounts["counted"]
+
+
+def test_a_feed_has_more_files_the_more_rows_it_has(spark, monkeypatch):
+    from bindings import queries
+
+    made = []
+    real = queries.new_folder
+    monkeypatch.setattr(queries, "new_folder", lambda *a: made.append(real(*a)) or made[-1])
+    monkeypatch.setattr(queries, "FEED_ROWS", 100)
+    df = spark.range(7000).selectExpr("id as event_id", "id % 5 as kind")
+    assert queries._feed(spark, df, "event_id").isStreaming
+    sent = spark.read.parquet(made[-1])
+    assert rows(sent.select("event_id", "kind")) == rows(df)
+    assert len(sent.inputFiles()) > 14
