@@ -22,7 +22,8 @@ What can be missed: a pair at exactly 0.8 meets in no band with chance (1 - 0.8*
 Cases: null, empty and blank texts have no shingles; they are linked with nothing and are
 kept. A row with a null doc_id is measured, has no component and is kept. Repeated rows
 are copies of each other with one id. Rows of one id with different texts count as one
-document that has the links of both. Only doc_id and text are read.
+document that has the links of both; ``keep`` takes each of them for a document of its own.
+Only doc_id and text are read.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -303,8 +304,35 @@ def near_duplicates(docs: DataFrame, n: int = 5, like: int = LIKE) -> DataFrame:
     return placed.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def _told_apart(docs: DataFrame) -> DataFrame:
+    """docs with _own: the doc_id, or for an id with several texts a number for each, larger than other ids."""
+    text = F.xxhash64("text")
+    clashing = materialise(
+        docs.where("doc_id is not null")
+        .groupBy(F.col("doc_id").cast("long").alias("_clashing"))
+        .agg(F.min(text).alias("_low"), F.max(text).alias("_high"))
+        .where("_low < _high")
+        .select("_clashing"),
+        "clashing",
+    )
+    doc_id = F.col("doc_id").cast("long")
+    own = F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 2) + F.lit(1 << 62)
+    found = docs.join(clashing, doc_id == F.col("_clashing"), "left")
+    return found.withColumn("_own", F.when(F.col("_clashing").isNull(), doc_id).otherwise(own)).drop("_clashing")
+
+
 def keep(docs: DataFrame, n: int = 5, like: int = LIKE) -> DataFrame:
-    """One document of each group, with all its columns; of repeated rows, one."""
-    gone = near_duplicates(docs, n, like).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    left = docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
-    return left.withColumn("_text", F.xxhash64("text")).dropDuplicates(["doc_id", "_text"]).drop("_text")
+    """One document of each group, with all its columns.
+
+    The smallest doc_id of a group stays. An id with several texts is a document per text,
+    after the ids that have one. Of rows equal in id and text the first by the other
+    columns stays, nulls first.
+    """
+    told = _told_apart(docs)
+    judged = near_duplicates(told.select(F.col("_own").alias("doc_id"), "text"), n, like)
+    gone = judged.where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
+    left = told.join(gone, F.col("_own") == F.col("_gone"), "left_anti")
+    # As a window, not an aggregate: what wins is a whole row, and the same one in every run.
+    others = [F.col(f"`{f.name}`").asc_nulls_first() for f in docs.schema if f.name != "text" and not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    first = Window.partitionBy("_own", F.xxhash64("text")).orderBy(*others)
+    return left.withColumn("_row", F.row_number().over(first)).where("_row = 1").drop("_row", "_own")

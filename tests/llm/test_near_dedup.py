@@ -110,3 +110,22 @@ def test_kept_documents_are_unlike(spark):
     once = near_dedup.keep(docs)
     again = near_dedup.near_duplicates(once, 5)
     assert again.where(~F.col("kept")).isEmpty()
+
+
+def test_keep_with_one_id_on_two_texts(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    near_b = b + " more"
+    for rows, groups in (
+        ([(3, a), (5, a), (5, b), (7, b)], [{a}, {b}]),
+        ([(2, near_b), (3, a), (3, b), (9, c), (9, c)], [{a}, {b, near_b}, {c}]),
+    ):
+        got = [tuple(r) for r in near_dedup.keep(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+        assert set(got) <= set(rows) and len(got) == len(groups)
+        assert all(sum(t in g for _, t in got) == 1 for g in groups)
+
+
+def test_keep_takes_the_first_row_by_its_columns(spark):
+    text = " ".join(f"w{i}" for i in range(30))
+    rows = [(4, text, "b", 1), (4, text, None, 9), (4, text, None, 3), (6, text, None, 0)]
+    got = near_dedup.keep(spark.createDataFrame(rows, "doc_id long, text string, source string, kept int"))
+    assert [tuple(r) for r in got.collect()] == [(4, text, None, 3)]
