@@ -8,11 +8,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from riskspark.llm import (
+    alignment,
     html_extract,
     lm_scoring,
     mixing,
     near_dedup,
+    near_vectors,
     packing,
+    prefix_trie,
     quality_classifier,
     quality_rules,
     token_files,
@@ -71,6 +74,18 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(docs, quality_rules.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"))
+
+
 def _registered(query: Query) -> Query:
     @functools.wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,6 +108,9 @@ QUERIES: dict[str, Query] = {
         op8_mixing,
         op9_token_files,
         op10_quality_rules,
+        op11_prefix_trie,
+        op12_near_vectors,
+        op13_alignment,
     )
 }
 
@@ -154,4 +172,76 @@ select page_id, payload_bytes, payload_digest,
 from g
 """
 
-ORACLES: dict[str, str] = {"op1_topk": TOPK, "op4_near_dedup": NEAR_DEDUP, "op5_warc": WARC}
+PREFIX_TRIE = r"""
+with turns as (
+  select conv_id, coalesce(role, '') as role, coalesce(text, '') as text,
+         row_number() over (partition by conv_id order by turn nulls first, role, text) as pos
+  from conversations where conv_id is not null
+), sizes as (
+  select conv_id, count(*) as n from turns group by conv_id
+), hashed as (
+  select conv_id, n, conv_id - conv_id % 20 as base,
+         xor(list_reduce(
+           list_concat([4294967295], list_transform(string_split(cast(conv_id as varchar), ''), lambda c: cast(ascii(c) as bigint))),
+           lambda crc, c: list_reduce(list_concat([xor(crc, c)], range(8)), lambda x, bit: case when x % 2 = 1 then xor(x // 2, 3988292384) else x // 2 end)
+         ), 4294967295) % 4 as h
+  from sizes
+), convs as (
+  select c.conv_id, c.base, h, least(h, coalesce(b.n, 0)) as borrowed from hashed c left join sizes b on b.conv_id = c.base
+), rebuilt as (
+  select c.conv_id, t.pos, role, text from convs c join turns t on t.conv_id = c.base and t.pos <= h
+  union all
+  select c.conv_id, t.pos - h + borrowed, role, text from convs c join turns t on t.conv_id = c.conv_id and t.pos > h
+), whole as (
+  select c.conv_id, coalesce(list({'role': role, 'text': text} order by pos) filter (where pos is not null), []) as turns
+  from convs c left join rebuilt using (conv_id) group by c.conv_id
+), prefixes as (
+  select conv_id, depth, len(turns) as size, sha256(cast(to_json(turns[1:depth]) as varchar)) as node,
+         case when depth > 0 then sha256(cast(to_json(turns[1:depth - 1]) as varchar)) end as parent,
+         case when depth > 0 then len(regexp_extract_all(turns[depth].text, '[^\x20\x09-\x0D]+')) else 0 end as words
+  from (select *, unnest(range(0, len(turns) + 1)) as depth from whole)
+), nodes as (
+  select depth, node, any_value(parent) as parent, any_value(words) as words, min(conv_id) as conv_id, count(*) as n_convs,
+         sha256(coalesce(string_agg(cast(conv_id as varchar), ',' order by conv_id) filter (where size = depth), '')) as ends_sha256
+  from prefixes group by depth, node
+), counted as (
+  select n.*, coalesce(c.kids, 0) as kids
+  from nodes n left join (select depth - 1 as depth, parent as node, count(*) as kids from nodes where depth > 0 group by all) c using (depth, node)
+), below as (
+  select p.depth, p.node, sum(case when b.kids = 0 then 1 else 0 end) as n_leaves, sum((b.n_convs - 1) * b.words) as saved_tokens
+  from counted b join prefixes p on p.conv_id = b.conv_id and p.depth <= b.depth group by all
+)
+select n.conv_id, n.depth, p.conv_id as parent_conv_id, n.n_convs, cast(n.kids as bigint) as n_children,
+       cast(n_leaves as bigint) as n_leaves, cast(saved_tokens as bigint) as saved_tokens, n.ends_sha256
+from counted n join below b using (depth, node) left join nodes p on p.depth = n.depth - 1 and p.node = n.parent
+"""
+
+NEAR_VECTORS = """
+with recursive v as (
+  select vec_id, label, list_transform(embedding, lambda x: cast(x as double)) as v
+  from embeddings
+  where vec_id is not null and label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links as (
+  select a.vec_id as a, b.vec_id as b from v a join v b on a.label = b.label and a.vec_id <> b.vec_id and len(a.v) = len(b.v)
+  where list_sum(list_transform(list_zip(a.v, b.v), lambda p: p[1] * p[2]))
+    / (sqrt(list_sum(list_transform(a.v, lambda x: x * x))) * sqrt(list_sum(list_transform(b.v, lambda x: x * x)))) >= 0.93
+), reach(a, b) as (
+  select distinct a, a from links union select r.a, l.b from reach r join links l on l.a = r.b
+), least as (
+  select a, min(b) as component_id from reach group by a
+), n as (
+  select a, count(*) as n_links from links group by a
+)
+select vec_id, coalesce(n_links, 0) as n_links, coalesce(component_id, vec_id) as component_id, vec_id = coalesce(component_id, vec_id) as kept
+from embeddings left join n on n.a = vec_id left join least l on l.a = vec_id
+"""
+
+ORACLES: dict[str, str] = {
+    "op1_topk": TOPK,
+    "op4_near_dedup": NEAR_DEDUP,
+    "op5_warc": WARC,
+    "op11_prefix_trie": PREFIX_TRIE,
+    "op12_near_vectors": NEAR_VECTORS,
+}
