@@ -238,7 +238,7 @@ def align(docs: DataFrame, path_a: str | None = None, path_b: str | None = None)
     paths = (path_a or tokenizer_path("byte_bpe_50k.json"), path_b or tokenizer_path("piece_bpe_32k.model"))
     chunked = materialise(_chunked(docs, paths), "aligned")
     pairs = chunked.where("number is not null").select("chunk", "number", "a", "b", "held")
-    known = pairs.drop("held").join(pair_counts(pairs), ["a", "b"]).select("chunk", "number", "count", "best")
+    known = pairs.drop("held").join(pair_counts(pairs), ["a", "b"]).select(F.col("chunk").alias("of_chunk"), "number", "count", "best")
     told = ["n_a", "n_b", "n_groups", "n_links"]
     of_docs = chunked.where("number is null").select("chunk", "doc_id", *told, "groups_sha256", "pairs")
     result = T.StructType([docs.schema["doc_id"]])
@@ -258,4 +258,4 @@ def align(docs: DataFrame, path_a: str | None = None, path_b: str | None = None)
         columns = [rows["doc_id"], *(rows[c] for c in told), pa.array(n_best, pa.int64()), pa.array(total, pa.int64()), rows["groups_sha256"]]
         return pa.Table.from_arrays(columns, result.names)
 
-    return of_docs.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(add_up, result)
+    return of_docs.groupBy("chunk").cogroup(known.groupBy("of_chunk")).applyInArrow(add_up, result)

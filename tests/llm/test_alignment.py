@@ -41,12 +41,16 @@ def plain(texts):
                 at += len(p)
             spans.append(out)
         cuts = sorted({e for _, e, _ in spans[0]} & {e for _, e, _ in spans[1]})
-        groups, links, low = [], [], 0
+        groups, links, at = [], [], [0, 0]
         for cut in cuts:
-            sides = [[s for s in side if low <= s[0] < cut] for side in spans]
+            sides = []
+            for k, side in enumerate(spans):
+                low = at[k]
+                while at[k] < len(side) and side[at[k]][0] < cut:
+                    at[k] += 1
+                sides.append(side[low : at[k]])
             groups.append("|".join(",".join(str(s[2]) for s in side) for side in sides))
             links += [(x[2], y[2]) for x in sides[0] for y in sides[1] if x[0] < y[1] and y[0] < x[1]]
-            low = cut
         docs.append((a.ids, b, links, ";".join(groups)))
     count = Counter(p for d in docs for p in set(d[2]))
     most = {}
