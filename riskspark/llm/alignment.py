@@ -28,7 +28,9 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +48,9 @@ CHUNK = 8 << 20
 LAST_PLAIN = "ɏ"
 #: How vocabulary A splits a text: the published pattern of its kind (fixed value).
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: Words remembered per Python worker with their pieces; then it starts anew.
+REMEMBERED = 300_000
+_WORD = re.compile(r" +[^ ]*")
 _KNOWN: dict[tuple[str, str], Aligner] = {}
 
 
@@ -70,6 +75,8 @@ class Aligner:
         with open(path_a, encoding="utf-8") as f:
             model = json.load(f)["model"]
         vocabulary = {bytes(alphabet[c] for c in token): i for token, i in model["vocab"].items()}
+        if any(bytes([x]) not in vocabulary for x in range(256)):
+            raise ValueError("vocabulary A lacks bytes")
         self.bytes_a = [b""] * (1 + max(vocabulary.values()))
         for token, i in vocabulary.items():
             self.bytes_a[i] = token
@@ -80,9 +87,19 @@ class Aligner:
         self.pieces = sentencepiece.SentencePieceProcessor(model_file=path_b)
         self.bytes_b = [self._piece(i) for i in range(self.pieces.get_piece_size())]
         self.length_a, self.length_b = (np.array([len(x) for x in b], np.int64) for b in (self.bytes_a, self.bytes_b))
-        # the ids as text with what follows them: within a side, at its end, at a group's end
-        self.told_a = [[b"%d%s" % (i, end) for i in range(len(self.bytes_a))] for end in (b",", b"|")]
-        self.told_b = [[b"%d%s" % (i, end) for i in range(len(self.bytes_b))] for end in (b",", b";")]
+        # the ids as text with what follows them: within a side, or at its end
+        self.told_a, self.told_b = (self._told(len(known), end) for known, end in ((self.bytes_a, b"|"), (self.bytes_b, b";")))
+        # No piece holds a space after something else, so what lies between such places is encoded by itself.
+        self.by_word = not any(" " in x.lstrip(" ") for x in (self.pieces.id_to_piece(i).replace("▁", " ") for i in range(len(self.bytes_b))))
+        self.space = self.pieces.piece_to_id("▁")
+        self.words: dict[str, list[int] | None] = {}
+
+    @staticmethod
+    def _told(n: int, end: bytes) -> np.ndarray:
+        table = np.empty((2, n), object)
+        table[0] = [b"%d," % i for i in range(n)]
+        table[1] = [b"%d%s" % (i, end) for i in range(n)]
+        return table
 
     def _piece(self, i: int) -> bytes:
         piece = self.pieces.id_to_piece(i)
@@ -93,17 +110,42 @@ class Aligner:
             return self.ranks.encode_ordinary(text)
         return self.library.encode(text, add_special_tokens=False).ids
 
+    def _same(self, ids: list[int], text: str) -> bool:
+        return b"".join(map(self.bytes_b.__getitem__, ids)) == text.encode()
+
+    def _learn(self, words: set[str]) -> None:
+        new = words.difference(self.words)
+        if len(self.words) + len(new) > REMEMBERED:
+            self.words.clear()
+            new = words
+        told = [w for w in new if w != " "]
+        for w, ids in zip(told, self.pieces.encode([w[1:] for w in told], num_threads=1), strict=True):
+            self.words[w] = ids if self._same(ids, w) else None
+        self.words[" "] = [self.space] if self._same([self.space], " ") else None
+
+    def _encode_b(self, wholes: list[str]) -> list[list[int] | None]:
+        """The ids of texts that begin with the space B adds; None where the bytes do not come back."""
+        if not self.by_word:
+            found = self.pieces.encode([w[1:] for w in wholes], num_threads=1)
+            return [ids if self._same(ids, w) else None for w, ids in zip(wholes, found, strict=True)]
+        cut = [_WORD.findall(w) for w in wholes]
+        self._learn(set(chain.from_iterable(cut)))
+        found = []
+        for words in cut:
+            ids = list(map(self.words.__getitem__, words))
+            found.append(None if None in ids else list(chain.from_iterable(ids)))
+        return found
+
     def tokens(self, texts: list[str | None]) -> list[tuple[list[int], list[int]]]:
         """The ids of each text by A and by B; none where the bytes do not come back."""
+        wholes = [" " + t for t in texts if t]
+        of_b = iter(self._encode_b(wholes))
         found = []
-        for text, b in zip(texts, self.pieces.encode([t or "" for t in texts], num_threads=1), strict=True):
-            if text:
-                whole = " " + text
-                a, told = self.encode_a(whole), whole.encode()
-                if b"".join(map(self.bytes_a.__getitem__, a)) == told == b"".join(map(self.bytes_b.__getitem__, b)):
-                    found.append((a, b))
-                    continue
-            found.append(([], []))
+        for text in texts:
+            b = next(of_b) if text else None
+            a = self.encode_a(" " + text) if b is not None else None
+            # vocabulary A has every byte, and joins bytes only
+            found.append(([], []) if a is None else (a, b))
         return found
 
 
@@ -114,11 +156,11 @@ def aligner(paths: tuple[str, str]) -> Aligner:
     return _KNOWN[paths]
 
 
-def common_ends(end_a: list[int], end_b: list[int]) -> tuple[np.ndarray, np.ndarray]:
+def common_ends(end_a: list[int], end_b: list[int]) -> tuple[np.ndarray, ...]:
     """How many tokens of A, and of B, lie before each place where tokens of both end."""
-    index_a, index_b = ({e: k for k, e in enumerate(ends, 1)} for ends in (end_a, end_b))
+    index_a, index_b = (dict(zip(ends, range(1, len(ends) + 1), strict=True)) for ends in (end_a, end_b))
     both = sorted(index_a.keys() & index_b.keys())
-    return (np.fromiter(map(index.__getitem__, both), np.int64, len(both)) for index in (index_a, index_b))
+    return tuple(np.array([*map(index.__getitem__, both)], np.int64) for index in (index_a, index_b))
 
 
 class Aligned:
@@ -129,7 +171,7 @@ class Aligned:
         end_a, end_b = np.cumsum(both.length_a[ids_a]), np.cumsum(both.length_b[ids_b])
         cut_a, cut_b = common_ends(end_a.tolist(), end_b.tolist())
         self.n_groups = len(cut_a)
-        self.digest = self._digest(both, a, b, cut_a, cut_b)
+        self.digest = self._digest(both, ids_a, ids_b, cut_a, cut_b)
         # A token of A overlaps the tokens of B from the first that ends after its start to the first
         # that ends at or after its end; both lie in its own group, whose bounds are ends of both.
         first = np.searchsorted(end_b, end_a - both.length_a[ids_a], side="right")
@@ -139,18 +181,17 @@ class Aligned:
         self.links = (np.repeat(ids_a, times) << 32) | ids_b[np.repeat(first, times) + within]
 
     @staticmethod
-    def _digest(both: Aligner, a: list[int], b: list[int], cut_a: np.ndarray, cut_b: np.ndarray) -> str:
+    def _digest(both: Aligner, ids_a: np.ndarray, ids_b: np.ndarray, cut_a: np.ndarray, cut_b: np.ndarray) -> str:
         if not len(cut_a):
             return ""
-        told_a, told_b = (list(map(told[0].__getitem__, ids)) for told, ids in ((both.told_a, a), (both.told_b, b)))
-        for told, ends, ids, cuts in ((told_a, both.told_a[1], a, cut_a), (told_b, both.told_b[1], b, cut_b)):
-            for k in (cuts - 1).tolist():
-                told[k] = ends[ids[k]]
-        # Merge the two lists group by group: the tokens of A before those of B.
-        place_a, place_b = (np.searchsorted(cuts, np.arange(len(ids)), side="right") for cuts, ids in ((cut_a, a), (cut_b, b)))
-        order = np.argsort(np.concatenate([2 * place_a, 2 * place_b + 1]), kind="stable")
-        told = told_a + told_b
-        return hashlib.sha256(b"".join([told[k] for k in order.tolist()])[:-1]).hexdigest()
+        told = np.empty(len(ids_a) + len(ids_b), object)
+        # in a group the tokens of A come before those of B
+        before = np.concatenate([[0], cut_b[:-1]]), cut_a
+        for table, ids, cuts, others in ((both.told_a, ids_a, cut_a, before[0]), (both.told_b, ids_b, cut_b, before[1])):
+            last = np.zeros(len(ids), np.int8)
+            last[cuts - 1] = 1
+            told[np.arange(len(ids)) + np.repeat(others, np.diff(cuts, prepend=0))] = table[last, ids]
+        return hashlib.sha256(b"".join(told.tolist())[:-1]).hexdigest()
 
 
 def _packed(number: np.ndarray, times: np.ndarray) -> bytes:
