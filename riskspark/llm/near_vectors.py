@@ -49,7 +49,7 @@ LEAST, MISS = 2, 1e-6
 #: Half the width of a window, in standard deviations of the difference at the threshold.
 WINDOW = 3.0
 #: A list has this share of the vectors at most, and the root of SPREAD by their number.
-SHARE, SPREAD = 0.05, 128
+SHARE, SPREAD = 0.05, 2
 #: Vectors of a cell; collisions and rows of a run within it.
 BLOCK, RUN, RUN_ROWS = 8192, 1 << 21, 512
 _SEED, _DRAWN = 20240229, 1024
@@ -227,8 +227,8 @@ def _linked(classes: DataFrame, like: float, least: int, miss: float) -> DataFra
     share = 2 * (1 - _NORMAL.cdf(t))  # of the vectors, in either list of a direction
     keys = ["label", "width"]
     # A bundle of g directions holds a share 1 - (1 - share)**g of the vectors: as many as fit a block.
-    room = F.least(F.lit(1 - 1e-9), F.lit(float(BLOCK)) / F.count(F.lit(1)))
-    fits = F.greatest(F.lit(1), F.floor(F.log1p(-room) / F.lit(math.log1p(-share))))
+    n = F.count(F.lit(1))
+    fits = F.when(n <= BLOCK, directions).otherwise(F.greatest(F.lit(1), F.floor(F.log1p(-F.lit(float(BLOCK)) / n) / F.lit(math.log1p(-share)))))
     bundles = classes.groupBy(*keys).agg(F.least(F.lit(directions), fits).cast("int").alias("directions"))
     bundle = F.array_distinct(F.transform("lists", lambda x: F.floor(x / (2 * F.col("directions"))).cast("int")))
     placed = listed.join(bundles, keys).withColumn("bundle", F.explode(bundle))
