@@ -49,3 +49,11 @@ def delete(spark: SparkSession, path: str) -> None:
     """Remove a folder whose contents have been used."""
     files, at = _hadoop(spark, path)
     files.delete(at, True)
+
+
+def move(spark: SparkSession, path: str, to: str) -> None:
+    """Give a finished folder its place, where there is none yet."""
+    files, at = _hadoop(spark, path)
+    files.mkdirs(_hadoop(spark, to)[1].getParent())
+    if not files.rename(at, _hadoop(spark, to)[1]):
+        raise OSError(f"{path} cannot be moved to {to}")

@@ -1,18 +1,25 @@
 """Scoring of newly arriving transactions, and alerts from what was scored.
 
-Every micro-batch is stored, cleared of transactions that were scored before, joined as
-an ordinary batch (so that adaptive execution splits a customer or bank that owns much of
-it), and written to a folder of its own. Nothing is dropped: a transaction without an id,
-or with a customer or bank newer than the feature snapshot, goes to a second table with
-the reason, and is scored when it is sent again after the next snapshot. A row with
-the id of another, but not its content, goes there as ``duplicate_key``; only exact copies of
-a transaction leave no row.
+A transaction counts as scored once per table, however long ago it came. What a run has
+met, ids and the hashes of whole rows, is keyed state of the stream (``first_met``), so a
+micro-batch reads its own rows and none of the history. What other runs into the same table
+have met is read from their id tables (``<path>.ids``).
+
+Every micro-batch is stored, joined as an ordinary batch (so that adaptive execution splits a
+customer or bank that owns much of it), and written to a folder of its own. Nothing is
+dropped: a transaction without an id, or with a customer or bank newer than the feature
+snapshot, goes to ``<path>.set_aside`` with the reason. A row with the id of another, but
+different in any column, goes there as ``duplicate_key``; only exact copies of a
+transaction leave no row. Those that wait for a customer or bank are scored by ``retry``, once,
+when a run starts with a snapshot that knows them; they need not be sent again.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,11 +33,14 @@ from riskspark.operators.cleaning import one_per_key
 from riskspark.operators.features import transaction_flags
 from riskspark.operators.kpis import STANDING, alerts, run_time
 from riskspark.operators.rules import score_transactions
-from riskspark.plans.workspace import delete, make_folder
+from riskspark.plans.workspace import delete, make_folder, move
 
 #: Where a batch lies below a table's path: the run that a checkpoint belongs to, and its batch.
 PARTITION = "feed string, batch_id long"
-SET_ASIDE = ["transaction_id", "customer_id", "bank_id", "amount", "txn_date", "location", "is_high_risk"]
+#: Reasons for which a transaction waits for the next snapshot.
+WAITING = ("unknown_customer_id", "unknown_bank_id")
+#: Feeds of retried transactions begin with this.
+RETRY = "retry-"
 
 Then = Callable[[DataFrame, str, int], None]
 
@@ -55,6 +65,25 @@ def stored_batch(batch: DataFrame, path: str) -> DataFrame:
     return SparkSession.active().read.schema(batch.schema).parquet(path)
 
 
+def first_met(transactions: DataFrame) -> DataFrame:
+    """The first row of every id and of every different row of an id, as ``_kind`` 0 and 1; 2 for rows without id.
+
+    Native streaming state keyed by the id and by a hash of all columns: an exact copy of
+    a row met before, however long ago, leaves nothing; a row of kind 1 without one of
+    kind 0 has an id that came before with another content. On a stream only the keys are
+    kept, in the run's checkpoint.
+    """
+    columns = transactions.columns
+    told = transactions.where("transaction_id is not null").withColumn("_content", F.xxhash64(*columns))
+    kinds = told.withColumn("_kind", F.explode(F.array(F.lit(0), F.lit(1))))
+    whole = F.col("_kind") == 1
+    rest = [F.when(whole, F.col(c)).alias(c) for c in columns if c != "transaction_id"]
+    kinds = kinds.select("_kind", F.when(whole, F.col("_content")).otherwise(0).alias("_content"), "transaction_id", *rest)
+    once = kinds.dropDuplicates(["_kind", "transaction_id", "_content"])
+    without = transactions.where("transaction_id is null").withColumns({"_kind": F.lit(2), "_content": F.lit(0).cast("long")})
+    return once.select("_kind", "_content", *columns).unionByName(without.select("_kind", "_content", *columns))
+
+
 def score_stream(
     new_txns: DataFrame,
     customer_features: DataFrame,
@@ -66,46 +95,106 @@ def score_stream(
 ) -> StreamingQuery:
     """Score what has arrived against the last feature snapshot, until it is used up.
 
-    Scored rows go to ``path`` and the others, with a reason, to ``path`` + ".set_aside",
-    each below feed=<run>/batch_id=<n>; a repeated batch replaces its own folders. A
-    transaction counts as scored once per ``path``, however long ago and by whichever run;
-    business dates play no part in that. ``then`` is called with the stored scores of each
-    batch, the run and the batch's number.
+    Scored rows go to ``path``, the others, with a reason, to ``path`` + ".set_aside", and the
+    ids met, with the hash of their rows, to ``path`` + ".ids", each below
+    feed=<run>/batch_id=<n>; a repeated batch replaces its own folders. Business dates play no
+    part in what counts as met. Before the stream starts, what waits is tried again
+    (``retry``). ``then`` is called with the stored scores of each batch, the run and the
+    batch's number.
 
     Frequency and sanctions come from the snapshot, so scoring the same rows in a batch
     against the same snapshot gives the same result. Pass stored marts as features: Spark
     then knows their size.
     """
     spark = new_txns.sparkSession
-    for folder in (path, f"{path}.set_aside"):
+    for folder in (path, f"{path}.set_aside", f"{path}.ids"):
         make_folder(spark, folder)
+    columns = new_txns.columns
+    ids = T.StructType([new_txns.schema["transaction_id"]]).add("content", "long").add("feed", "string").add("batch_id", "long")
+    retry(new_txns.schema, customer_features, bank_features, path, cfg, then)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         feed = feed_id(spark, checkpoint)
         own, work = f"feed={feed}/batch_id={batch_id}", f"{path}.work/feed={feed}/batch_id={batch_id}"
         arrived = stored_batch(batch, f"{work}/arrived")
-        with_id = arrived.where("transaction_id is not null")
-        stored = T.StructType([*(arrived.schema[c] for c in SET_ASIDE)]).add("feed", "string").add("batch_id", "long")
-        scored_before = earlier(spark.read.schema(stored).parquet(path), feed, batch_id).select(*SET_ASIDE)
-        known = stored_batch(scored_before.join(with_id.select("transaction_id"), "transaction_id", "left_semi"), f"{work}/known")
-        fresh = one_per_key(with_id, "transactions").join(known.select("transaction_id"), "transaction_id", "left_anti")
-        flags = stored_batch(transaction_flags(fresh, customer_features, bank_features, cfg, how="left"), f"{work}/flags")
-        reason = F.when(F.col("flag_high_frequency_customer").isNull(), "unknown_customer_id").when(
-            F.col("flag_low_compliance_bank").isNull(), "unknown_bank_id"
-        )
-        scored = score_transactions(flags.where(reason.isNull()), cfg)
+        rows = arrived.where("_kind = 1").drop("_kind")
+        new_ids = arrived.where("_kind = 0").select("transaction_id")
+        # Other runs into the table: their ids, two columns; an empty listing where there are none.
+        elsewhere = spark.read.schema(ids).parquet(f"{path}.ids").where(F.col("feed") != feed).select("transaction_id", F.col("content").alias("_other"))
+        known = stored_batch(elsewhere.join(new_ids, "transaction_id", "left_semi"), f"{work}/known")
+        own_rows = rows.join(new_ids, "transaction_id", "left_semi").join(known, "transaction_id", "left_anti")
+        fresh = stored_batch(one_per_key(own_rows, "transactions"), f"{work}/fresh")
+        flags, scored = _judged(fresh.select(*columns), customer_features, bank_features, f"{work}/flags", cfg)
         scored.write.mode("overwrite").parquet(f"{path}/{own}")
-        without_id = arrived.where("transaction_id is null").select(*SET_ASIDE, F.lit("missing_transaction_id").alias("reason"))
-        # As a difference of whole rows this is an aggregation: an id with very many rows is no hot spot.
-        other = with_id.select(*SET_ASIDE).subtract(flags.select(*SET_ASIDE).unionByName(known.select(*SET_ASIDE)))
-        other = other.withColumn("reason", F.lit("duplicate_key"))
-        aside = flags.select(*SET_ASIDE, reason.alias("reason")).where("reason is not null").unionByName(without_id).unionByName(other)
+        without_id = arrived.where("_kind = 2").select(*columns, F.lit("missing_transaction_id").alias("reason"))
+        # Anything else differs from the row that counts for its id: here, or in another run.
+        counted = fresh.select("transaction_id", "_content").unionByName(known.withColumnRenamed("_other", "_content"))
+        other = rows.join(counted, ["transaction_id", "_content"], "left_anti").select(*columns, F.lit("duplicate_key").alias("reason"))
+        aside = _waiting_rows(fresh.select(*columns), flags).unionByName(without_id).unionByName(other)
         aside.write.mode("overwrite").parquet(f"{path}.set_aside/{own}")
+        fresh.select("transaction_id", F.col("_content").alias("content")).write.mode("overwrite").parquet(f"{path}.ids/{own}")
         if then:
             then(spark.read.schema(scored.schema).parquet(f"{path}/{own}"), feed, batch_id)
         delete(spark, work)
 
-    return per_batch(new_txns, write, checkpoint)
+    return per_batch(first_met(new_txns), write, checkpoint)
+
+
+def _judged(
+    fresh: DataFrame, customer_features: DataFrame, bank_features: DataFrame, work: str, cfg: RiskConfig
+) -> tuple[DataFrame, DataFrame]:
+    """(stored flags with the reason to wait, scores of those without one)."""
+    flags = transaction_flags(fresh, customer_features, bank_features, cfg, how="left")
+    reason = F.when(F.col("flag_high_frequency_customer").isNull(), WAITING[0]).when(F.col("flag_low_compliance_bank").isNull(), WAITING[1])
+    flags = stored_batch(flags.withColumn("_reason", reason), work)
+    return flags, score_transactions(flags.where("_reason is null").drop("_reason"), cfg)
+
+
+def _waiting_rows(fresh: DataFrame, flags: DataFrame) -> DataFrame:
+    """The whole rows of transactions that wait, with the reason."""
+    waits = flags.where("_reason is not null").select("transaction_id", F.col("_reason").alias("reason"))
+    return fresh.join(waits, "transaction_id").select(*fresh.columns, "reason")
+
+
+def waiting(spark: SparkSession, schema: T.StructType, path: str) -> DataFrame:
+    """The transactions below ``path`` that wait for a customer or bank and have not been retried with success."""
+    aside = T.StructType([*schema.fields]).add("reason", "string").add("feed", "string").add("batch_id", "long")
+    scored = T.StructType([schema["transaction_id"]]).add("feed", "string").add("batch_id", "long")
+    done = spark.read.schema(scored).parquet(path).where(F.col("feed").startswith(RETRY))  # partitions of retries only
+    waits = spark.read.schema(aside).parquet(f"{path}.set_aside").where(F.col("reason").isin(*WAITING))
+    return waits.join(done.select("transaction_id"), "transaction_id", "left_anti").select(*schema.names)
+
+
+def retry(
+    schema: T.StructType,
+    customer_features: DataFrame,
+    bank_features: DataFrame,
+    path: str,
+    cfg: RiskConfig = DEFAULT,
+    then: Then | None = None,
+) -> int:
+    """Score those waiting whose customer and bank the snapshot knows by now; returns how many.
+
+    Their scores go to ``path`` as a feed of their own, all at once, and that folder says that they
+    are scored: a try that fails before it is written is made again by the next, and none is
+    scored twice. Those whose customer or bank is still unknown keep waiting.
+    """
+    spark = customer_features.sparkSession
+    work = f"{path}.work/{RETRY}{uuid.uuid4().hex}"
+    waits = stored_batch(waiting(spark, schema, path), f"{work}/waiting")
+    found = 0
+    if not waits.isEmpty():
+        _, scored = _judged(waits, customer_features, bank_features, f"{work}/flags", cfg)
+        found = scored.count()
+        if found:
+            feed = f"{RETRY}{uuid.uuid4().hex}"
+            # one commit: written aside, then moved to where readers look
+            scored.write.parquet(f"{work}/scored")
+            move(spark, f"{work}/scored", f"{path}/feed={feed}/batch_id=0")
+            if then:
+                then(spark.read.schema(scored.schema).parquet(f"{path}/feed={feed}/batch_id=0"), feed, 0)
+    delete(spark, work)
+    return found
 
 
 def alert_raiser(
@@ -145,9 +234,29 @@ def alert_raiser(
 
 
 def per_batch(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
+    with keyed_state(stream.sparkSession):
+        return _started(stream, write, checkpoint)
+
+
+def _started(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
     return (
         stream.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
+
+
+@contextmanager
+def keyed_state(spark: SparkSession) -> Iterator[None]:
+    """State on local disk with its changes in the checkpoint, for queries started inside, unless the session names a store."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    default = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    unset = spark.conf.get(key, default) == default
+    if unset:
+        spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        if unset:
+            spark.conf.unset(key)

@@ -94,6 +94,61 @@ def test_an_id_that_comes_with_another_content_is_set_aside(spark, tmp_path):
     assert rows(scored.select(*columns).unionByName(aside.select(*columns))) == rows(first.unionByName(later).select(*columns).distinct())
 
 
+def test_another_currency_is_another_content(spark, tmp_path):
+    c, b, t, s = _tables(spark)
+    other = t.where("transaction_id in (3, 4)").withColumn("currency", F.lit("EUR"))
+    invalid = t.where("transaction_id = 5").withColumn("is_valid_bank_id", F.lit(0))
+    feed = _files(spark, tmp_path / "in", [t, other, t, invalid, other])
+    out = str(tmp_path / "out")
+    scoring.score_stream(feed, *_sides(c, b, t, s), out, str(tmp_path / "state")).awaitTermination()
+    aside = spark.read.parquet(f"{out}.set_aside")
+    assert _scored(spark, out).count() == 20
+    assert rows(aside.select("transaction_id", "currency", "is_valid_bank_id", "reason")) == [
+        (3, "EUR", 1, "duplicate_key"), (4, "EUR", 1, "duplicate_key"), (5, "USD", 0, "duplicate_key"),
+    ]
+
+
+def test_no_batch_reads_what_was_scored_before(spark, tmp_path):
+    """With the scores of all earlier batches unreadable, ids sent again are still known."""
+    c, b, t, s = _tables(spark)
+    sides, out, state = _sides(c, b, t, s), str(tmp_path / "out"), str(tmp_path / "state")
+    feed = _files(spark, tmp_path / "in", [t.where("transaction_id < 10"), t.where("transaction_id < 15")])
+    scoring.score_stream(feed, *sides, out, state).awaitTermination()
+    for f in [*(tmp_path / "out").rglob("*.parquet"), *(tmp_path / "out.ids").rglob("*.parquet")]:
+        f.write_bytes(b"")
+    (tmp_path / "out.set_aside").rename(tmp_path / "elsewhere")
+    t.unionByName(t.where("transaction_id = 2").withColumn("currency", F.lit("EUR"))).write.mode("append").parquet(str(tmp_path / "in"))
+    scoring.score_stream(feed, *sides, out, state).awaitTermination()
+    last = sorted((tmp_path / "out").glob("feed=*/batch_id=[2-9]*"))
+    assert sorted(r.transaction_id for f in last for r in spark.read.parquet(str(f)).collect()) == [15, 16, 17, 18, 19]
+    assert [r.transaction_id for r in spark.read.parquet(f"{out}.set_aside").collect()] == [2]
+
+
+def test_what_waits_is_scored_once_its_customer_is_known(spark, tmp_path):
+    c, b, t, s = _tables(spark)
+    unknown = txns(spark, (300, 77, 1, 9500), (301, 1, 88, 5), (302, 77, 88, 5))
+    feed = _files(spark, tmp_path / "in", [t, unknown])
+    out, alerts = str(tmp_path / "out"), []
+
+    def run(sides, state="state"):
+        told = lambda scored, feed, batch_id: alerts.append(sorted(r.transaction_id for r in scored.collect()))
+        scoring.score_stream(feed, *sides, out, str(tmp_path / state), then=told).awaitTermination()
+        return {r.transaction_id for r in _scored(spark, out).collect()} - {*range(20)}
+
+    assert run(_sides(c, b, t, s)) == set()
+    assert scoring.waiting(spark, t.schema, out).count() == 3
+    more = (customers(spark, (1, "High"), (2, "Low"), (77, "Low")), b, t, s)
+    assert run(_sides(*more)) == {300} and alerts[-1] == [300]
+    all_known = (more[0], banks(spark, (1, 0.5), (2, 0.9), (88, 0.7)), t, s)
+    assert run(_sides(*all_known)) == {300, 301, 302} and alerts[-1] == [301, 302]
+    # neither a third start nor another run over the same feed scores them again
+    run(_sides(*all_known))
+    run(_sides(*all_known), "state2")
+    assert _scored(spark, out).count() == 23 and scoring.waiting(spark, t.schema, out).isEmpty()
+    batch = rules.score_transactions(features.transaction_flags(t.unionByName(unknown), *_sides(*all_known)))
+    assert rows(_scored(spark, out)) == rows(batch)
+
+
 def test_alerts_come_from_what_was_scored(spark, tmp_path):
     c, b, t, s = _tables(spark)
     sides = _sides(c, b, t, s)
