@@ -14,11 +14,12 @@ from bindings import tpch
 from riskspark import schemas
 from riskspark.operators import banks as bank_ops
 from riskspark.operators import checks, cleaning, compliance, features, kpis, profiles
-from riskspark.functions.scalars import literal_row, merge_single_rows
-from riskspark.operators import quality, reports, rules, views
+from riskspark.functions.scalars import count_where, literal_row, merge_single_rows
+from riskspark.operators import quality, reports, rules, snapshots, views
 from riskspark.operators.order_stats import iqr_outliers
 from riskspark.plans import pipeline
 from riskspark.plans.workspace import materialise, new_folder
+from riskspark.sources.readers import read_sources, read_unreadable
 from riskspark.sources.sinks import export_mart
 from riskspark.streaming import monitoring, scoring
 
@@ -242,14 +243,18 @@ def q_iqr_outliers_linear(spark, sf):
 
 
 def q_dq_kpis(spark, sf):
-    kept = {}
+    """Cells, extent and valid rows are counted while the tables are written."""
+    observed = {"checked_transactions": Observation("valid"), "transactions": Observation("cells")}
 
     def keep(df: DataFrame, name: str) -> DataFrame:
-        kept[name] = materialise(df, name)
-        return kept[name]
+        if name == "checked_transactions":
+            df = df.observe(observed[name], count_where(F.col(checks.REJECT).isNull()).alias("valid"))
+        elif name == "transactions":
+            df = df.observe(observed[name], *quality.transaction_aggregates(df))
+        return materialise(df, name)
 
     tables, _ = cleaning.clean(_staged(spark, sf), keep=keep)
-    return quality.dq_kpis(cleaning.good_rows(kept["checked_transactions"]), tables)
+    return quality.dq_kpis(observed["checked_transactions"].get["valid"], tables, seen=observed["transactions"].get)
 
 
 # ------------------------------------------------------------- features to reporting
@@ -263,6 +268,35 @@ def _fraud_kpis(t: cleaning.CleanTables) -> DataFrame:
     return rules.fraud_kpis(_scored(t), CFG)
 
 
+def _loaded(spark, sf) -> tuple[str, cleaning.CleanTables]:
+    """Five loads of the transactions: the second first with a third of its rows, then corrected; three are compacted."""
+    t = _shared(spark, sf)
+    path = new_folder(spark, "snapshot")
+    load = F.pmod(F.xxhash64("transaction_id", F.lit(5)), F.lit(5))
+    part = lambda k: t.transactions.where(load == k)
+    for k, rows in ((0, part(0)), (1, part(1).where("transaction_id % 3 = 0")), (2, part(2)), (1, part(1)), (3, part(3))):
+        snapshots.add_load(rows, path, k, CFG)
+    snapshots.compact(spark, path, 2)
+    for _ in range(2):  # the last load comes twice
+        snapshots.add_load(part(4), path, 4, CFG)
+    return path, t
+
+
+def q_customer_features_by_load(spark, sf):
+    path, t = _loaded(spark, sf)
+    return snapshots.customer_features(path, t.customers, t.sanctions)
+
+
+def q_bank_features_by_load(spark, sf):
+    path, t = _loaded(spark, sf)
+    return snapshots.bank_features(path, t.banks, t.sanctions)
+
+
+def q_region_features_by_load(spark, sf):
+    path, t = _loaded(spark, sf)
+    return snapshots.region_features(path, t.customers)
+
+
 def q_disposition_kpis(spark, sf):
     t = _shared(spark, sf)
     decisions = tpch.dispositions(spark, sf, t.transactions)
@@ -312,6 +346,24 @@ def q_batch_run(spark, sf):
     return reduce(DataFrame.unionByName, counts)
 
 
+def q_unreadable_records(spark, sf):
+    """Customers with a field too many or two too few among the others: the quarantine, and how many were read."""
+    folder = _written_source(spark, sf)
+    raw = tpch.raw_customers(spark, sf)
+    line = lambda cols: F.concat_ws(",", *[F.coalesce(c, F.lit("")) for c in cols])
+    fields = [F.col(c) for c in raw.columns]
+    kind = F.pmod(F.col("customer_id").cast("bigint"), F.lit(7))
+    spoilt = F.when(kind == 0, line([*fields, F.lit("surplus")])).when(kind == 1, line(fields[:-2])).alias(",".join(raw.columns))
+    writer = raw.select(spoilt).where(F.col(f"`{','.join(raw.columns)}`").isNotNull()).write.mode("append").option("header", True)
+    # Lines as they are: nothing in them is a separator or a quote to this writer.
+    writer = writer.option("sep", "\u0001").option("quote", "").option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+    writer.csv(f"{folder}/{schemas.SOURCE_FILES['customers']}")
+    read = read_sources(spark, folder)["customers"].agg(F.count(F.lit(1)).cast("string").alias("row"))
+    empty = F.lit(None).cast("bigint")
+    told = read.select(F.lit("customers").alias("table_name"), empty.alias("key"), F.lit("read").alias("reason"), "row")
+    return read_unreadable(spark, folder).unionByName(told)
+
+
 def q_exported_customers(spark, sf):
     """A mart exported as text and read back; text has no empty value, so that comes back as NULL."""
     path = new_folder(spark, "export")
@@ -481,7 +533,11 @@ QUERIES: dict[str, Query] = {
     # sources and sinks
     "batch_run": q_batch_run,
     "exported_customers": q_exported_customers,
+    "unreadable_records": q_unreadable_records,
     "feature_coverage": over_clean(lambda t: quality.feature_coverage(_customer_features(t))),
+    "customer_features_by_load": q_customer_features_by_load,
+    "bank_features_by_load": q_bank_features_by_load,
+    "region_features_by_load": q_region_features_by_load,
     "customer_features": over_clean(_customer_features),
     "bank_features": over_clean(_bank_features),
     "region_features": over_clean(lambda t: features.region_features(t.customers, t.transactions)),

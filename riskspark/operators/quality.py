@@ -134,26 +134,30 @@ def small_table_cells(clean: CleanTables) -> DataFrame:
     )
 
 
+def transaction_aggregates(txns: DataFrame, outlier_column: str = "amount") -> list[Column]:
+    """What ``dq_kpis`` counts in a scan of the transactions; can be observed while they are written."""
+    extent = zip(("_n", "_least"), extent_aggregates(txns, outlier_column), strict=True)
+    return [*cell_aggregates(txns, "transactions", "txn_date"), *[c.alias(n) for n, c in extent]]
+
+
 def dq_kpis(
-    valid_transactions: DataFrame, clean: CleanTables, outlier_column: str = "amount"
+    valid_transactions: DataFrame | int, clean: CleanTables, outlier_column: str = "amount", seen: dict | None = None
 ) -> DataFrame:
     """The ten data-quality indicators in one row.
 
     Cell completeness covers all four tables. Consistency is the unweighted mean of
     the ISO-date share of transactions and of sanctions. ``valid_transactions`` are
-    the rows that passed every rule; those beyond the one kept per id count as
-    duplicates removed.
+    the rows that passed every rule, or their number; those beyond the one kept per id
+    count as duplicates removed.
 
-    The transactions are scanned once for cells, count and extent, once for the orphans,
-    once for the outliers, and once per round of the quartile search.
+    The transactions are scanned once for cells, count and extent (unless ``seen`` has what
+    ``transaction_aggregates`` counts), once for the orphans, once for the outliers, and
+    once per round of the quartile search.
     """
     txns = clean.transactions
-    seen = txns.agg(
-        *cell_aggregates(txns, "transactions", "txn_date"),
-        *[c.alias(n) for n, c in zip(("_n", "_least"), extent_aggregates(txns, outlier_column), strict=True)],
-    ).first()
+    seen = seen or txns.agg(*transaction_aggregates(txns, outlier_column)).first().asDict()
     known = (seen["_n"], seen["_least"])
-    cells = literal_row(txns.sparkSession, {k: v for k, v in seen.asDict().items() if not k.startswith("_")})
+    cells = literal_row(txns.sparkSession, {k: v for k, v in seen.items() if not k.startswith("_")})
 
     def counted(df: DataFrame, name: str) -> DataFrame:
         return df.agg(F.count(F.lit(1)).alias(name))
@@ -167,7 +171,9 @@ def dq_kpis(
             {"bank_id": "orphan_transaction_bank_fk", "customer_id": "orphan_transaction_customer_fk"},
         ),
         counted(iqr_outliers(txns, outlier_column, "linear", known=known), "amount_outliers_iqr"),
-        counted(valid_transactions, "valid_transactions"),
+        literal_row(txns.sparkSession, {"valid_transactions": valid_transactions})
+        if isinstance(valid_transactions, int)
+        else counted(valid_transactions, "valid_transactions"),
     )
 
     return row.select(

@@ -19,7 +19,7 @@ from riskspark.config import DEFAULT, RiskConfig
 from riskspark.operators import banks, checks, cleaning, compliance, features, kpis
 from riskspark.operators import profiles, quality, reports, rules, views
 from riskspark.operators.order_stats import iqr_outliers
-from riskspark.sources.readers import read_sources
+from riskspark.sources.readers import read_sources, read_unreadable
 from riskspark.sources.sinks import append_alerts, export_mart, with_month, write_mart, write_views
 
 # Marts offered to other tools as CSV.
@@ -63,6 +63,8 @@ def run(
 
     staged = cleaning.coerce_sources(read_sources(spark, source_dir, fmt))
     clean, quarantine = cleaning.clean(staged, keep=keep)
+    if fmt == "csv":
+        quarantine = quarantine.unionByName(read_unreadable(spark, source_dir))
     keep(quarantine, "quarantine")
     _quality(staged, clean, marts, keep)
     _features(clean, keep, cfg)

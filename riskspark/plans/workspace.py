@@ -57,3 +57,10 @@ def move(spark: SparkSession, path: str, to: str) -> None:
     files.mkdirs(_hadoop(spark, to)[1].getParent())
     if not files.rename(at, _hadoop(spark, to)[1]):
         raise OSError(f"{path} cannot be moved to {to}")
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """The folders below a path, those of unfinished work left out."""
+    files, at = _hadoop(spark, path)
+    found = files.listStatus(at) if files.exists(at) else []
+    return [f.getPath().toString() for f in found if f.isDirectory() and not f.getPath().getName().startswith("_")]

@@ -9,6 +9,7 @@ from bindings import queries, tpch
 from riskspark.operators import banks, cleaning, features, rules
 from riskspark.plans.workspace import materialise
 from tests.conftest import SF
+from tests import helpers
 from tests.helpers import rows
 
 FACT_QUERIES = [
@@ -140,3 +141,21 @@ def test_rank_table_stays_small(spark):
     )
     assert df.select("bank_risk_score").distinct().count() == 1001
     assert rows(banks.rank_banks(df).agg(F.count("*"), F.min("risk_rank")))[0] == (100_000, 1)
+
+
+def test_the_quarantine_moves_the_fact_once_after_the_look_ups(spark):
+    """Keys and hashes of all rows are aggregated; whole rows move only for keys that have several."""
+
+
+    rows = helpers.txns(spark, (1, 1, 1, 5), (1, 1, 1, 5), (2, 1, 1, 5), (2, 1, 1, 6), (2, 2, 1, 6), (2, 1, 1, 6), (3, 1, 1, 1))
+    lost = cleaning.repeated_rows(rows, "transactions", copies=False)
+    assert [(r.key, r.reason) for r in lost.collect()] == [(2, "duplicate_key")] * 2
+    assert cleaning.repeated_rows(rows, "transactions").count() == 4
+    lines = lost._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    depth = [len(x) - len(x.lstrip(" :+-")) for x in lines]
+    semi = [k for k, x in enumerate(lines) if "LeftSemi" in x]
+    assert semi
+    for k in semi:
+        end = next((j for j in range(k + 1, len(lines)) if depth[j] <= depth[k]), len(lines))
+        grouped = [x for x in lines[k + 1 : end] if "Aggregate" in x or "Window" in x]
+        assert grouped and not any("currency" in x.split("]")[0] for x in grouped)  # by the key alone

@@ -10,7 +10,7 @@ from riskspark import schemas
 from riskspark.operators.cleaning import coerce_sources
 from riskspark.plans import pipeline
 from riskspark.plans.workspace import materialise, shared_folder
-from riskspark.sources.readers import read_mart, read_sources
+from riskspark.sources.readers import read_mart, read_sources, read_unreadable
 from riskspark.sources.sinks import append_alerts, export_mart, with_month, write_mart
 from tests.helpers import rows, txns
 
@@ -69,6 +69,33 @@ def test_columns_are_found_by_name(spark, source, tmp_path):
         read_sources(spark, str(tmp_path))
 
 
+BROKEN = """customer_id,name,email,phone,region,risk_level
+1,Ann,a@x,1,North,High
+2,Bank, Inc,b@x,2,East,Low
+3,Cy,c@x
+4,"Di,d@x,4,East,Low
+5,"E, F",e@x,5,East,Low
+6,,,,,
+"""
+
+
+def test_records_that_do_not_fit_the_header_are_set_apart(spark, source, tmp_path):
+    for name, text in (FILES | {"customers_.csv": BROKEN}).items():
+        (tmp_path / name).write_text(text)
+    found = read_sources(spark, str(tmp_path))["customers"]
+    assert rows(found, "customer_id", "name") == [("1", "Ann"), ("5", "E, F"), ("6", None)]
+    assert found.count() == 3 and found.select("region").distinct().count() == 3
+    assert rows(read_unreadable(spark, str(tmp_path))) == [
+        ("customers", 2, "unreadable_record", "2,Bank, Inc,b@x,2,East,Low"),
+        ("customers", 3, "unreadable_record", "3,Cy,c@x"),
+        ("customers", 4, "unreadable_record", '4,"Di,d@x,4,East,Low'),
+    ]
+    marts = pipeline.run(spark, str(tmp_path), str(tmp_path / "out"), run_ts=TS, export=False)
+    told = marts["quarantine"].where("table_name = 'customers'")
+    assert rows(told, "key", "reason") == [(2, "unreadable_record"), (3, "unreadable_record"), (4, "unreadable_record"), (6, "missing_name")]
+    assert marts["customers"].count() == 2
+
+
 def test_unknown_formats(spark, source, tmp_path):
     with pytest.raises(ValueError):
         read_sources(spark, source, "xml")
