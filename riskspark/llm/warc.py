@@ -10,7 +10,9 @@
    and returns a row per record.
 
 The files lie in the shared folder; the tables between the steps hold their paths only.
-Each file is written under a private name first, so a repeated task replaces it whole.
+Each attempt of a task that writes archives gives its files names of their own, as it may meet
+its rows in another order and cut them elsewhere. Only the files of the attempt that Spark
+commits are in the table returned; others in the folder count for nothing.
 
 Cases: a null html is an empty payload and a null url an empty target. A null page_id has
 no record id of its own and counts as smaller than any. Rows repeated with the same
@@ -23,6 +25,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import json
+import uuid
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -98,9 +101,10 @@ def write(pages: DataFrame, folder: str, file_bytes: int = FILE_BYTES) -> DataFr
         files, at = filesystem(folder)
         files.create_dir(at, recursive=True)
         stream, out, held, records, number, part = _gzip(1), [], 0, 0, 0, 0
+        attempt = uuid.uuid4().hex
 
         def close() -> pa.RecordBatch:
-            name = f"part-{part:06d}-{number:04d}.warc.gz"
+            name = f"part-{part:06d}-{number:04d}-{attempt}.warc.gz"
             write_once(files, f"{at}/{name}", b"".join([*out, stream.flush()]))
             return pa.RecordBatch.from_pylist([{"path": f"{folder}/{name}", "records": records}], schema=schema)
 
@@ -196,7 +200,7 @@ def normalise(archives: DataFrame, folder: str) -> DataFrame:
         row = {"path": f"{folder}/{name}.members.warc.gz", "index_path": f"{folder}/{name}.index.jsonl", "records": len(index)}
         yield pa.RecordBatch.from_pylist([row], schema=schema)
 
-    spread = archives.repartition(max(1, archives.count()), "path")
+    spread = archives.repartitionByRange(max(1, archives.count()), "path")
     return materialise(spread.mapInArrow(_file_task(work), "path string, index_path string, records long"), "normalised")
 
 
@@ -242,7 +246,7 @@ def read(normalised: DataFrame) -> DataFrame:
                     found.append(parse(zlib.decompress(f.read(x["length"]), 31)))
                 yield pa.RecordBatch.from_pylist(found, schema=schema)
 
-    spread = normalised.repartition(max(1, normalised.count()), "path")
+    spread = normalised.repartitionByRange(max(1, normalised.count()), "path")
     return spread.mapInArrow(
         _file_task(work), "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string"
     )

@@ -7,6 +7,7 @@ import json
 import zlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from riskspark.llm import html_extract, warc
 from riskspark.llm.common import filesystem, new_folder, table, uri
@@ -70,6 +71,17 @@ def test_warc_round_trip(spark, monkeypatch, size):
         assert list(warc.records(io.BytesIO(data))) == [gzip.decompress(data[x["offset"] : x["offset"] + x["length"]]) for x in index]
 
 
+def test_a_second_attempt_leaves_the_first_ones_archives(spark):
+    pages = messy_pages(spark).coalesce(1)
+    raw, sizes = new_folder(spark, "raw"), (3000, 2000)
+    first, second = (warc.write(pages.orderBy(order), raw, size) for order, size in zip((F.asc("page_id"), F.desc("page_id")), sizes))
+    want = sorted(repr(r.page_id) for r in pages.collect())
+    for k, written in enumerate((first, second)):
+        got = warc.read(warc.normalise(written, new_folder(spark, f"own{k}"))).collect()
+        assert sorted(repr(r.page_id) for r in got) == want
+    assert not first.join(second, "path").count()
+
+
 def test_warc_of_nothing(spark):
     assert warc.round_trip(messy_pages(spark).limit(0)).isEmpty()
 
