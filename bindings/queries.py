@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import datetime, timezone
 from functools import reduce
 
@@ -15,12 +16,13 @@ from riskspark import schemas
 from riskspark.operators import banks as bank_ops
 from riskspark.operators import checks, cleaning, compliance, features, kpis, profiles
 from riskspark.functions.scalars import count_where, literal_row, merge_single_rows
-from riskspark.operators import quality, reports, rules, snapshots, views
+from riskspark.operators import quality, ranked, reports, rules, sketches, snapshots, views
 from riskspark.operators.order_stats import iqr_outliers
 from riskspark.plans import pipeline
 from riskspark.plans.workspace import materialise, new_folder
 from riskspark.sources.readers import read_sources, read_unreadable
 from riskspark.sources.sinks import export_mart
+from riskspark.sources.versions import read_published
 from riskspark.streaming import monitoring, scoring
 
 CFG = tpch.CONFIG
@@ -297,6 +299,69 @@ def q_region_features_by_load(spark, sf):
     return snapshots.region_features(path, t.customers)
 
 
+def _ranked_flagged(spark, sf) -> str:
+    """The flagged transactions, most risky first, in numbered parts."""
+    path = new_folder(spark, "ranked")
+    flagged = _flagged(_shared(spark, sf))
+    ranked.write_ranked(flagged, path, [F.desc("fraud_score"), F.desc("amount"), F.col("transaction_id")])
+    return path
+
+
+def q_flagged_ranked(spark, sf):
+    return ranked.numbered(spark, _ranked_flagged(spark, sf)).select("position", "transaction_id", "fraud_score", "amount")
+
+
+def q_flagged_page(spark, sf):
+    """The third page of fifty."""
+    found = ranked.page(spark, _ranked_flagged(spark, sf), 101, 50)
+    return found.select("position", "transaction_id", "customer_name", "fraud_score", "amount")
+
+
+def q_sketched_banks(spark, sf):
+    """Per bank, from sketches of five loads: rows, and whether quartiles and distinct customers keep to four times their error.
+
+    A quartile's rank may lie anywhere among the amounts equal to it, so its distance is that to the nearest of them.
+    """
+    t = _shared(spark, sf)
+    path = new_folder(spark, "sketches")
+    load = F.pmod(F.xxhash64("transaction_id", F.lit(5)), F.lit(5))
+    for k in (0, 1, 2, 3, 4, 1):  # one load comes twice
+        sketches.add_load(t.transactions.where(load == k), path, k)
+    found = materialise(sketches.approx_features(spark, path, ["bank_id"]), "sketched")
+    told = t.transactions.join(found, "bank_id")
+    amount = F.col("amount").cast("double")
+    places = [count_where(x) for c in _SKETCHED for x in (amount < F.col(c), amount <= F.col(c))]
+    names = [f"{c}_{side}" for c in _SKETCHED for side in ("below", "upto")]
+    counted = told.groupBy("bank_id").agg(
+        F.first("n_rows").alias("n_rows"),
+        F.first("distinct_customers").alias("estimate"),
+        F.count("amount").alias("n"),
+        F.count_distinct("customer_id").alias("exact"),
+        *[c.alias(name) for c, name in zip(places, names, strict=True)],
+    )
+    slack = 4 * sketches.RANK_ERROR * F.col("n") + 1
+    close = F.lit(True)
+    for c, p in zip(_SKETCHED, sketches.QUARTILES, strict=True):
+        close = close & (F.col(f"{c}_below") <= p * F.col("n") + slack) & (F.col(f"{c}_upto") >= p * F.col("n") - slack)
+    distinct = F.abs(F.col("estimate") - F.col("exact")) <= 4 * sketches.DISTINCT_ERROR * F.col("exact") + 1
+    return counted.select("bank_id", "n_rows", close.alias("quartiles_close"), distinct.alias("distinct_close"))
+
+
+_SKETCHED = ("q1_amount", "median_amount", "q3_amount")
+
+#: Thresholds on the share of risky transactions, around what the regions have.
+REGION_PCTS = (0.0, 33.0, 33.2, 33.4, 33.6, 33.8, 34.0, 50.0)
+
+
+def _regions_by_threshold(t: cleaning.CleanTables) -> DataFrame:
+    totals = materialise(features.region_totals(t.customers, t.transactions), "region_totals")
+    counts = [
+        features.high_risk_region_count(features.region_risk_of(totals, replace(CFG, high_risk_region_pct=p))).select(F.lit(p).alias("threshold_pct"), "*")
+        for p in REGION_PCTS
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
 def q_disposition_kpis(spark, sf):
     t = _shared(spark, sf)
     decisions = tpch.dispositions(spark, sf, t.transactions)
@@ -337,12 +402,13 @@ def _written_source(spark, sf) -> str:
 
 def q_batch_run(spark, sf):
     """The whole run from CSV files to marts, exports, views and alerts: rows per mart."""
-    marts = pipeline.run(spark, _written_source(spark, sf), new_folder(spark, "run"), cfg=CFG, run_ts=RUN_TS)
+    out = new_folder(spark, "run")
+    pipeline.run(spark, _written_source(spark, sf), out, cfg=CFG, run_ts=RUN_TS)
     told = [
         "customers", "banks", "transactions", "sanctions", "quarantine", "customer_features", "bank_features", "transaction_flags",
         "customer_risk_profiles", "bank_risk_comparison_ranked", "duplicate_rows", "kpi_summary",
     ]
-    counts = [marts[m].agg(F.lit(m).alias("mart"), F.count(F.lit(1)).alias("row_count")) for m in told]
+    counts = [read_published(spark, f"{out}/marts", m).agg(F.lit(m).alias("mart"), F.count(F.lit(1)).alias("row_count")) for m in told]
     return reduce(DataFrame.unionByName, counts)
 
 
@@ -576,6 +642,10 @@ QUERIES: dict[str, Query] = {
     "high_risk_region_count": over_clean(
         lambda t: features.high_risk_region_count(_region_risk(t))
     ),
+    "high_risk_regions_by_threshold": over_clean(_regions_by_threshold),
+    "flagged_ranked": q_flagged_ranked,
+    "flagged_page": q_flagged_page,
+    "sketched_banks": q_sketched_banks,
     "search_flagged": over_shared(_search_flagged),
     "search_customers": over_clean(_search_customers),
     "search_below_threshold_banks": over_clean(_search_below),

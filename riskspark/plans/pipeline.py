@@ -4,6 +4,9 @@ Every mart that another step reads is written first and read back. Each is thus
 computed once, later joins are planned with its real size (small ones broadcast by
 Spark's own threshold, large ones shuffled), and a lost executor costs no more than
 the step it was in. ``out_dir`` must be a folder that all executors share.
+
+Marts are written below a version of their own in ``out_dir/marts`` and published together
+when the last is there (``sources/versions.py``): until then readers see the run before.
 """
 
 from __future__ import annotations
@@ -21,6 +24,7 @@ from riskspark.operators import profiles, quality, reports, rules, views
 from riskspark.operators.order_stats import iqr_outliers
 from riskspark.sources.readers import read_sources, read_unreadable
 from riskspark.sources.sinks import append_alerts, export_mart, with_month, write_mart, write_views
+from riskspark.sources.versions import new_version, publish
 
 # Marts offered to other tools as CSV.
 EXPORTED = [
@@ -51,9 +55,10 @@ def run(
     """Run every step and return the marts by name."""
     run_ts = (run_ts or datetime.now(timezone.utc)).replace(microsecond=0)
     marts: dict[str, DataFrame] = {}
+    version = new_version(f"{out_dir}/marts")
 
     def keep(df: DataFrame, name: str) -> DataFrame:
-        path = f"{out_dir}/marts/{name}"
+        path = f"{version}/{name}"
         if name == "transactions":
             stored = write_mart(with_month(df), path, partition_by=["txn_month"])
             marts[name] = stored.drop("txn_month")
@@ -71,6 +76,7 @@ def run(
     _scores(clean, marts, keep, cfg)
     _rankings(clean, marts, keep, cfg)
     _summary(marts, keep, cfg, run_ts)
+    publish(spark, f"{out_dir}/marts", version)
 
     append_alerts(marts["alerts"], f"{out_dir}/alerts_log", run_ts.strftime("%Y%m%dT%H%M%SZ"))
     if export:

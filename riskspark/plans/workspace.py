@@ -64,3 +64,16 @@ def folders(spark: SparkSession, path: str) -> list[str]:
     files, at = _hadoop(spark, path)
     found = files.listStatus(at) if files.exists(at) else []
     return [f.getPath().toString() for f in found if f.isDirectory() and not f.getPath().getName().startswith("_")]
+
+
+def files(spark: SparkSession, path: str) -> list[str]:
+    """The names of the files in a folder, checksums left out."""
+    store, at = _hadoop(spark, path)
+    found = store.listStatus(at) if store.exists(at) else []
+    return [f.getPath().getName() for f in found if f.isFile() and not f.getPath().getName().startswith(".")]
+
+
+def make_file(spark: SparkSession, path: str) -> None:
+    """Make an empty file, which must not be there."""
+    store, at = _hadoop(spark, path)
+    store.create(at, False).close()
