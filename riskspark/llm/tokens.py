@@ -6,6 +6,9 @@ a line break with something else on both sides, between a letter and a mark of p
 there, a text falls into chunks whose ids are simply put together, and most chunks have
 been seen before. A tokenizer with another way of splitting gets whole texts, and so does any
 with a text that holds the string of an added token such as <|endoftext|>, in either case.
+
+A chunk of Latin letters alone is one piece of the pattern, so it goes to the library's model
+itself and not through its pattern and normaliser. All other chunks go through the whole library.
 """
 
 from __future__ import annotations
@@ -22,8 +25,14 @@ from riskspark.llm.text import is_space, lower, raw
 REMEMBERED = 400_000
 #: New chunks are joined to texts of so many for the library.
 JOINED = 500
+#: Letters up to here are what both patterns and Python call letters, and no two of them compose.
+LAST_LATIN = "\u024f"
 _ENCODERS: dict[str, Encoder] = {}
 
+_OWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+#: The character that stands for each byte in a byte-level vocabulary.
+_SHOWN = dict(zip([*_OWN, *(b for b in range(256) if b not in _OWN)], [*_OWN, *range(256, 512)], strict=False))
+
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(65, 91), *range(97, 123)]] = True
 _MARK = np.zeros(256, bool)
@@ -68,6 +77,10 @@ class Encoder:
         elif kinds == ["Split", "ByteLevel"] and set(rules) <= {"NFC", "Replace", "Lowercase"} and split["pretokenizers"][0]["behavior"] == "Removed":
             self.kind = "unspaced"  # white space parts pieces and is dropped
         self.lowers = "Lowercase" in rules
+        first = split["pretokenizers"][0]["pattern"].get("Regex", "") if self.kind == "unspaced" else ""
+        ahead, letters, _ = first.partition(r"[\p{L}]+|")
+        # nothing before the letters' own part of the pattern may begin with one
+        self.by_word = self.kind == "spaced" or bool(letters) and all(x.startswith("'") for x in ahead.split("|")[:-1])
         self.added = [x["content"].encode().lower() for x in told.get("added_tokens") or []]
         self.memory: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
@@ -84,13 +97,28 @@ class Encoder:
         rest = chunk[1:] if chunk[:1] == " " else chunk
         return rest != "" and rest.isprintable() and " " not in rest and "0" not in rest
 
-    def _learn(self, chunks: set[bytes]) -> None:
-        missing = chunks.difference(self.memory)
+    def _is_word(self, chunk: str) -> bool:
+        """Whether a chunk is one piece that the normaliser leaves as it is."""
+        rest = chunk[1:] if self.kind == "spaced" and chunk[:1] == " " else chunk
+        return rest.isalpha() and (rest.isascii() or max(rest) <= LAST_LATIN) and not (self.lowers and rest != rest.lower())
+
+    def _learn_words(self, words: list[bytes]) -> None:
+        tokenize, ids, ends = self.library.model.tokenize, [], [0]
+        for c in words:
+            ids += [x.id for x in tokenize(c.decode("latin-1").translate(_SHOWN))]
+            ends.append(len(ids))
+        data, width = np.array(ids, self.dtype).tobytes(), self.dtype.itemsize
+        self.memory.update((c, data[a * width : b * width]) for c, a, b in zip(words, ends, ends[1:]))
+
+    def _learn(self, missing: set[bytes]) -> None:
         if len(self.memory) + len(missing) > REMEMBERED:
-            self.older, self.memory, missing = self.memory, {}, chunks
+            self.older, self.memory = self.memory, {}
         memory = self.memory
         memory.update((c, self.older[c]) for c in missing.intersection(self.older))
         new = [(c, c.decode()) for c in missing.difference(memory)]
+        if self.by_word:
+            self._learn_words([c for c, t in new if self._is_word(t)])
+            new = [x for x in new if x[0] not in memory]
         simple = [x for x in new if self._joins(x[1])]
         groups = [simple[k : k + JOINED] for k in range(0, len(simple), JOINED)]
         found = self.library.encode_batch_fast([self.part.join(t for _, t in g) for g in groups], add_special_tokens=False)
@@ -129,8 +157,11 @@ class Encoder:
         if not len(body):
             return [b""] * (len(offsets) - 1)
         chunks, bounds = (self._spaced if self.kind == "spaced" else self._unspaced)(body, offsets)
-        self._learn(set(chunks))
-        found = list(map(self.memory.__getitem__, chunks))
+        found = list(map(self.memory.get, chunks))
+        if None in found:
+            self._learn({c for c, x in zip(chunks, found, strict=True) if x is None})
+            memory = self.memory
+            found = [memory[c] if x is None else x for c, x in zip(chunks, found, strict=True)]
         return [b"".join(found[a:b]) for a, b in zip(bounds, bounds[1:])]
 
     def _spaced(self, body: np.ndarray, offsets: np.ndarray) -> tuple[list[bytes], list[int]]:

@@ -42,6 +42,16 @@ def test_ids_of_any_text(name, texts):
     same(name, texts)
 
 
+@pytest.mark.parametrize("name", FILES)
+def test_words_that_go_to_the_model_itself(name):
+    latin = [chr(c) for c in range(33, 0x300)]
+    texts = [" ".join(latin), "".join(latin), *latin, *(f"x{c}y {c}" for c in latin), "Straße ÉCOLE İstanbul ǅ ﬁ ЖУК жук 漢字 ª º"]
+    same(name, texts)
+    tool = tokens.encoder(tokens.tokenizer_path(name))
+    assert tool.by_word and tool._is_word("école") and not tool._is_word("жук") and not tool._is_word("e\u0301")
+    assert tool._is_word("École") is (name == "byte_bpe_50k.json") is tool._is_word(" word")
+
+
 @pytest.mark.parametrize("name", FILES)
 def test_memory_starts_anew(monkeypatch, name):
     monkeypatch.setattr(tokens, "REMEMBERED", 20)
