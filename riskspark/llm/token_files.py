@@ -41,13 +41,13 @@ from riskspark.llm.tokens import encoder, tokenizer_path
 
 MAGIC = b"IDRC0001"
 TOKENIZER, END_ID = "byte_bpe_50k.json", 2
-BLOCK = 4096
+BLOCK = 512
 #: Blocks coded side by side at most; bounds the models' memory.
-LANES = 1024
+LANES = 4096
 #: Text per file, on average.
 FILE_BYTES = 8 << 20
 
-_TABLE_BITS = 11
+_TABLE_BITS = 9  # a block has no more contexts than ids
 _ONE = 1 << 16
 _CDF_BITS = 14
 _CLASSES = 40
