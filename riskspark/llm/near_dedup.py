@@ -305,20 +305,23 @@ def near_duplicates(docs: DataFrame, n: int = 5, like: int = LIKE) -> DataFrame:
 
 
 def _told_apart(docs: DataFrame) -> DataFrame:
-    """docs with _own: the doc_id, or for an id with several texts a number for each, larger than other ids."""
-    text = F.xxhash64("text")
-    clashing = materialise(
+    """docs with _own: the doc_id, or for an id with several texts a number for each, larger than other ids.
+
+    _again tells the rows that have no id, or one that comes more than once.
+    """
+    doc_id, text = F.col("doc_id").cast("long"), F.xxhash64("text")
+    met = materialise(
         docs.where("doc_id is not null")
-        .groupBy(F.col("doc_id").cast("long").alias("_clashing"))
-        .agg(F.min(text).alias("_low"), F.max(text).alias("_high"))
-        .where("_low < _high")
-        .select("_clashing"),
-        "clashing",
+        .groupBy(doc_id.alias("_met"))
+        .agg(F.count(F.lit(1)).alias("_n"), F.min(text).alias("_low"), F.max(text).alias("_high"))
+        .where("_n > 1")
+        .select("_met", (F.col("_low") < F.col("_high")).alias("_clashes")),
+        "met",
     )
-    doc_id = F.col("doc_id").cast("long")
     own = F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 2) + F.lit(1 << 62)
-    found = docs.join(clashing, doc_id == F.col("_clashing"), "left")
-    return found.withColumn("_own", F.when(F.col("_clashing").isNull(), doc_id).otherwise(own)).drop("_clashing")
+    found = docs.join(met, doc_id == F.col("_met"), "left")
+    again = doc_id.isNull() | F.col("_met").isNotNull()
+    return found.withColumns({"_own": F.when(F.col("_clashes"), own).otherwise(doc_id), "_again": again}).drop("_met", "_clashes")
 
 
 def keep(docs: DataFrame, n: int = 5, like: int = LIKE) -> DataFrame:
@@ -330,9 +333,11 @@ def keep(docs: DataFrame, n: int = 5, like: int = LIKE) -> DataFrame:
     """
     told = _told_apart(docs)
     judged = near_duplicates(told.select(F.col("_own").alias("doc_id"), "text"), n, like)
-    gone = judged.where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
+    gone = materialise(judged.where("not kept").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
     left = told.join(gone, F.col("_own") == F.col("_gone"), "left_anti")
+    # Only rows that may have an equal are shuffled with their texts.
     # As a window, not an aggregate: what wins is a whole row, and the same one in every run.
     others = [F.col(f"`{f.name}`").asc_nulls_first() for f in docs.schema if f.name != "text" and not isinstance(f.dataType, (T.MapType, T.VariantType))]
     first = Window.partitionBy("_own", F.xxhash64("text")).orderBy(*others)
-    return left.withColumn("_row", F.row_number().over(first)).where("_row = 1").drop("_row", "_own")
+    several = left.where("_again").withColumn("_row", F.row_number().over(first)).where("_row = 1").drop("_row")
+    return left.where("not _again").unionByName(several).drop("_own", "_again")
