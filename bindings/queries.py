@@ -16,7 +16,7 @@ from riskspark import schemas
 from riskspark.operators import banks as bank_ops
 from riskspark.operators import checks, cleaning, compliance, features, kpis, profiles
 from riskspark.functions.scalars import count_where, literal_row, merge_single_rows
-from riskspark.operators import quality, ranked, reports, rules, sketches, snapshots, views
+from riskspark.operators import quality, ranked, reports, rules, search_index, sketches, snapshots, views
 from riskspark.operators.order_stats import iqr_outliers
 from riskspark.plans import pipeline
 from riskspark.plans.workspace import materialise, new_folder
@@ -497,6 +497,33 @@ def _search_below(t: cleaning.CleanTables) -> DataFrame:
     )
 
 
+def _flagged_index(spark, sf) -> str:
+    path = new_folder(spark, "flagged-index")
+    order = [F.desc("fraud_score"), F.desc("amount"), F.col("transaction_id")]
+    search_index.write_index(_flagged(_shared(spark, sf)), path, order, ["customer_name", "bank_name"], ["severity", "customer_region"])
+    return path
+
+
+def q_search_flagged_index(spark, sf):
+    found = search_index.search(spark, _flagged_index(spark, sf), "customer#00000001", {"severity": "High"})
+    return views.view_flagged(found)
+
+
+def q_search_flagged_page(spark, sf):
+    """The second page of twenty of what one region's customers, or banks, of such names have."""
+    path, asked = _flagged_index(spark, sf), {"text": "R#00000000", "equals": {"customer_region": "ASIA"}}
+    last = search_index.search_page(spark, path, 20, **asked).agg(F.max("position")).first()[0]
+    found = search_index.search_page(spark, path, 20, last or 0, **asked)
+    return found.select("position", "transaction_id", "customer_name", "bank_name", "fraud_score", "amount")
+
+
+def q_search_customers_index(spark, sf):
+    path = new_folder(spark, "customer-index")
+    order = [F.desc("composite_risk_score"), F.col("customer_id")]
+    search_index.write_index(_profiles(tpch.clean_tables(spark, sf)), path, order, ["name"], ["computed_segment", "region"])
+    return search_index.search(spark, path, "#000", {"computed_segment": "Medium", "region": "ASIA"})
+
+
 # ------------------------------------------------------------------------- streaming
 
 
@@ -649,6 +676,9 @@ QUERIES: dict[str, Query] = {
     "search_flagged": over_shared(_search_flagged),
     "search_customers": over_clean(_search_customers),
     "search_below_threshold_banks": over_clean(_search_below),
+    "search_flagged_index": q_search_flagged_index,
+    "search_flagged_page": q_search_flagged_page,
+    "search_customers_index": q_search_customers_index,
     "search_banks": over_clean(
         lambda t: views.search_banks(_ranked(t), region="EUROPE", sort="risk_rank")
     ),
