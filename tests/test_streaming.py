@@ -1,5 +1,7 @@
 import random
 from datetime import date, datetime, timedelta, timezone
+from decimal import Decimal
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
@@ -250,6 +252,33 @@ def test_every_event_is_accounted_for(spark, tmp_path):
     assert counted == accounts["counted"]
 
 
+def test_folded_counts_equal_those_of_all_batches(spark, tmp_path, monkeypatch):
+    """Fourteen batches in no order: the same results, and never more than some tables to read."""
+    r = random.Random(9)
+    base = [(r.choice([1, 2, 9, None]), datetime(2024, 1, r.randint(1, 20), r.randint(0, 23), tzinfo=timezone.utc), Decimal(r.randint(1, 99)), 1) for _ in range(280)]
+    base[::40] = [(1, None, None, 0)] * 7
+    parts = [spark.createDataFrame(base[k::14], EVENTS) for k in range(14)]
+    feed, people = _files(spark, tmp_path / "in", parts), customers(spark, (1, "Low"), (2, "Low", "East"))
+    seen, real = [], monitoring.fold
+
+    def counted(spark, path):
+        seen.append(sum(len(list(f.iterdir())) for f in Path(path).iterdir() if f.name.startswith("feed=")))
+        real(spark, path)
+
+    monkeypatch.setattr(monitoring, "fold", counted)
+    got = []
+    for every in (0, 3):
+        out = str(tmp_path / f"out{every}")
+        monitoring.region_monitor_stream(feed, people, out, str(tmp_path / f"state{every}"), fold_every=every).awaitTermination()
+        got.append((rows(monitoring.region_counts(spark, out)), rows(monitoring.monitor_accounts(spark, out))))
+    assert got[0] == got[1] and sum(n for _, n in got[0][1]) == len(base)
+    assert len(seen) == 4 and max(seen) <= 7
+    # what is folded stays when it is folded again, and when nothing is new
+    real(spark, out)
+    real(spark, out)
+    assert (rows(monitoring.region_counts(spark, out)), rows(monitoring.monitor_accounts(spark, out))) == got[1]
+
+
 def test_a_feed_has_more_files_the_more_rows_it_has(spark, monkeypatch):
     from bindings import queries
 
