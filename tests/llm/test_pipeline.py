@@ -49,3 +49,24 @@ def test_run_equals_its_stages(spark):
     got = corpus_pipeline.run(spark, SF)
     assert {"doc_id", "start", "length", "sequence_id"} <= set(got.columns) and got.count() > 100
     assert corpus_pipeline.ORACLE_SQL is None and near_dedup.LIKE == 80
+
+
+def test_stages_on_awkward_rows_and_none(spark, tmp_path):
+    a, b = (" ".join(f"{x}{k * k}{x}" for k in range(60)) for x in ("alpha", "beta"))
+    rows = [(1, a, "s"), (1, a, "s"), (2, a + " more", None), (3, None, "s"), (4, "", "t"), (None, b, None), (5, "again " * 200, "s")]
+    fields = "doc_id long, text string, source string, lang string, kept string, score string, size string"
+    made = spark.createDataFrame([(*r, None, "x", "y", None) for r in rows], fields)
+    marks = table(spark, SF, "labels").limit(0)
+    for name, docs in (("some", made), ("none", made.limit(0))):
+        sf = str(tmp_path / name)
+        docs.write.parquet(f"{sf}/documents.parquet")
+        marks.write.parquet(f"{sf}/labels.parquet")
+        left = table(spark, sf, "documents")
+        for step, stage in corpus_pipeline.STAGES[:-1]:
+            left = materialise(stage(spark, left, sf), step)
+            assert left.columns == docs.columns
+            if step == "near_dedup":
+                want = [] if name == "none" else [(None, b), (1, a)]
+                assert sorted(((r.doc_id, r.text) for r in left.collect()), key=str, reverse=True) == sorted(want, key=str, reverse=True)
+        packed = corpus_pipeline.STAGES[-1][1](spark, left, sf)
+        assert {r.doc_id for r in packed.collect()} <= ({1, None} if name == "some" else set())
