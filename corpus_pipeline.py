@@ -8,6 +8,12 @@ and all but the last return the columns of ``documents``:
 3. near-duplicates (five-word shingles, similarity 0.8): one document of each group stays;
 4. mixing: every source is brought to its target, documents repeated or left out;
 5. packing: token sequences.
+
+Cases: documents with a null or empty text fail the first stage. Ids, sources and all other
+columns may be null and pass through whatever their names; a null source is a source of
+its own. Rows equal in id and text are one document after the third stage, the first by
+the other columns. Without usable labels the trees let pass what the base rules keep. An
+empty table gives no rows.
 """
 
 from __future__ import annotations
