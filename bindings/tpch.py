@@ -324,18 +324,25 @@ def dispositions(spark: SparkSession, sf_dir: str, txns: DataFrame) -> DataFrame
         "o_orderkey", "o_custkey", "o_orderpriority", F.coalesce(decided[F.col("o_orderpriority")], F.lit(" ")).alias("disposition")
     )
     order_key = F.floor(F.col("transaction_id") / 10).cast("bigint")
-    sheet = (
+    urgent = F.col("o_orderpriority") == "1-URGENT"
+    medium = (F.col("o_orderpriority") == "3-MEDIUM") & (F.col("o_custkey") % 2 == 0)
+
+    def entry(date: str, made: Column) -> Column:
+        return F.struct(F.lit(date).alias("review_date"), made.alias("disposition"))
+
+    # All entries of a transaction from one row, so that transactions and orders are joined once.
+    entries = F.array(
+        entry("2024-03-05", F.col("disposition")),
+        F.when(urgent, entry("2024-01-31", F.lit("Cleared"))),
+        F.when(medium, entry("2024-03-06", F.lit("Confirmed Fraud"))),
+        F.when(urgent, entry("2024-09-09", F.lit(""))),
+    )
+    return (
         txns.select("transaction_id", order_key.alias("o_orderkey"))
         .join(orders, "o_orderkey")
-        .withColumn("review_date", F.lit("2024-03-05"))
-    )
-    urgent = sheet.where("o_orderpriority = '1-URGENT'")
-    medium = sheet.where("o_orderpriority = '3-MEDIUM' and o_custkey % 2 = 0")
-    more = urgent.withColumns({"disposition": F.lit("Cleared"), "review_date": F.lit("2024-01-31")}).unionByName(
-        medium.withColumns({"disposition": F.lit("Confirmed Fraud"), "review_date": F.lit("2024-03-06")})
+        .select("transaction_id", F.explode(F.array_compact(entries)).alias("e"))
+        .select("transaction_id", "e.review_date", "e.disposition")
     )
-    blank = urgent.withColumns({"disposition": F.lit(""), "review_date": F.lit("2024-09-09")})
-    return sheet.unionByName(more).unionByName(blank).select("transaction_id", "review_date", "disposition")
 
 
 def payment_events(events: DataFrame) -> DataFrame:

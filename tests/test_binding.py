@@ -69,3 +69,9 @@ def test_defects_of_the_raw_tables_reach_every_report(spark):
     raw = tpch.raw_transactions(spark, SF)
     again = tpch.table(spark, SF, "lineitem").where("l_quantity = 5").count()
     assert again > 0 and raw.count() == 60000 + again and raw.select("transaction_id").distinct().count() > 40000
+
+
+def test_dispositions_join_transactions_and_orders_once(spark):
+    txns = tpch.transactions(spark, SF).select("transaction_id").localCheckpoint()
+    plan = tpch.dispositions(spark, SF, txns)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join Inner") == 1
