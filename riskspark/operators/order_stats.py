@@ -97,7 +97,7 @@ def _narrow(values: DataFrame, searches: list[_Search]) -> None:
     rows = _limited(values, searches)
     kind = values.schema["v"].dataType
     brackets = rows.agg(
-        *[_bracket(s, kind).alias(str(i)) for i, s in enumerate(searches)]
+        *[_bracket(s, kind, _asked(s, searches)).alias(str(i)) for i, s in enumerate(searches)]
     ).first()
     counts = rows.agg(
         *[_position(s, b["low"], b["high"]).alias(str(i)) for i, (s, b) in enumerate(zip(searches, brackets))]
@@ -106,26 +106,37 @@ def _narrow(values: DataFrame, searches: list[_Search]) -> None:
         _step(s, b["low"], b["high"], c)
 
 
-def _bracket(s: _Search, kind: T.DataType) -> Column:
+def _ends(s: _Search) -> tuple[float, float]:
+    """The shares of the candidates between which the k-th lies, by what the sketch can tell."""
+    target, slack = (s.k - 0.5) / s.size, 2.0 / SKETCH_ACCURACY
+    return max(target - slack, 0.0), min(target + slack, 1.0)
+
+
+def _asked(s: _Search, searches: list[_Search]) -> list[float]:
+    """What all searches among the same candidates ask of their one sketch."""
+    same = [t for t in searches if (t.low, t.high, t.base) == (s.low, s.high, s.base)]
+    return sorted({p for t in same for p in _ends(t)})
+
+
+def _bracket(s: _Search, kind: T.DataType, asked: list[float]) -> Column:
     """Two values close around the k-th candidate, never outside the candidates.
 
     The sketch works on doubles. Decimals and integers enter it as the distance from
-    a lower bound, so that neighbours stay apart however many digits they have.
+    a lower bound, so that neighbours stay apart however many digits they have. Searches
+    among the same candidates ask the same of it (``asked``), so Spark keeps one for all.
     """
     value, base = s.candidate(), F.lit(s.base)
     exact_double = isinstance(kind, (T.DoubleType, T.FloatType))
 
     def quantile(p: float) -> Column:
-        p = min(max(p, 0.0), 1.0)
-        if exact_double:
-            return F.percentile_approx(value, p, SKETCH_ACCURACY)
-        distance = F.percentile_approx((value - base).cast("double"), p, SKETCH_ACCURACY)
-        return (base + distance.cast(kind)).cast(kind)
+        sketched = value if exact_double else (value - base).cast("double")
+        found = F.get(F.percentile_approx(sketched, asked, SKETCH_ACCURACY), asked.index(p))
+        return found if exact_double else (base + found.cast(kind)).cast(kind)
 
-    target, slack = (s.k - 0.5) / s.size, 2.0 / SKETCH_ACCURACY
+    low, high = _ends(s)
     return F.struct(
-        F.greatest(quantile(target - slack), F.min(value)).alias("low"),
-        F.least(quantile(target + slack), F.max(value)).alias("high"),
+        F.greatest(quantile(low), F.min(value)).alias("low"),
+        F.least(quantile(high), F.max(value)).alias("high"),
     )
 
 

@@ -122,3 +122,12 @@ def test_histogram_equals_numpy(spark, values):
 
 def test_histogram_of_nothing(spark):
     assert amount_histogram(spark.createDataFrame([], "amount decimal(18,2)")).collect() == []
+
+
+def test_searches_among_the_same_candidates_share_one_sketch(spark):
+    values = order_stats.column_values(spark.range(100).select(F.col("id").cast("decimal(18,2)").alias("x")), "x")
+    searches = [order_stats._Search(k, 100, 0) for k in (25, 26, 75, 76)]
+    kind = values.schema["v"].dataType
+    asked = [order_stats._asked(s, searches) for s in searches]
+    found = values.agg(*[order_stats._bracket(s, kind, a).alias(str(s.k)) for s, a in zip(searches, asked, strict=True)])
+    assert found._jdf.queryExecution().executedPlan().toString().count("partial_percentile_approx(") == 1
