@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import json
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,6 +68,32 @@ def write_once(filesys, path: str, data: bytes) -> None:
     filesys.move(part, path)
 
 
+def released(run: Callable[..., Iterator]) -> Callable[..., Iterator]:
+    """``run`` over a partition's batches; at its end what the worker holds free goes back to the system.
+
+    Spark keeps an idle Python worker for the tasks of later stages, beside the memory that the
+    executor itself needs then.
+    """
+
+    def whole(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return whole
+
+
+def give_back() -> None:
+    """Free memory of this process that its allocators hold goes back to the system."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
+
+
 def to_json(x) -> str:
     return json.dumps(x, sort_keys=True)
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskspark.llm.common import crc_bucket
+from riskspark.llm.common import crc_bucket, released
 from riskspark.llm.text import RATIOS, slices, statistics
 
 #: Documents a model is fitted on at most. Scoring, of course, covers all.
@@ -46,7 +46,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, most: int = FIT_ROWS) -> t
                 yield pa.RecordBatch.from_arrays([part["doc_id"], part["quality"], x], ["doc_id", "quality", "x"])
 
     found = (
-        chosen.mapInArrow(measure, T.StructType([chosen.schema["doc_id"], chosen.schema["quality"]]).add("x", T.ArrayType(T.FloatType())))
+        chosen.mapInArrow(released(measure), T.StructType([chosen.schema["doc_id"], chosen.schema["quality"]]).add("x", T.ArrayType(T.FloatType())))
         .dropDuplicates(["doc_id"])
         .toPandas()
         .sort_values("doc_id")
@@ -63,4 +63,4 @@ def map_texts(docs: DataFrame, make: Callable[[pa.RecordBatch], pa.RecordBatch],
             for part in slices(batch):
                 yield make(part)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(released(run), schema)

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskspark.llm.common import materialise
+from riskspark.llm.common import materialise, released
 from riskspark.llm.components import components
 from riskspark.llm.text import U64, mix, shingle_sets, slices
 
@@ -106,7 +106,7 @@ def describe(docs: DataFrame, n: int) -> DataFrame:
                     [part["doc_id"], pa.array(size, pa.int64()), *map(pa.array, marks), pa.array(sig, pa.binary())], schema.names
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return docs.select("doc_id", "text").mapInArrow(released(run), schema)
 
 
 def _buckets(classes: DataFrame) -> DataFrame:
@@ -125,7 +125,7 @@ def _buckets(classes: DataFrame) -> DataFrame:
             again = [np.repeat(batch[c].to_numpy(zero_copy_only=False), BANDS) for c in ("id", "n_shingles")]
             yield pa.RecordBatch.from_arrays([pa.array(h.ravel().view(np.int64)), pa.array(band), *map(pa.array, again)], schema.names)
 
-    return classes.select("id", "n_shingles", "sig").mapInArrow(run, schema)
+    return classes.select("id", "n_shingles", "sig").mapInArrow(released(run), schema)
 
 
 def _survivors(pairs: DataFrame, sigs: DataFrame, like: int) -> DataFrame:
@@ -148,7 +148,7 @@ def _survivors(pairs: DataFrame, sigs: DataFrame, like: int) -> DataFrame:
     both = pairs.join(sigs.select(F.col("id").alias("a"), F.col("sig").alias("sig_a")), "a").join(
         sigs.select(F.col("id").alias("b"), F.col("sig").alias("sig_b")), "b"
     )
-    return both.select("a", "b", "sig_a", "sig_b").mapInArrow(run, schema)
+    return both.select("a", "b", "sig_a", "sig_b").mapInArrow(released(run), schema)
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, n: int, like: int) -> DataFrame:
@@ -169,7 +169,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, n: int, like: int) -> DataFram
     both = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a").join(
         texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b"
     )
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(run, schema)
+    return both.select("a", "b", "text_a", "text_b").mapInArrow(released(run), schema)
 
 
 def _settle(left: DataFrame, hubs: DataFrame, sigs: DataFrame, texts: DataFrame, n: int, like: int) -> DataFrame:

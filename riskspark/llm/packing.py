@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskspark.llm.common import give_back, released
 from riskspark.llm.text import slices
 from riskspark.llm.tokens import encoder, tokenizer_path
 
@@ -50,7 +51,7 @@ def tokenise(docs: DataFrame, path: str, end_id: int) -> DataFrame:
                 ids = pa.array([x + end for x in found], pa.binary())
                 yield pa.RecordBatch.from_arrays([*(part[f.name] for f in rest), ids], schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(released(run), schema)
 
 
 def first_fit_decreasing(sizes: np.ndarray, room: int) -> tuple[np.ndarray, np.ndarray]:
@@ -147,6 +148,9 @@ def pack(
         which, start, size, seq, offset = (np.array(x, np.int64) for x in zip(*out, strict=True))
         columns = [start, size, np.array([zlib.crc32(x) for x in raw]), n_ids[which], (key[0].as_py() << 32) + seq, offset]
         columns = [group["doc_id"].combine_chunks().take(pa.array(which)), *(pa.array(c, pa.int64()) for c in columns)]
-        return pa.Table.from_arrays([*columns, *([pa.array(raw, pa.binary())] if with_ids else [])], schema.names)
+        packed = pa.Table.from_arrays([*columns, *([pa.array(raw, pa.binary())] if with_ids else [])], schema.names)
+        del ids, raw, out
+        give_back()
+        return packed
 
     return rows.groupBy("group").applyInArrow(run, schema)

@@ -2,8 +2,11 @@
 
 from collections import Counter
 
+import pyarrow as pa
+from pyspark.sql import types as T
+
 import corpus_pipeline
-from riskspark.llm import near_dedup, quality_classifier, quality_rules
+from riskspark.llm import common, labelled, near_dedup, packing, quality_classifier, quality_rules, tokens
 from riskspark.llm.common import materialise, table
 from tests.llm.helpers import near_duplicates
 from tests.llm.test_mixing import filled
@@ -70,3 +73,31 @@ def test_stages_on_awkward_rows_and_none(spark, tmp_path):
                 assert sorted(((r.doc_id, r.text) for r in left.collect()), key=str, reverse=True) == sorted(want, key=str, reverse=True)
         packed = corpus_pipeline.STAGES[-1][1](spark, left, sf)
         assert {r.doc_id for r in packed.collect()} <= ({1, None} if name == "some" else set())
+
+
+class _Taken:
+    """A frame that keeps the function it is to be mapped by."""
+
+    schema = T.StructType().add("doc_id", "long").add("text", "string")
+
+    def select(self, *_):
+        return self
+
+    def mapInArrow(self, run, schema):  # noqa: N802
+        self.run = run
+        return self
+
+
+def test_idle_workers_hold_no_free_memory(monkeypatch):
+    """Each function over texts gives memory back at the end of its partition."""
+    given = []
+    monkeypatch.setattr(common, "give_back", lambda: given.append(1))
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text": ["a b c d e f", None]})
+    path = tokens.tokenizer_path(packing.TOKENIZER)
+    for k, mapped in enumerate((
+        lambda d: labelled.map_texts(d, lambda part: part, d.schema),
+        lambda d: near_dedup.describe(d, 5),
+        lambda d: packing.tokenise(d, path, 1),
+    )):
+        out = list(mapped(_Taken()).run(iter([batch])))
+        assert sum(x.num_rows for x in out) == 2 and len(given) == k + 1
