@@ -291,3 +291,28 @@ def test_a_feed_has_more_files_the_more_rows_it_has(spark, monkeypatch):
     sent = spark.read.parquet(made[-1])
     assert rows(sent.select("event_id", "kind")) == rows(df)
     assert len(sent.inputFiles()) > 14
+
+
+def test_rows_of_a_batch_are_told_apart_by_one_shuffle_of_them(spark):
+    schema = "transaction_id long, amount double, _content long"
+    batch = spark.createDataFrame([(1, 5.0, 50), (1, 4.0, 40), (2, 1.0, 10), (3, 7.0, 70), (4, 2.0, 20)], schema)
+    new = spark.createDataFrame([(1,), (2,), (3,)], "transaction_id long")
+    known = spark.createDataFrame([(3, 70), (3, 71)], "transaction_id long, _other long")
+    told = scoring._told(batch, new, known)
+    assert {(r.transaction_id, r.amount) for r in told.where("_fresh").collect()} == {(1, 4.0), (2, 1.0)}
+    assert told.count() == 5
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, -1)
+    try:
+        plan = scoring._told(batch, new, known)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(key, before)
+    assert plan.count("Exchange hashpartitioning") == 3  # rows, new ids, known ids
+
+
+def test_state_is_looked_up_once_per_key(spark):
+    key = "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows"
+    with scoring.keyed_state(spark):
+        assert spark.conf.get(key) == "false"
+    assert spark.conf.get(key, None) is None
