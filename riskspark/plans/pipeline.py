@@ -22,7 +22,7 @@ from riskspark.config import DEFAULT, RiskConfig
 from riskspark.operators import banks, checks, cleaning, compliance, features, kpis
 from riskspark.operators import profiles, quality, reports, rules, views
 from riskspark.operators.order_stats import iqr_outliers
-from riskspark.sources.readers import read_sources, read_unreadable
+from riskspark.sources.readers import line_breaks, read_sources, read_unreadable
 from riskspark.sources.sinks import append_alerts, export_mart, with_month, write_mart, write_views
 from riskspark.sources.versions import new_version, publish
 
@@ -66,10 +66,11 @@ def run(
             marts[name] = write_mart(df, path)
         return marts[name]
 
-    staged = cleaning.coerce_sources(read_sources(spark, source_dir, fmt))
+    breaks = line_breaks(spark, source_dir) if fmt == "csv" else None
+    staged = cleaning.coerce_sources(read_sources(spark, source_dir, fmt, breaks))
     clean, quarantine = cleaning.clean(staged, keep=keep)
     if fmt == "csv":
-        quarantine = quarantine.unionByName(read_unreadable(spark, source_dir))
+        quarantine = quarantine.unionByName(read_unreadable(spark, source_dir, breaks))
     keep(quarantine, "quarantine")
     _quality(staged, clean, marts, keep)
     _features(clean, keep, cfg)

@@ -32,6 +32,11 @@ def _quotes_over_lines(spark: SparkSession, path: str) -> bool:
     return odd > 0 and odd % 2 == 0
 
 
+def line_breaks(spark: SparkSession, folder: str) -> dict[str, bool]:
+    """For each CSV source whether it has quoted line breaks; for ``multi_line``, where a folder is read twice."""
+    return {table: _quotes_over_lines(spark, f"{folder}/{name}") for table, name in SOURCE_FILES.items()}
+
+
 def _records(spark: SparkSession, path: str, multi_line: bool | None) -> DataFrame:
     """All records of a CSV source as text, by the names in the header, with the raw text of those that do not fit it."""
     multi_line = _quotes_over_lines(spark, path) if multi_line is None else multi_line
@@ -48,8 +53,12 @@ def _records(spark: SparkSession, path: str, multi_line: bool | None) -> DataFra
     )
 
 
+def _of(multi_line: bool | dict[str, bool] | None, table: str) -> bool | None:
+    return multi_line.get(table) if isinstance(multi_line, dict) else multi_line
+
+
 def read_sources(
-    spark: SparkSession, folder: str, fmt: str = "csv", multi_line: bool | None = None
+    spark: SparkSession, folder: str, fmt: str = "csv", multi_line: bool | dict[str, bool] | None = None
 ) -> dict[str, DataFrame]:
     """The four raw tables of a folder, by table name.
 
@@ -58,14 +67,14 @@ def read_sources(
     further columns are ignored and a missing one is refused. Records with more or fewer
     fields than the header are left out here; ``read_unreadable`` has them. Quoted line breaks
     belong to their record; a file that has some is read by one task. ``multi_line`` says
-    whether there are any, otherwise a count of the quotes does.
+    whether there are any, for all files or by table (``line_breaks``), otherwise a count of the quotes does.
     """
     if fmt not in ("csv", "parquet"):
         raise ValueError(f"unsupported source format: {fmt}")
     tables = {}
     for table, file_name in SOURCE_FILES.items():
         if fmt == "csv":
-            found = _records(spark, f"{folder}/{file_name}", multi_line)
+            found = _records(spark, f"{folder}/{file_name}", _of(multi_line, table))
             wanted = text_schema(table).names
             if missing := sorted(set(wanted) - set(found.columns)):
                 raise ValueError(f"{file_name} lacks the columns {missing}")
@@ -78,14 +87,14 @@ def read_sources(
     return tables
 
 
-def read_unreadable(spark: SparkSession, folder: str, multi_line: bool | None = None) -> DataFrame:
+def read_unreadable(spark: SparkSession, folder: str, multi_line: bool | dict[str, bool] | None = None) -> DataFrame:
     """The records of the CSV sources that do not fit their header, as quarantine rows.
 
     ``row`` is the raw text, ``key`` the id as far as it could be read.
     """
     parts = []
     for table, file_name in SOURCE_FILES.items():
-        found = _records(spark, f"{folder}/{file_name}", multi_line).where(F.col(UNREADABLE).isNotNull())
+        found = _records(spark, f"{folder}/{file_name}", _of(multi_line, table)).where(F.col(UNREADABLE).isNotNull())
         key = F.trim(F.col(PRIMARY_KEYS[table])).try_cast("bigint").alias("key")
         parts.append(found.select(F.lit(table).alias("table_name"), key, F.lit("unreadable_record").alias("reason"), F.col(UNREADABLE).alias("row")))
     return reduce(DataFrame.unionByName, parts)

@@ -10,6 +10,7 @@ from riskspark import schemas
 from riskspark.operators.cleaning import coerce_sources
 from riskspark.plans import pipeline
 from riskspark.plans.workspace import materialise, shared_folder
+from riskspark.sources import readers
 from riskspark.sources.readers import read_mart, read_sources, read_unreadable
 from riskspark.sources.sinks import append_alerts, export_mart, with_month, write_mart
 from tests.helpers import rows, txns
@@ -207,3 +208,10 @@ def test_whole_run(spark, source, tmp_path):
     again = pipeline.run(spark, source, str(tmp_path / "out"), run_ts=TS, export=False)
     assert again["kpi_summary"].drop("generated_at_utc").first().asDict() == kpi
     assert spark.read.parquet(str(out / "alerts_log")).agg(F.count("*")).first()[0] == 2
+
+
+def test_quotes_of_a_source_are_counted_once_a_run(spark, source, tmp_path, monkeypatch):
+    counted, count = [], readers._quotes_over_lines
+    monkeypatch.setattr(readers, "_quotes_over_lines", lambda spark, path: counted.append(path) or count(spark, path))
+    pipeline.run(spark, source, str(tmp_path / "out"), run_ts=TS, export=False)
+    assert len(counted) == len(set(counted)) == 4
