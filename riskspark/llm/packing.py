@@ -25,8 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskspark.llm.common import give_back, released
-from riskspark.llm.text import slices
-from riskspark.llm.tokens import encoder, tokenizer_path
+from riskspark.llm.tokens import encoder, runs, tokenizer_path
 
 LENGTH = 2048
 END_ID = 1
@@ -45,11 +44,9 @@ def tokenise(docs: DataFrame, path: str, end_id: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = encoder(path)
         end = np.array([end_id], tool.dtype).tobytes()
-        for batch in batches:
-            for part in slices(batch):
-                found = tool.encode(part["text"])
-                ids = pa.array([x + end for x in found], pa.binary())
-                yield pa.RecordBatch.from_arrays([*(part[f.name] for f in rest), ids], schema.names)
+        for part in runs(batches):
+            ids = pa.array([x + end for x in tool.encode(part["text"])], pa.binary())
+            yield pa.RecordBatch.from_arrays([*(part[f.name] for f in rest), ids], schema.names)
 
     return docs.mapInArrow(released(run), schema)
 

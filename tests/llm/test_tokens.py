@@ -59,6 +59,38 @@ def test_memory_starts_anew(monkeypatch, name):
         same(name, some_texts(12, seed))
 
 
+@pytest.mark.parametrize("name", FILES)
+def test_a_run_asks_for_its_distinct_chunks_once(monkeypatch, name):
+    tool, asked = tokens.Encoder(tokens.tokenizer_path(name)), []
+    learn = tool._learn
+    monkeypatch.setattr(tool, "_learn", lambda chunks: asked.extend(chunks) or learn(chunks))
+    batch = pa.RecordBatch.from_pydict({"text": ["the cat, the dog\n", None, "the cat " * 50, "été"]})
+    runs = list(tokens.runs([batch, batch, batch.slice(0, 0), batch]))
+    assert [r.num_rows for r in runs] == [12] and list(tokens.runs([])) == []
+    first, again = (tool.encode(runs[0]["text"]) for _ in range(2))
+    assert first == again == first[:4] * 3 and len(asked) == len(set(asked)) == len(tool.chunks)
+    monkeypatch.setattr(tokens, "RUN_BYTES", 30)
+    assert sum(r.num_rows for r in tokens.runs([batch, batch])) == 8
+
+
+@pytest.mark.parametrize("name", FILES)
+def test_chunks_of_one_hash_are_told_apart(monkeypatch, name):
+    monkeypatch.setattr(tokens, "span_hashes", lambda body, start, end: (end - start).astype(np.uint64))
+    monkeypatch.setattr(tokens, "_ENCODERS", {})
+    monkeypatch.setattr(tokens, "REMEMBERED", 300)
+    for seed in (3, 4, 3):
+        same(name, some_texts(12, seed))
+        assert len(tokens.encoder(tokens.tokenizer_path(name)).chunks) <= 300
+
+
+def test_words_known_by_their_bytes():
+    for name in FILES:
+        tool = tokens.Encoder(tokens.tokenizer_path(name))
+        chunks = [f"{a}{chr(c)}{b}".encode() for c in range(33, 0x2100) for a in ("", " ", "x") for b in ("", "y")]
+        sure = tool._sure(chunks)
+        assert sure.sum() > 100 and all(tool._is_word(c.decode()) for c, w in zip(chunks, sure, strict=True) if w)
+
+
 @pytest.mark.parametrize("name", FILES)
 def test_strings_of_added_tokens_as_in_the_file(name):
     from tokenizers import Tokenizer
