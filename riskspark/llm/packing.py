@@ -36,17 +36,22 @@ GROUP_BYTES, GROUP_DOCS = 8 << 20, 4096
 LEAST_PIECE = 8
 
 
+def tokenised(batches: Iterator[pa.RecordBatch], path: str, end_id: int) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """Runs of a partition's rows, and the ids of each row's text, end id included."""
+    tool = encoder(path)
+    end = np.array([end_id], tool.dtype).tobytes()
+    for part in runs(batches):
+        yield part, [x + end for x in tool.encode(part["text"])]
+
+
 def tokenise(docs: DataFrame, path: str, end_id: int) -> DataFrame:
     """The rows with their text replaced by ids, end id included, as bytes in column ids."""
     rest = [f for f in docs.schema if f.name != "text"]
     schema = T.StructType([*rest, T.StructField("ids", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool = encoder(path)
-        end = np.array([end_id], tool.dtype).tobytes()
-        for part in runs(batches):
-            ids = pa.array([x + end for x in tool.encode(part["text"])], pa.binary())
-            yield pa.RecordBatch.from_arrays([*(part[f.name] for f in rest), ids], schema.names)
+        for part, ids in tokenised(batches, path, end_id):
+            yield pa.RecordBatch.from_arrays([*(part[f.name] for f in rest), pa.array(ids, pa.binary())], schema.names)
 
     return docs.mapInArrow(released(run), schema)
 

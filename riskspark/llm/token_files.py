@@ -10,16 +10,19 @@ Three predictions are mixed for every id:
 * order 2: the id that came last after the two ids before;
 * order 1: the id that came last after the id before;
 * order 0: adaptive frequencies of classes of ids. A class holds ids of similar rank in the
-  file's frequency order (half an octave of ranks), the place in it is coded evenly.
+  file's frequency order (half an octave of ranks), the place in it is coded evenly. A block
+  begins with the frequencies of the whole file and moves them on after every 16 ids.
 
 Orders 2 and 1 keep, per context, how often they have been right lately; per such
 confidence, and whether both agree, the block learns how far to trust them. The trust in
 order 2 takes its share of the probability, order 1 takes its share of the rest, order 0
-gets what is left. The mixture drives one 64-bit carry-less range coder per block.
+gets what is left. The mixture drives one 64-bit range coder per block, which gives out words
+of 32 bits and carries into those given out.
 
-File: magic, header (JSON: ids, blocks, documents), the ids by rank, the documents (ids,
-whether null, and lengths), per block its length and crc32, then the coded words.
-Everything is integer arithmetic, so files are the same on every machine.
+File: magic, header (JSON: ids, blocks, documents, first frequencies), the ids by rank, the
+documents (ids, whether null, and lengths), per block its length and crc32, then the coded words.
+Everything is integer arithmetic (one quotient of small integers is taken in double precision,
+where its floor is exact), so files are the same on every machine.
 """
 
 from __future__ import annotations
@@ -36,14 +39,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskspark.llm.common import filesystem, materialise, new_folder, uri, write_once
-from riskspark.llm.packing import tokenise
+from riskspark.llm.packing import tokenised
 from riskspark.llm.tokens import encoder, tokenizer_path
 
-MAGIC = b"IDRC0001"
+MAGIC = b"IDRC0002"
 TOKENIZER, END_ID = "byte_bpe_50k.json", 2
 BLOCK = 512
 #: Blocks coded side by side at most; bounds the models' memory.
-LANES = 4096
+LANES = 8192
 #: Text per file, on average.
 FILE_BYTES = 8 << 20
 
@@ -51,6 +54,7 @@ _TABLE_BITS = 9  # a block has no more contexts than ids
 _ONE = 1 << 16
 _CDF_BITS = 14
 _CLASSES = 40
+_EVERY, _LEAST, _RATE = 16, 16, 3  # ids between moves of the frequencies, the least one, and how far they move
 _MOST_TRUST = 48_900  # both orders together leave a sixteenth to order 0
 _RANK_BITS = 17
 _U = np.uint64
@@ -71,158 +75,194 @@ def _class_table(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return (np.searchsorted(first, np.arange(max(n, 1)), side="right") - 1).astype(np.int32), first, bits
 
 
+def _frequencies(times: np.ndarray) -> np.ndarray:
+    """Cumulative frequencies of classes that come so many times, of 16,384."""
+    steps = np.arange(len(times) + 1)
+    free = (1 << _CDF_BITS) - _LEAST * len(times)
+    return steps * _LEAST + np.append(0, np.cumsum(times)) * free // max(1, int(times.sum())) if times.any() else (steps << _CDF_BITS) // len(times)
+
+
 class _Models:
     """The adaptive models of a number of blocks; encoder and decoder take the same steps.
 
     Row 0 of each pair of arrays belongs to order 2, row 1 to order 1.
     """
 
-    def __init__(self, lanes: int, classes: int):
-        size = 1 << _TABLE_BITS
+    def __init__(self, lanes: int, cdf: np.ndarray):
+        size, classes = 2 << _TABLE_BITS, len(cdf) - 1
         self.rows = np.arange(lanes, dtype=np.int64)
-        # per context: the rank + 1 that came last, and in the upper bits the confidence in it
-        self.table = np.zeros(2 * lanes * size, np.int32)
-        self.base = (np.arange(2 * lanes, dtype=np.int64) * size).reshape(2, lanes)
-        self.key = self.base.copy()
+        # per context: the rank + 1 that came last, and in the upper bits the confidence in it. The id
+        # before chooses a line of 16 entries, 8 for each order, so that both lie in one line of the cache
+        self.table = np.zeros(lanes * size + 16, np.int32)
+        self.table = self.table[-self.table.ctypes.data // 4 % 16 :][: lanes * size]
+        self.base = np.arange(lanes, dtype=np.int32) * np.int32(size)
+        self.key = np.stack([self.base + np.int32(8), self.base]).astype(np.int64)
         self.trust = np.full(2 * lanes * 16, 1 << 13, np.int32)
-        self.trust_base = (np.arange(2 * lanes, dtype=np.int64) * 16).reshape(2, lanes)
-        self.lanes, self.classes = lanes, classes
-        steps = np.arange(classes + 1)
-        self.cdf = np.repeat(((steps << _CDF_BITS) // classes).astype(np.int16)[:, None], lanes, axis=1)
-        # where the cumulative frequencies move after class c: all to c, less 8 for every class
-        self.aim = np.array([np.where(steps > c, (1 << _CDF_BITS) - classes * 8, 0) + steps * 8 for c in range(classes)], np.int16).T.copy()
+        self.trust_base = (np.arange(2 * lanes, dtype=np.int32) * 16).reshape(2, lanes)
+        self.lanes = lanes
+        self.cdf = np.repeat(cdf.astype(np.int16)[:, None], lanes, axis=1)
+        self.low, self.high = self.cdf.ravel(), self.cdf[1:].ravel()  # views: below and above each class
+        self.least = (np.arange(1, classes + 1, dtype=np.int16) * np.int16(_LEAST))[:, None]
+        self.share = np.int16(((1 << _CDF_BITS) - _LEAST * classes) // _EVERY)
+        self.times, self.n_seen = np.zeros((classes, lanes), np.int16), 0
         self.before = np.zeros(lanes, np.int32)
 
     def predict(self) -> None:
         """Set the predicted ranks + 1 (0: none) and the shares of the mixture, of 65,536."""
         found = self.table.take(self.key)
-        self.guess, self.conf = found & ((1 << _RANK_BITS) - 1), found >> _RANK_BITS
-        agree = self.guess[0] == self.guess[1]
-        self.trust_key = self.trust_base + 2 * self.conf + agree
+        self.guess, self.conf = found & np.int32((1 << _RANK_BITS) - 1), found >> _RANK_BITS
+        agree = (self.guess[0] == self.guess[1]).astype(np.int32)
+        self.trust_key = (self.trust_base + (self.conf << 1) + agree).astype(np.int64)
         self.told = self.trust.take(self.trust_key)
-        a2, a1 = self.told * (self.guess > 0)
+        a2, a1 = self.told * np.minimum(self.guess, 1)
         share1 = ((_ONE - a2) * (a1 >> 1)) >> 15
-        both = share1 * agree
-        self.w2 = a2 + both
-        self.w1 = share1 - both
-        self.head = self.w1 + self.w2
+        self.w2 = a2 + share1 * agree
+        self.head = a2 + share1
         self.rest = _ONE - self.head
 
-    def learn(self, r: np.ndarray, cls: np.ndarray) -> None:
-        """Take in the ranks + 1 that came."""
+    def interval(self, at: np.ndarray, by2: np.ndarray, by1: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where each block's choice begins, and its share: the class in ``at``, or in blocks ``by2`` and ``by1`` that order."""
+        start = self.head + (self.rest * self.low.take(at) >> _CDF_BITS)
+        share = self.head + (self.rest * self.high.take(at) >> _CDF_BITS) - start
+        start[by2], share[by2] = 0, self.w2[by2]
+        start[by1], share[by1] = self.w2[by1], self.head[by1] - self.w2[by1]
+        return start.astype(_U), share.astype(_U)
+
+    def right(self, r: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """In which blocks order 2 foretold the ranks + 1, in which others order 1, and both orders' places."""
         hit = self.guess == r
-        self.trust[self.trust_key] = self.told + ((hit * np.int32(_MOST_TRUST - 300) + np.int32(300) - self.told) >> 4)
-        conf = np.where(hit, np.minimum(self.conf + 1, 7), self.conf >> 1)
-        self.table[self.key] = np.where(conf > 0, self.guess, r) | (conf << _RANK_BITS)
-        self.cdf += (self.aim.take(cls, axis=1) - self.cdf) >> 5
-        mask = (1 << _TABLE_BITS) - 1
+        by2, by1 = np.flatnonzero(hit[0]), np.flatnonzero(hit[1])
+        return by2, by1[~hit[0].take(by1)], np.concatenate([by2, by1 + self.lanes])
+
+    def learn(self, r: np.ndarray, at: np.ndarray, right: np.ndarray) -> None:
+        """Take in the ranks + 1 that came, the places of their classes and which orders were right."""
+        # few orders are right, so these are set one by one after all others
+        told = self.told + ((np.int32(300) - self.told) >> 4)
+        was = self.told.ravel()[right]
+        told.ravel()[right] = was + ((np.int32(_MOST_TRUST) - was) >> 4)
+        self.trust[self.trust_key] = told
+        conf = (self.conf >> 1).ravel()
+        conf[right] = np.minimum(self.conf.ravel()[right] + 1, 7)
+        entry = np.concatenate([r, r])
+        stays = np.flatnonzero(conf > 0)
+        entry[stays] = self.guess.ravel()[stays] | (conf[stays] << _RANK_BITS)
+        self.table[self.key] = entry.reshape(2, -1)
+        times = self.times.ravel()
+        times[at] = times.take(at) + np.int16(1)
+        self.n_seen += 1
+        if self.n_seen == _EVERY:
+            for lower, upper in zip(self.times, self.times[1:]):  # to sums, row by row
+                upper += lower
+            self.cdf[1:] += (self.times * self.share + self.least - self.cdf[1:]) >> _RATE
+            self.times[:] = 0
+            self.n_seen = 0
         spread = r * np.int32(40503)
-        self.key[0] = self.base[0] + (((spread + self.before * np.int32(30011)) >> 5) & mask)
-        self.key[1] = self.base[1] + ((spread >> 4) & mask)
+        one = (spread >> 4) & np.int32((1 << _TABLE_BITS) - 1)
+        line = self.base + ((one >> 3) << 4)
+        two = ((spread + self.before * np.int32(30011)) >> 5) & np.int32(7)
+        self.key[0], self.key[1] = line + two + np.int32(8), line + (one & np.int32(7))
         self.before = r
 
 
-def _shift(low: np.ndarray, width: np.ndarray) -> Iterator[np.ndarray]:
-    """Move blocks on by a word until their widths allow the next id; yields which, before.
-
-    A width that straddles two values of the leading word is cut to the lower one's end.
-    """
-    at = np.flatnonzero(width < _U(1 << 32))
+def _carry(out: np.ndarray, at: np.ndarray) -> None:
+    """Add one to words given out, and to those before where that overflows."""
     while len(at):
-        l, w = low[at], width[at]
-        straddles = ((l ^ (l + w)) >> _U(48)) != 0
-        if straddles.any():
-            w = np.where(straddles, (~l + _U(1)) & _U(0xFFFFFFFF), w)
-        yield at
-        low[at] = l << _U(16)
-        w <<= _U(16)
-        width[at] = w
-        at = at[w < _U(1 << 32)]
-
-
-def _encode_lanes(rank: np.ndarray, length: np.ndarray, tables: tuple) -> list[bytes]:
+        out[at] += np.uint32(1)
+        at = at[out[at] == 0] - 1
+
+
+def _encode_lanes(rank: np.ndarray, length: np.ndarray, tables: tuple, cdf: np.ndarray) -> list[bytes]:
     """Code blocks of ranks, a row per position and a column per block."""
     class_of, first, bits = tables
     steps, lanes = rank.shape
-    m = _Models(lanes, len(first))
+    m = _Models(lanes, cdf)
+    # by rank: where its class begins among the frequencies, the bits of its place there, and the place
+    base, bits_of = class_of * np.int64(lanes), bits[class_of].astype(_U)
+    place_of = (np.arange(len(class_of)) - first[class_of]).astype(_U)
     low, width = np.zeros(lanes, _U), np.full(lanes, 2**64 - 1, _U)
-    out = np.zeros((lanes, 2 * steps + 16), np.uint16)
-    pos = np.zeros(lanes, np.int64)
+    row = steps + 2  # at most a word per id, and the last
+    out = np.zeros(lanes * row, "<u4")
+    pos = m.rows * row
     ends = {int(n): np.flatnonzero(length == n) for n in np.unique(length)}
     done: list[bytes] = [b""] * lanes
+    word = _U(32)
     for step in range(steps):
-        r0 = rank[step]
-        cls = class_of[r0]
-        r = r0 + np.int32(1)
+        r0 = rank[step].astype(np.int64)
+        r = rank[step] + np.int32(1)
         m.predict()
-        hit2, hit1 = m.guess == r
-        plain = ~(hit2 | hit1)
-        at = cls * np.int64(lanes) + m.rows
-        c_low, c_high = m.cdf.take(at).astype(np.int32), m.cdf.take(at + lanes).astype(np.int32)
-        start = m.head + (m.rest * c_low >> _CDF_BITS)
-        size = np.where(hit2, m.w2, np.where(hit1, m.w1, m.head + (m.rest * c_high >> _CDF_BITS) - start))
-        start = np.where(hit2, 0, np.where(hit1, m.w2, start))
+        by2, by1, right = m.right(r)
+        at = base.take(r0) + m.rows
+        start, share = m.interval(at, by2, by1)
+        b, place = bits_of.take(r0), place_of.take(r0)
+        b[by2], b[by1], place[by2], place[by1] = 0, 0, 0, 0
         width >>= _U(16)
-        low += start.astype(_U) * width
-        width *= size.astype(_U)
-        width >>= (bits[cls] * plain).astype(_U)
-        low += ((r0 - first[cls]) * plain).astype(_U) * width
-        for at in _shift(low, width):
-            p = pos[at]
-            out[at, p] = low[at] >> _U(48)
-            pos[at] = p + 1
-        m.learn(r, cls)
-        for i in ends.get(step + 1, ()):  # a block ends: what is left of its number
-            v = int(low[i])
-            done[i] = out[i, : pos[i]].astype("<u2").tobytes() + struct.pack("<4H", *((v >> s) & 0xFFFF for s in (48, 32, 16, 0)))
+        more = start * width
+        width *= share
+        width >>= b
+        more += place * width
+        low += more
+        over = np.flatnonzero(low < more)
+        if len(over):
+            _carry(out, pos[over] - 1)
+        full = np.flatnonzero(width < _U(1 << 32))
+        p, l = pos[full], low[full]
+        out[p] = l >> word
+        pos[full] = p + 1
+        low[full] = l << word
+        width[full] <<= word
+        m.learn(r, at, right)
+        if step + 1 in ends:  # blocks end: the least number of one word in what is left
+            at = ends[step + 1]
+            last = low[at] + _U((1 << 32) - 1)
+            _carry(out, pos[at[last < low[at]]] - 1)
+            out[pos[at]] = last >> word
+            for i, end in zip(at.tolist(), (pos[at] + 1).tolist(), strict=True):
+                done[i] = out[i * row : end].tobytes()
     return done
 
 
-def _decode_lanes(words: list[bytes], steps: int, tables: tuple) -> np.ndarray:
+def _decode_lanes(words: list[bytes], steps: int, tables: tuple, cdf: np.ndarray) -> np.ndarray:
     """The ranks of blocks coded by ``_encode_lanes``, a row per position."""
     class_of, first, bits = tables
     lanes = len(words)
-    m = _Models(lanes, len(first))
-    size = max(len(w) for w in words) // 2 + 8
-    data = np.zeros((lanes, size), np.uint16)
+    m = _Models(lanes, cdf)
+    row = max(steps + 2, max(len(w) for w in words) // 4)
+    data = np.zeros((lanes, row), np.uint32)
     for i, w in enumerate(words):
-        data[i, : len(w) // 2] = np.frombuffer(w, "<u2")
-    low, width = np.zeros(lanes, _U), np.full(lanes, 2**64 - 1, _U)
-    code = np.zeros(lanes, _U)
-    for k in range(4):
-        code = (code << _U(16)) | data[:, k]
-    pos = np.full(lanes, 4, np.int64)
+        data[i, : len(w) // 4] = np.frombuffer(w, "<u4", len(w) // 4)
+    data, pos = data.ravel(), m.rows * row + 2
+    code = data[pos - 2].astype(_U) << _U(32) | data[pos - 1]
+    width = np.full(lanes, 2**64 - 1, _U)
     rank = np.zeros((steps, lanes), np.int32)
-    most = np.int32(len(class_of) - 1)
+    most = np.int32(len(class_of))
+    base, bits_of, first_of = class_of * np.int64(lanes), bits.astype(_U), first + np.int32(1)
     for step in range(steps):
         m.predict()
         width >>= _U(16)
-        value = np.minimum((code - low) // width, _U(_ONE - 1)).astype(np.int32)
+        value = np.minimum(code // width, _U(_ONE - 1)).astype(np.int32)
         hit2 = value < m.w2
-        hit1 = (value < m.head) & ~hit2
-        plain = value >= m.head
+        by2, by1 = np.flatnonzero(hit2), np.flatnonzero((value < m.head) > hit2)
         # the last class whose start, head + (rest * cdf >> bits), is not above the value
-        upto = ((np.maximum(value - m.head, 0).astype(np.int64) + 1 << _CDF_BITS) - 1) // m.rest
+        upto = ((np.maximum(value - m.head, 0) + 1 << _CDF_BITS) - 1) / m.rest
         cls = (m.cdf[1:-1] <= upto.astype(np.int16)).view(np.int8).sum(axis=0, dtype=np.int8).astype(np.int64)
-        at = cls * lanes + m.rows
-        c_low, c_high = m.cdf.take(at).astype(np.int32), m.cdf.take(at + lanes).astype(np.int32)
-        start = m.head + (m.rest * c_low >> _CDF_BITS)
-        share = np.where(hit2, m.w2, np.where(hit1, m.w1, m.head + (m.rest * c_high >> _CDF_BITS) - start))
-        start = np.where(hit2, 0, np.where(hit1, m.w2, start))
-        low += start.astype(_U) * width
-        width *= share.astype(_U)
-        b = (bits[cls] * plain).astype(_U)
+        start, share = m.interval(cls * lanes + m.rows, by2, by1)
+        code -= start * width
+        width *= share
+        b = bits_of.take(cls)
+        b[by2], b[by1] = 0, 0
         width >>= b
-        place = np.minimum((code - low) // width, (_U(1) << b) - _U(1))
-        low += place * width
-        r = np.where(plain, first[cls] + place.astype(np.int32) + np.int32(1), np.where(hit2, m.guess[0], m.guess[1]))
-        r = np.minimum(r, most + 1)  # only a block past its end can exceed it
-        for at in _shift(low, width):
-            p = pos[at]
-            code[at] = (code[at] << _U(16)) | data[at, np.minimum(p, size - 1)].astype(_U)
-            pos[at] = p + 1
+        place = np.minimum(code // width, (_U(1) << b) - _U(1))
+        code -= place * width
+        r = first_of.take(cls) + place.astype(np.int32)
+        r[by2], r[by1] = m.guess[0][by2], m.guess[1][by1]
+        r = np.minimum(r, most)  # only a block past its end can exceed it
+        full = np.flatnonzero(width < _U(1 << 32))
+        p = pos[full]
+        code[full] = code[full] << _U(32) | data[p]
+        pos[full] = p + 1
+        width[full] <<= _U(32)
         rank[step] = r - 1
-        m.learn(r, class_of[r - 1])
+        m.learn(r, base.take(rank[step]) + m.rows, m.right(r)[2])
     return rank
 
 
@@ -234,21 +274,23 @@ def encode_file(doc_ids: list[int | None], lengths: np.ndarray, ids: np.ndarray,
     rank_of = np.zeros(len(count), np.int32)
     rank_of[by_rank] = np.arange(len(kinds))
     tables = _class_table(len(kinds))
+    cdf = _frequencies(np.bincount(tables[0], np.append(count[by_rank], np.zeros(len(tables[0]) - len(kinds))), len(tables[1])).astype(np.int64))
     n_blocks = -(-len(ids) // block)
     size = np.full(n_blocks, block)
     if n_blocks:
         size[-1] = len(ids) - block * (n_blocks - 1)
     words: list[bytes] = []
+    ranks = np.zeros(n_blocks * block, np.int32)
+    rank_of.take(ids, out=ranks[: len(ids)], mode="clip")
+    ranks = ranks.reshape(-1, block)
     for at in range(0, n_blocks, LANES):
         part = size[at : at + LANES]
-        padded = np.zeros(len(part) * block, np.int32)
-        held = rank_of[ids[at * block : (at + LANES) * block]]
-        padded[: len(held)] = held
-        words += _encode_lanes(np.ascontiguousarray(padded.reshape(-1, block)[:, : int(part.max())].T), part, tables)
-    crc = [zlib.crc32(ids[k * block : k * block + n].astype("<u4").tobytes()) for k, n in enumerate(size)]
+        words += _encode_lanes(np.ascontiguousarray(ranks[at : at + LANES, : int(part.max())].T), part, tables, cdf)
+    wide = ids.astype("<u4")
+    crc = [zlib.crc32(wide[k * block : k * block + n]) for k, n in enumerate(size.tolist())]
     docs = np.array([d or 0 for d in doc_ids], "<i8").tobytes() + bytes(d is None for d in doc_ids) + lengths.astype("<i8").tobytes()
     docs = zlib.compress(docs)
-    head = json.dumps({"ids": len(ids), "kinds": len(kinds), "block": block, "docs": len(doc_ids), "doc_bytes": len(docs)}).encode()
+    head = json.dumps({"ids": len(ids), "kinds": len(kinds), "block": block, "docs": len(doc_ids), "doc_bytes": len(docs), "cdf": cdf.tolist()}).encode()
     index = b"".join(struct.pack("<III", n, len(w), c) for n, w, c in zip(size, words, crc, strict=True))
     return b"".join([MAGIC, struct.pack("<I", len(head)), head, by_rank.tobytes(), docs, index, *words])
 
@@ -276,10 +318,10 @@ def decode_file(data: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
     tables, out = _class_table(head["kinds"]), []
     for low in range(0, n_blocks, LANES):
         size = np.array([x[0] for x in index[low : low + LANES]])
-        ranks = _decode_lanes(words[low : low + LANES], int(size.max()), tables)
-        for row, (n, _, crc) in zip(np.ascontiguousarray(ranks.T), index[low : low + LANES], strict=True):
-            block = by_rank[row[:n]]
-            if zlib.crc32(block.tobytes()) != crc:
+        ranks = _decode_lanes(words[low : low + LANES], int(size.max()), tables, np.array(head["cdf"]))
+        for row, (n, _, crc) in zip(by_rank.take(np.ascontiguousarray(ranks.T)), index[low : low + LANES], strict=True):
+            block = row[:n]
+            if zlib.crc32(block) != crc:
                 raise ValueError(f"block {len(out)} is damaged")
             out.append(block)
     return doc_ids, lengths, np.concatenate(out) if out else np.zeros(0, "<u4")
@@ -299,16 +341,15 @@ def write(docs: DataFrame, folder: str, end_id: int = END_ID, tokenizer: str | N
     parts = max(1, -(-size // FILE_BYTES))
     ranged = docs.repartitionByRange(parts, F.col("doc_id").asc_nulls_first(), "turn")
     ranged = ranged.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "turn", "text")
-    rows = tokenise(ranged.select(F.spark_partition_id().alias("part"), "doc_id", "text"), path, end_id)
+    rows = ranged.select(F.spark_partition_id().alias("part"), "doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         dtype = encoder(path).dtype
         doc_ids, lengths, ids, part = [], [], [], None
-        for batch in batches:
+        for batch, found in tokenised(batches, path, end_id):
             if batch.num_rows:
                 part = batch["part"][0].as_py()
                 doc_ids += batch["doc_id"].to_pylist()
-                found = batch["ids"].to_pylist()
                 lengths += [len(x) // dtype.itemsize for x in found]
                 ids.append(np.frombuffer(b"".join(found), dtype))
         if part is None:

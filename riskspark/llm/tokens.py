@@ -212,7 +212,9 @@ class Encoder:
         body, at = raw(distinct)
         own = span_hashes(body, at[:-1], at[1:])
         n = len(self.chunks)
-        place = np.searchsorted(self.hashes, own)
+        order = np.argsort(own)
+        place = np.empty(len(own), np.int64)
+        place[order] = np.searchsorted(self.hashes, own[order])  # in order, it stays in the cache
         held = np.append(self.hashes, np.uint64(0))[place] == own
         held &= place < len(self.hashes)
         number = np.append(self.owner, 0)[place]
