@@ -29,7 +29,7 @@ REMEMBERED = 800_000
 #: New chunks are joined to texts of so many for the library.
 JOINED = 500
 #: Text whose chunks are numbered together, in bytes; a longer text comes alone.
-RUN_BYTES = 4 << 20
+RUN_BYTES = 1 << 20
 #: Letters up to here are what both patterns and Python call letters, and no two of them compose.
 LAST_LATIN = "\u024f"
 _ENCODERS: dict[str, Encoder] = {}
