@@ -19,7 +19,7 @@ from riskspark.functions.scalars import count_where, literal_row, merge_single_r
 from riskspark.operators import quality, ranked, reports, rules, search_index, sketches, snapshots, views
 from riskspark.operators.order_stats import iqr_outliers
 from riskspark.plans import pipeline
-from riskspark.plans.workspace import materialise, new_folder
+from riskspark.plans.workspace import materialise, new_folder, shuffles_dropped
 from riskspark.sources.readers import read_sources, read_unreadable
 from riskspark.sources.sinks import export_mart
 from riskspark.sources.versions import read_published
@@ -393,17 +393,18 @@ def q_orphan_counts(spark, sf):
 
 
 def _written_source(spark, sf) -> str:
-    """The raw tables as a folder of CSV files."""
+    """The raw tables as a folder of compressed CSV files."""
     folder = new_folder(spark, "source")
-    for name, df in tpch.raw_tables(spark, sf).items():
-        export_mart(df, f"{folder}/{schemas.SOURCE_FILES[name]}")
+    with shuffles_dropped(spark):
+        for name, df in tpch.raw_tables(spark, sf).items():
+            export_mart(df, f"{folder}/{schemas.SOURCE_FILES[name]}", compression="gzip")
     return folder
 
 
 def q_batch_run(spark, sf):
     """The whole run from CSV files to marts, exports, views and alerts: rows per mart."""
     out = new_folder(spark, "run")
-    pipeline.run(spark, _written_source(spark, sf), out, cfg=CFG, run_ts=RUN_TS)
+    pipeline.run(spark, _written_source(spark, sf), out, cfg=CFG, run_ts=RUN_TS, compression="gzip")
     told = [
         "customers", "banks", "transactions", "sanctions", "quarantine", "customer_features", "bank_features", "transaction_flags",
         "customer_risk_profiles", "bank_risk_comparison_ranked", "duplicate_rows", "kpi_summary",

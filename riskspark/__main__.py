@@ -15,10 +15,12 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("out_dir", help="folder for marts and exports, shared by all executors")
     parser.add_argument("--format", default="csv", choices=["csv", "parquet"])
     parser.add_argument("--no-export", action="store_true", help="write the marts only")
+    parser.add_argument("--compression", choices=["gzip"], help="compress exports and views")
     args = parser.parse_args(argv)
+    packed = {"compression": args.compression} if args.compression else {}
     spark = SparkSession.builder.appName("riskspark").getOrCreate()
     marts = pipeline.run(
-        spark, args.source_dir, args.out_dir, fmt=args.format, export=not args.no_export
+        spark, args.source_dir, args.out_dir, fmt=args.format, export=not args.no_export, **packed
     )
     marts["kpi_summary"].show(vertical=True, truncate=False)
     marts["alerts"].show(truncate=False)

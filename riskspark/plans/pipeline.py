@@ -22,6 +22,7 @@ from riskspark.config import DEFAULT, RiskConfig
 from riskspark.operators import banks, checks, cleaning, compliance, features, kpis
 from riskspark.operators import profiles, quality, reports, rules, views
 from riskspark.operators.order_stats import iqr_outliers
+from riskspark.plans.workspace import shuffles_dropped
 from riskspark.sources.readers import line_breaks, read_sources, read_unreadable
 from riskspark.sources.sinks import append_alerts, export_mart, with_month, write_mart, write_views
 from riskspark.sources.versions import new_version, publish
@@ -51,8 +52,19 @@ def run(
     cfg: RiskConfig = DEFAULT,
     run_ts: datetime | None = None,
     export: bool = True,
+    compression: str | None = None,
 ) -> dict[str, DataFrame]:
-    """Run every step and return the marts by name."""
+    """Run every step and return the marts by name.
+
+    Exports and views are text and take several times the disk of the marts; with
+    ``compression`` (such as ``gzip``) the same text is written compressed. Shuffle files go
+    at the end of each step, as the next one starts from stored marts.
+    """
+    with shuffles_dropped(spark):
+        return _run(spark, source_dir, out_dir, fmt, cfg, run_ts, export, compression)
+
+
+def _run(spark, source_dir, out_dir, fmt, cfg, run_ts, export, compression) -> dict[str, DataFrame]:
     run_ts = (run_ts or datetime.now(timezone.utc)).replace(microsecond=0)
     marts: dict[str, DataFrame] = {}
     version = new_version(f"{out_dir}/marts")
@@ -82,9 +94,9 @@ def run(
     append_alerts(marts["alerts"], f"{out_dir}/alerts_log", run_ts.strftime("%Y%m%dT%H%M%SZ"))
     if export:
         for name in EXPORTED:
-            export_mart(marts[name], f"{out_dir}/export/{name}")
-        export_mart(marts["kpi_summary"], f"{out_dir}/export/kpi_summary_json", fmt="json")
-        write_views(_views(marts), f"{out_dir}/views")
+            export_mart(marts[name], f"{out_dir}/export/{name}", compression=compression)
+        export_mart(marts["kpi_summary"], f"{out_dir}/export/kpi_summary_json", fmt="json", compression=compression)
+        write_views(_views(marts), f"{out_dir}/views", compression)
     return marts
 
 

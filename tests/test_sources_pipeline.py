@@ -1,4 +1,6 @@
+import gzip
 import json
+import time
 from datetime import datetime, timezone
 from pathlib import Path
 
@@ -9,8 +11,8 @@ from riskspark import __main__ as cli
 from riskspark import schemas
 from riskspark.operators.cleaning import coerce_sources
 from riskspark.plans import pipeline
-from riskspark.plans.workspace import materialise, shared_folder
-from riskspark.sources import readers
+from riskspark.plans.workspace import DROP_SHUFFLES, materialise, shared_folder, shuffles_dropped
+from riskspark.sources import readers, sinks
 from riskspark.sources.readers import read_mart, read_sources, read_unreadable
 from riskspark.sources.sinks import append_alerts, export_mart, with_month, write_mart
 from tests.helpers import rows, txns
@@ -215,3 +217,61 @@ def test_quotes_of_a_source_are_counted_once_a_run(spark, source, tmp_path, monk
     monkeypatch.setattr(readers, "_quotes_over_lines", lambda spark, path: counted.append(path) or count(spark, path))
     pipeline.run(spark, source, str(tmp_path / "out"), run_ts=TS, export=False)
     assert len(counted) == len(set(counted)) == 4
+
+
+def _lines(spark, folder):
+    return {p.name: sorted(r.value for r in spark.read.text(str(p)).collect()) for p in folder.iterdir()}
+
+
+def test_compressed_exports_and_views_hold_the_same_text(spark, source, tmp_path, monkeypatch):
+    plain, packed = tmp_path / "plain", tmp_path / "packed"
+    pipeline.run(spark, source, str(plain), run_ts=TS)
+    pipeline.run(spark, source, str(packed), run_ts=TS, compression="gzip")
+    for kind in ("export", "views"):
+        assert _lines(spark, packed / kind) == _lines(spark, plain / kind)
+        assert all(gzip.open(p).read() for p in (packed / kind).rglob("part-*"))
+    assert all(p.name.endswith(".zstd.parquet") for p in (plain / "marts").rglob("part-*"))
+    monkeypatch.setattr(sinks, "ROWS_PER_FILE", 2)
+    export_mart(spark.range(5).coalesce(1), str(tmp_path / "few"), compression="gzip")
+    assert len(list((tmp_path / "few").glob("*.csv.gz"))) == 3
+    assert spark.read.option("header", True).csv(str(tmp_path / "few")).count() == 5
+
+
+def test_compressed_sources_give_the_same_tables(spark, source, tmp_path):
+    texts = FILES | {"banks.csv": 'bank_id,name,region,compliance_score\n1,"B\nof\nC",West,0.5\n2,D,East,0.7\n3,E\n', "customers_.csv": BROKEN}
+    found = {}
+    for kind, opened, end in (("plain", open, ""), ("packed", gzip.open, ".gz")):
+        for name, text in texts.items():
+            (tmp_path / kind / name).mkdir(parents=True)
+            with opened(tmp_path / kind / name / f"part-0.csv{end}", "wt") as file:
+                file.write(text)
+        folder = str(tmp_path / kind)
+        found[kind] = [rows(df) for df in (*read_sources(spark, folder).values(), read_unreadable(spark, folder))]
+    assert found["packed"] == found["plain"] and len(found["plain"][-1]) == 4
+
+
+def _shuffle_files(spark):
+    kept = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {f for f in kept.mkString("\n").split("\n") if Path(f).name.startswith("shuffle_")}
+
+
+def test_shuffle_files_of_a_run_go_with_its_steps(spark, source, tmp_path):
+    before = _shuffle_files(spark)
+    pipeline.run(spark, source, str(tmp_path / "out"), run_ts=TS, export=False)
+    for _ in range(50):
+        if not (left := _shuffle_files(spark) - before):
+            break
+        time.sleep(0.1)
+    assert not left
+    assert spark.conf.get(DROP_SHUFFLES, None) is None
+
+
+def test_what_the_session_says_of_shuffle_files_is_restored(spark):
+    spark.conf.set(DROP_SHUFFLES, False)
+    try:
+        with pytest.raises(ZeroDivisionError), shuffles_dropped(spark):
+            assert spark.conf.get(DROP_SHUFFLES) == "true"
+            1 / 0
+        assert spark.conf.get(DROP_SHUFFLES) == "false"
+    finally:
+        spark.conf.unset(DROP_SHUFFLES)
