@@ -19,7 +19,7 @@ from riskspark.functions.scalars import count_where, literal_row, merge_single_r
 from riskspark.operators import quality, ranked, reports, rules, search_index, sketches, snapshots, views
 from riskspark.operators.order_stats import iqr_outliers
 from riskspark.plans import pipeline
-from riskspark.plans.workspace import materialise, new_folder, shuffles_dropped
+from riskspark.plans.workspace import delete, materialise, new_folder, shuffles_dropped
 from riskspark.sources.readers import read_sources, read_unreadable
 from riskspark.sources.sinks import export_mart
 from riskspark.sources.versions import read_published
@@ -403,8 +403,10 @@ def _written_source(spark, sf) -> str:
 
 def q_batch_run(spark, sf):
     """The whole run from CSV files to marts, exports, views and alerts: rows per mart."""
-    out = new_folder(spark, "run")
-    pipeline.run(spark, _written_source(spark, sf), out, cfg=CFG, run_ts=RUN_TS, compression="gzip")
+    out, source = new_folder(spark, "run"), _written_source(spark, sf)
+    marts = pipeline.run(spark, source, out, cfg=CFG, run_ts=RUN_TS, export=False)
+    delete(spark, source)  # written above for this run alone; its marts are stored
+    pipeline.export_marts(marts, out, compression="gzip")
     told = [
         "customers", "banks", "transactions", "sanctions", "quarantine", "customer_features", "bank_features", "transaction_flags",
         "customer_risk_profiles", "bank_risk_comparison_ranked", "duplicate_rows", "kpi_summary",

@@ -93,11 +93,17 @@ def _run(spark, source_dir, out_dir, fmt, cfg, run_ts, export, compression) -> d
 
     append_alerts(marts["alerts"], f"{out_dir}/alerts_log", run_ts.strftime("%Y%m%dT%H%M%SZ"))
     if export:
+        export_marts(marts, out_dir, compression)
+    return marts
+
+
+def export_marts(marts: dict[str, DataFrame], out_dir: str, compression: str | None = None) -> None:
+    """Exports and views of a run's marts, which are stored: the source is not needed any more."""
+    with shuffles_dropped(marts["kpi_summary"].sparkSession):
         for name in EXPORTED:
             export_mart(marts[name], f"{out_dir}/export/{name}", compression=compression)
         export_mart(marts["kpi_summary"], f"{out_dir}/export/kpi_summary_json", fmt="json", compression=compression)
         write_views(_views(marts), f"{out_dir}/views", compression)
-    return marts
 
 
 def _quality(staged, clean, marts, keep) -> None:

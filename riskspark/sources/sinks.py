@@ -40,13 +40,13 @@ def export_mart(df: DataFrame, path: str, fmt: str = "csv", mode: str = "overwri
     """Export for other tools: CSV with a header, or JSON lines.
 
     Text takes several times the disk of the mart; ``compression`` (such as ``gzip``) writes
-    the same text compressed, in files of bounded rows. The fastest level takes a quarter of
-    the time of the usual one and a quarter more disk.
+    the same text compressed, in files of bounded rows. Level four takes half the
+    time of the usual one, and a tenth more disk.
     """
     writer = df.write.mode(mode)
     if compression:
         writer = writer.option("compression", compression).option("maxRecordsPerFile", ROWS_PER_FILE)
-        writer = writer.option("zlib.compress.level", "BEST_SPEED")
+        writer = writer.option("zlib.compress.level", "FOUR")
     if fmt == "csv":
         (
             writer.option("header", True)
