@@ -40,8 +40,8 @@ def export_mart(df: DataFrame, path: str, fmt: str = "csv", mode: str = "overwri
     """Export for other tools: CSV with a header, or JSON lines.
 
     Text takes several times the disk of the mart; ``compression`` (such as ``gzip``) writes
-    the same text compressed, in files of bounded rows. Level four takes half the
-    time of the usual one, and a tenth more disk.
+    the same text compressed, in files of bounded rows. Level four costs about
+    half of what the usual one does, for a tenth more disk.
     """
     writer = df.write.mode(mode)
     if compression:
